@@ -19,8 +19,8 @@ from loyalspan.functions.sqltext import Number, legendre_rule, let, ln_gamma, sq
 
 NAMES = ("r", "alpha", "s", "beta")
 
-_RULE = legendre_rule(32)
-_POWER = 6  # flattens the root singularity at q = 0
+_RULE = legendre_rule(20)
+_POWER = 8  # flattens the root singularity at q = 0
 
 Params = Mapping[str, Number]
 

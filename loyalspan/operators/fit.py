@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loyalspan.functions import gamma_gamma, mbg, pareto
+from loyalspan.session import materialise, spread
 
 STEP = 1e-3  # finite-difference step on the log scale
+LOWEST, HIGHEST = -12.0, 30.0  # bounds of the log-parameters
 
 
 @dataclass(frozen=True)
@@ -128,6 +130,7 @@ class _Descent:
     gradient: np.ndarray | None = field(default=None, repr=False)
     hessian: np.ndarray | None = field(default=None, repr=False)
     iterations: int = 0
+    quiet: int = 0  # accepted trials in a row with hardly any gain
     done: bool = False
     converged: bool = False
 
@@ -139,6 +142,8 @@ class _Descent:
         self.iterations += 1
         losses = np.array([self.penalty(p) - v for p, v in zip(_stencil(self.trial), values)])
         if np.all(np.isfinite(losses)) and losses[0] < self.objective:
+            small = self.objective - float(losses[0]) < 100 * tolerance
+            self.quiet = self.quiet + 1 if small else 0
             self.best, self.objective = self.trial, float(losses[0])
             self.gradient, self.hessian = _derivatives(losses, len(self.trial))
             self.damping = max(self.damping / 5, 1e-8)
@@ -147,13 +152,24 @@ class _Descent:
             return
         else:
             self.damping *= 10
-        roots, axes = np.linalg.eigh(self.hessian)
-        curvature = np.abs(roots) + self.damping * max(np.abs(roots).max(), 1e-6)
-        step = -axes @ ((axes.T @ self.gradient) / np.maximum(curvature, 1e-9))
-        step *= min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
-        self.trial = np.clip(self.best + step, -15, 20)
-        expected_gain = -float(self.gradient @ step)
-        if expected_gain < tolerance or np.abs(self.trial - self.best).max() < 1e-7:
+        # Coordinates pressed against a bound stay there; the rest take a Newton step.
+        free = ~(
+            ((self.best <= LOWEST) & (self.gradient > 0))
+            | ((self.best >= HIGHEST) & (self.gradient < 0))
+        )
+        step = np.zeros_like(self.best)
+        if free.any():
+            roots, axes = np.linalg.eigh(self.hessian[np.ix_(free, free)])
+            curvature = np.abs(roots) + self.damping * max(np.abs(roots).max(), 1e-6)
+            step[free] = -axes @ ((axes.T @ self.gradient[free]) / np.maximum(curvature, 1e-9))
+            step *= min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
+            # Stop at the first bound, which keeps the direction downhill.
+            room = np.where(step > 0, HIGHEST - self.best, LOWEST - self.best)
+            moving = free & (step != 0)
+            step *= min(1.0, (room[moving] / step[moving]).min(initial=1.0))
+        self.trial = np.clip(self.best + step, LOWEST, HIGHEST)
+        expected = float(self.gradient @ (self.best - self.trial))
+        if expected < tolerance or self.quiet == 3:
             self.done = self.converged = True
 
 
@@ -166,8 +182,8 @@ def fit(
 ) -> list[Fit]:
     """Minimise ``-mean log-likelihood + l2 * sum(params^2)`` for every penalty.
 
-    ``rows`` has the model's columns and ``weight``, and should be materialised: it is read once
-    per iteration.
+    ``rows`` has the model's columns and ``weight``; it is read once per iteration, so it should
+    come from ``ready``.
     """
     starts = [np.log(start) for start in itertools.product(*model.starts)]
     values = mean_log_likelihood(rows, model, [np.exp(s) for s in starts])
@@ -229,6 +245,15 @@ def fit_purchases(
     ]
 
 
+def ready(rows: DataFrame) -> DataFrame:
+    """Rows written once and spread evenly, for the passes of a fit.
+
+    The rows are few and small after grouping but each is met by many parameter points, so they
+    must not be coalesced into a handful of tasks.
+    """
+    return materialise(spread(rows))
+
+
 def purchase_rows(
     df: DataFrame, x="frequency_cal", t_x="recency_cal", T="T_cal"
 ) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from loyalspan.functions import mbg
 from loyalspan.functions.sqltext import Number, unit_interval_rule
+from loyalspan.session import spread
 
 
 def purchase_outlook(
@@ -28,14 +29,14 @@ def purchase_outlook(
     ``discounted`` maps an output to (months, monthly rate).
 
     Each pair meets the constant list of quadrature nodes and the sums over nodes are a plain
-    aggregate; the rows are already partitioned by the pair, so nothing is shuffled for it.
+    aggregate; the rows are already partitioned by the pair, so only the pairs are shuffled.
     """
     keys = pairs.columns
     at_node = {name: mbg.node_purchases(model, days) for name, days in horizons.items()}
     for name, (months, rate) in (discounted or {}).items():
         at_node[name] = mbg.node_discounted(model, months, rate)
     nodes = (
-        pairs.distinct()
+        spread(pairs.distinct(), *keys)
         .select(*keys, F.inline(F.expr(unit_interval_rule())))
         .select(
             *keys,

@@ -21,6 +21,7 @@ from loyalspan.operators.fit import (
     fit,
     fit_purchases,
     purchase_rows,
+    ready,
     spend_rows,
 )
 from loyalspan.operators.quality import THRESHOLDS, quality_gates, require_gates
@@ -32,7 +33,7 @@ from loyalspan.plans.evaluate import (
     frequency_predictions,
     spend_predictions,
 )
-from loyalspan.session import materialise
+from loyalspan.session import materialise, spread
 from loyalspan.sources.registry import LOG_SCHEMA, create_registry, log_run, save_model
 
 # The baseline penalty, the search size and its seed, the loss of a failed trial.
@@ -68,7 +69,7 @@ def frequency_trials(training: DataFrame, penalties: Sequence[float]) -> DataFra
     so the loss is that of the single customers.
     """
     actual = F.col("frequency_holdout")
-    rows = materialise(
+    rows = ready(
         training.groupBy(
             F.col("frequency_cal").cast("double").alias("x"),
             F.col("recency_cal").cast("double").alias("t_x"),
@@ -92,7 +93,7 @@ def spend_trials(
     training: DataFrame, penalties: Sequence[float], holdout_inputs: bool = False
 ) -> DataFrame:
     """Gamma-Gamma fitted with every penalty, with its RMSE on holdout spend."""
-    buyers = materialise(
+    buyers = ready(
         repeat_buyers(training).select(
             "frequency_cal", "monetary_value_cal", "frequency_holdout", "monetary_value_holdout"
         )
@@ -120,7 +121,7 @@ def pareto_predictions(training: DataFrame, model: pareto.Params) -> DataFrame:
         *[F.col(name).cast("double").alias(key) for key, name in keys.items()],
     )
     expected = F.expr(pareto.expected_purchases(model, "ahead", "x", "t_x", "T"))
-    histories = rows.select(*keys).distinct().withColumn("frequency_predicted", expected)
+    histories = spread(rows.select(*keys).distinct()).withColumn("frequency_predicted", expected)
     return rows.join(histories, list(keys)).select("customer.*", "frequency_predicted")
 
 
@@ -148,16 +149,16 @@ def _with_row_count(summary: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def fit_baseline(training: DataFrame, l2: float = BASELINE_L2) -> Fit:
-    return fit_purchases(materialise(purchase_rows(training)), PARETO, [l2])[0]
+    return fit_purchases(ready(purchase_rows(training)), PARETO, [l2])[0]
 
 
 def fit_final_frequency(full: DataFrame, l2: float) -> Fit:
-    rows = materialise(purchase_rows(full, "frequency", "recency", "T"))
+    rows = ready(purchase_rows(full, "frequency", "recency", "T"))
     return fit_purchases(rows, MBG, [l2])[0]
 
 
 def fit_final_spend(full: DataFrame, l2: float) -> Fit:
-    rows = materialise(spend_rows(full, "frequency", "monetary_value"))
+    rows = ready(spend_rows(full, "frequency", "monetary_value"))
     return fit(rows, GAMMA_GAMMA, [l2])[0]
 
 

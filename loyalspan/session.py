@@ -44,6 +44,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/loyalspan/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Exactly ``spark.sql.shuffle.partitions`` partitions, evenly or by ``keys``.
+
+    For narrow tables that are cheap to move and costly to compute on: adaptive execution would
+    otherwise merge them into a few tasks by their size in bytes.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once and continue from the written rows.
 
