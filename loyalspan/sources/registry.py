@@ -64,10 +64,15 @@ def log_run(
     path: str,
     run_name: str,
     params: Mapping[str, float],
-    metrics: Mapping[str, float],
+    metrics: Mapping[str, float | None],
 ) -> None:
-    rows = [(run_name, "param", k, float(v)) for k, v in params.items()]
-    rows += [(run_name, "metric", k, float(v)) for k, v in metrics.items()]
+    """Append a run; a metric without a value is kept as null."""
+    entries = [("param", params), ("metric", metrics)]
+    rows = [
+        (run_name, kind, key, None if value is None else float(value))
+        for kind, values in entries
+        for key, value in values.items()
+    ]
     append_log(spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1), path)
 
 
