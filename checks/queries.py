@@ -23,7 +23,7 @@ from loyalspan.operators import (
 )
 from loyalspan.operators.outlook import with_purchases
 from loyalspan.plans import evaluate, score, train
-from loyalspan.session import materialise, scratch_path
+from loyalspan.session import materialise, scratch_path, spread
 from loyalspan.sources import exports, features, registry, retail, snapshots
 
 START = "1995-01-01"
@@ -625,7 +625,7 @@ def prob_alive(spark, folder):
 
 @query
 def expected_purchases(spark, folder):
-    return all_full(spark, folder).select(
+    return spread(all_full(spark, folder)).select(
         "CustomerID",
         *[
             F.round(F.expr(mbg.expected_purchases(PURCHASES, days)), 6).alias(f"purch_{days}day")
@@ -643,7 +643,7 @@ def holdout_prediction(spark, folder):
 @query
 def frequency_scores(spark, folder):
     scores = F.expr(clv.purchase_scores(PURCHASES))
-    return all_full(spark, folder).select(
+    return spread(all_full(spark, folder)).select(
         "CustomerID",
         *[
             F.round(F.get(scores, F.lit(i)).cast("double"), 4).alias(name)
@@ -766,7 +766,7 @@ def monetary_evaluation_on_actuals(spark, folder):
 @query
 def udf_clv(spark, folder):
     registered.register_functions(spark, PURCHASES, SPEND, replace=True)
-    all_full(spark, folder).createOrReplaceTempView("full_snapshot")
+    spread(all_full(spark, folder)).createOrReplaceTempView("full_snapshot")
     return spark.sql(
         "SELECT CustomerID, round(clv(frequency, recency, T, monetary_value, 12, :rate), 0) AS clv"
         " FROM full_snapshot",
@@ -777,7 +777,7 @@ def udf_clv(spark, folder):
 @query
 def udf_probability_alive(spark, folder):
     registered.register_functions(spark, PURCHASES, SPEND, replace=True)
-    all_full(spark, folder).createOrReplaceTempView("full_snapshot")
+    spread(all_full(spark, folder)).createOrReplaceTempView("full_snapshot")
     return spark.sql(
         """
         SELECT CustomerID, round(double(get(scores, 0)), 4) AS prob_alive,

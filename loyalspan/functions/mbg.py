@@ -39,24 +39,29 @@ def probability_alive(params: Params, x="frequency", t_x="recency", T="T") -> st
     return f"(1 / (1 + exp({_ln_leaving_odds(params, x, t_x, T)})))"
 
 
-def node_density(params: Params, x: str) -> str:
-    """Unnormalised posterior weight of p at a node with columns or fields lp, lq and dw."""
-    _, _, a, b = _unpack(params)
-    return f"dw*exp({a}*lp + ({b} + 1 + {x})*lq)"
+def node_terms(params: Params, x: str = "x", T: str = "T") -> dict[str, str]:
+    """Columns of one quadrature node (p, lp, lq, dw) of one customer, for ``node_purchases``.
 
+    w is the unnormalised posterior weight of p; a node's purchases are ``1 - (1 + y t)^k``.
+    """
+    r, alpha, a, b = _unpack(params)
+    return {
+        "w": f"dw*exp({a}*lp + ({b} + 1 + {x})*lq)",
+        "k": f"-({r} + {x})",
+        "y": f"p/({alpha} + {T})",
+    }
 
-def node_purchases(params: Params, t: Number, x: str = "x", T: str = "T") -> str:
-    """``1 - (1 + p t/(alpha+T))^-(r+x)`` at a node with column p."""
-    r, alpha, _, _ = _unpack(params)
-    return f"-expm1(-({r} + {x})*log1p(p*{sql(t)}/({alpha} + {T})))"
 
+def node_purchases(t: Number) -> str:
+    return f"-expm1(k*log1p(y*{sql(t)}))"
 
-def node_discounted(params: Params, months: int, rate: float, x: str = "x", T: str = "T") -> str:
+
+def node_discounted(months: int, rate: float) -> str:
     """The discounted sum of ``node_purchases`` over months, see ``discounted_if_alive``."""
     keep = 1 / (1 + rate)
     weights = [keep**i * rate * keep for i in range(1, months)] + [keep**months]
     return " + ".join(
-        f"{sql(weight)}*({node_purchases(params, DAYS_PER_MONTH * i, x, T)})"
+        f"{sql(weight)}*({node_purchases(DAYS_PER_MONTH * i)})"
         for i, weight in enumerate(weights, start=1)
     )
 
@@ -107,14 +112,18 @@ def discounted_if_alive(params: Params, months: Number, rate: Number, x="frequen
     return f"if({n} < 1, 0D, {let('nodes', _posterior(params, x), f'{total} / {_WEIGHT}')})"
 
 
+def leaving_terms(params: Params, x: str, t_x: str, T: str) -> dict[str, str]:
+    """The log odds of having left, for ``row_log_likelihood``."""
+    return {"ln_odds": _ln_leaving_odds(params, x, t_x, T)}
+
+
 def row_log_likelihood(params: Params, x="x", t_x="t_x", T="T") -> str:
-    """The part of the log-likelihood that depends on the row."""
+    """The part that depends on the row, given the column of ``leaving_terms``."""
     r, alpha, a, b = _unpack(params)
-    odds = _ln_leaving_odds(params, x, t_x, T)
     return (
         f"({ln_gamma(f'{r} + {x}')} + {ln_gamma(f'{b} + {x} + 1')}"
         f" - {ln_gamma(f'{a} + {b} + {x} + 1')} - ({r} + {x})*ln({alpha} + {T})"
-        f" + greatest({odds}, 0D) + log1p(exp(-abs({odds}))))"
+        " + greatest(ln_odds, 0D) + log1p(exp(-abs(ln_odds))))"
     )
 
 

@@ -29,28 +29,43 @@ def _unpack(params: Params) -> tuple[str, ...]:
     return tuple(sql(params[name]) for name in NAMES)
 
 
-def _leaving_odds(params: Params, x: str, t_x: str, T: str) -> str:
+def leaving_terms(params: Params, x: str, t_x: str, T: str) -> dict[str, str]:
+    """What ``leaving_odds`` needs of a row: the integral's start, shape and scale."""
     r, alpha, s, beta = _unpack(params)
     low, high = f"least({alpha}, {beta})", f"greatest({alpha}, {beta})"
     k = f"({r} + {x} + {s})"
-    gap = f"(({high} - {low})/({low} + {t_x}))"
-    power = f"if({beta} >= {alpha}, {s} + 1, {r} + {x})"
     start = f"exp(-{k}/{_POWER}D*(ln({low} + {T}) - ln({low} + {t_x})))"
     height = (
         f"exp(({r} + {x})*ln({alpha} + {T}) + {s}*ln({beta} + {T}) - {k}*ln({low} + {t_x}))"
     )
-    node = "v.start + (1 - v.start)*n.u"
-    integral = (
-        f"aggregate({_RULE}, 0D, (total, n) -> total + n.w*pow({node}, {_POWER - 1}D)"
-        f"*exp(-v.power*ln(1 + v.gap*pow({node}, {_POWER}D/v.k))))"
-    )
-    values = f"named_struct('start', {start}, 'gap', {gap}, 'power', {power}, 'k', {k})"
-    body = f"{s}/v.k * {height} * {_POWER}*(1 - v.start) * {integral}"
-    return let("v", values, body)
+    return {
+        "start": start,
+        "gap": f"({high} - {low})/({low} + {t_x})",
+        "power": f"if({beta} >= {alpha}, {s} + 1, {r} + {x})",
+        "root": f"{_POWER}D/{k}",
+        "scale": f"{s}/{k} * {height} * {_POWER}*(1 - {start})",
+    }
+
+
+def leaving_odds(at: str = "") -> str:
+    """Odds of having left, from the columns of ``leaving_terms`` or from fields of ``at``."""
+
+    def term(u: float, w: float) -> str:
+        node = f"({at}start + (1 - {at}start)*{sql(u)})"
+        bend = f"ln(1 + {at}gap*pow({node}, {at}root))"
+        return f"{sql(w)}*pow({node}, {_POWER - 1}D)*exp(-{at}power*{bend})"
+
+    return f"({at}scale * ({' + '.join(term(u, w) for u, w in _RULE)}))"
+
+
+def _row_odds(params: Params, x: str, t_x: str, T: str) -> str:
+    terms = leaving_terms(params, x, t_x, T)
+    fields = ", ".join(f"'{name}', {text}" for name, text in terms.items())
+    return let("v", f"named_struct({fields})", leaving_odds("v."))
 
 
 def probability_alive(params: Params, x="frequency", t_x="recency", T="T") -> str:
-    return f"(1 / (1 + {_leaving_odds(params, x, t_x, T)}))"
+    return f"(1 / (1 + {_row_odds(params, x, t_x, T)}))"
 
 
 def expected_purchases(params: Params, t: Number, x="frequency", t_x="recency", T="T") -> str:
@@ -63,11 +78,11 @@ def expected_purchases(params: Params, t: Number, x="frequency", t_x="recency",
 
 
 def row_log_likelihood(params: Params, x="x", t_x="t_x", T="T") -> str:
-    """The part of the log-likelihood that depends on the row."""
+    """The part that depends on the row, given the columns of ``leaving_terms``."""
     r, alpha, s, beta = _unpack(params)
     return (
         f"({ln_gamma(f'{r} + {x}')} - ({r} + {x})*ln({alpha} + {T}) - {s}*ln({beta} + {T})"
-        f" + log1p({_leaving_odds(params, x, t_x, T)}))"
+        f" + log1p({leaving_odds()}))"
     )
 
 

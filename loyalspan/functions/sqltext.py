@@ -60,7 +60,7 @@ def unit_interval_rule(points: int = 72, left: float = 6.0, right: float = 3.8,
     )
 
 
-def legendre_rule(points: int = 32) -> str:
+def legendre_rule(points: int) -> list[tuple[float, float]]:
     """Gauss-Legendre nodes and weights on (0, 1)."""
     u, w = np.polynomial.legendre.leggauss(points)
-    return struct_array({"u": (x + 1) / 2, "w": y / 2} for x, y in zip(u, w))
+    return [((x + 1) / 2, y / 2) for x, y in zip(u.tolist(), w.tolist())]

@@ -28,13 +28,19 @@ LOWEST, HIGHEST = -12.0, 30.0  # bounds of the log-parameters
 
 @dataclass(frozen=True)
 class Likelihood:
-    """How a model looks to the optimiser."""
+    """How a model looks to the optimiser.
+
+    ``terms`` are columns that ``row_text`` refers to, ``constant`` is the part of the
+    log-likelihood that is the same for every row, and ``in_days`` names the time-scaled
+    parameters.
+    """
 
     names: tuple[str, ...]
     row_text: Callable[[Mapping[str, str]], str]
     constant: Callable[[Mapping[str, float]], float]
     starts: tuple[tuple[float, ...], ...]
     in_days: tuple[str, ...] = ()
+    terms: Callable[[Mapping[str, str]], dict[str, str]] = lambda params: {}
 
 
 MBG = Likelihood(
@@ -43,13 +49,15 @@ MBG = Likelihood(
     mbg.constant_log_likelihood,
     starts=((0.3, 1.0, 3.0), (0.1, 0.6, 3.0), (0.1, 0.5, 1.5), (0.5, 2.0, 6.0)),
     in_days=("alpha",),
+    terms=lambda params: mbg.leaving_terms(params, "x", "t_x", "T"),
 )
 PARETO = Likelihood(
     pareto.NAMES,
     pareto.row_log_likelihood,
     pareto.constant_log_likelihood,
-    starts=((0.3, 1.0, 3.0), (0.1, 0.6, 3.0), (0.1, 0.5, 1.5), (0.5, 3.0, 12.0)),
+    starts=((0.5, 2.0), (0.1, 0.6, 2.0), (0.2, 1.0), (1.0, 6.0)),
     in_days=("alpha", "beta"),
+    terms=lambda params: pareto.leaving_terms(params, "x", "t_x", "T"),
 )
 GAMMA_GAMMA = Likelihood(
     gamma_gamma.NAMES,
@@ -78,9 +86,11 @@ def mean_log_likelihood(
         F.lit(json.dumps([{"id": i, **values} for i, values in enumerate(named)])),
         f"array<struct<id: int, {fields}>>",
     )
-    text = model.row_text({name: f"point.{name}" for name in model.names})
+    params = {name: f"point.{name}" for name in model.names}
+    text = model.row_text(params)
     sums = (
         rows.withColumn("point", F.explode(table))
+        .select("*", *[F.expr(term).alias(name) for name, term in model.terms(params).items()])
         .groupBy(F.col("point.id").alias("id"))
         .agg(
             F.sum(F.col("weight") * F.expr(text)).alias("total"),

@@ -32,21 +32,23 @@ def purchase_outlook(
     aggregate; the rows are already partitioned by the pair, so only the pairs are shuffled.
     """
     keys = pairs.columns
-    at_node = {name: mbg.node_purchases(model, days) for name, days in horizons.items()}
+    at_node = {name: mbg.node_purchases(days) for name, days in horizons.items()}
     for name, (months, rate) in (discounted or {}).items():
-        at_node[name] = mbg.node_discounted(model, months, rate)
+        at_node[name] = mbg.node_discounted(months, rate)
+    terms = mbg.node_terms(model)
     nodes = (
         spread(pairs.distinct(), *keys)
         .select(*keys, F.inline(F.expr(unit_interval_rule())))
+        .select(*keys, "p", *[F.expr(text).alias(name) for name, text in terms.items()])
         .select(
             *keys,
-            "p",
-            F.expr(mbg.node_density(model, "x")).alias("w"),
-            *[F.expr(value).alias(name) for name, value in at_node.items()],
+            "w",
+            (F.col("w") / F.col("p")).alias("v"),
+            *[F.expr(text).alias(name) for name, text in at_node.items()],
         )
     )
     return nodes.groupBy(*keys).agg(
-        *[(F.sum(F.col("w") / F.col("p") * F.col(name)) / F.sum("w")).alias(name) for name in at_node]
+        *[(F.sum(F.col("v") * F.col(name)) / F.sum("w")).alias(name) for name in at_node]
     )
 
 
@@ -59,7 +61,10 @@ def with_purchases(
     t_x: str = "recency",
     T: str = "T",
 ) -> DataFrame:
-    """``customers`` with ``alive`` and the expected purchases of each output."""
+    """``customers`` with ``alive`` and the expected purchases of each output.
+
+    Customers without a history keep their row, with null results.
+    """
     by_column = [t for t in horizons.values() if isinstance(t, str)]
     keys = ["x", "T", *by_column]
     history = customers.select(
@@ -74,6 +79,6 @@ def with_purchases(
     outputs = [*horizons, *(discounted or {})]
     return (
         history.withColumn("alive", alive)
-        .join(outlook, keys)
+        .join(outlook, keys, "left")
         .select("customer.*", "alive", *[(F.col("alive") * F.col(o)).alias(o) for o in outputs])
     )

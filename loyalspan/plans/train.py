@@ -122,7 +122,7 @@ def pareto_predictions(training: DataFrame, model: pareto.Params) -> DataFrame:
     )
     expected = F.expr(pareto.expected_purchases(model, "ahead", "x", "t_x", "T"))
     histories = spread(rows.select(*keys).distinct()).withColumn("frequency_predicted", expected)
-    return rows.join(histories, list(keys)).select("customer.*", "frequency_predicted")
+    return rows.join(histories, list(keys), "left").select("customer.*", "frequency_predicted")
 
 
 @dataclass(frozen=True)

@@ -54,12 +54,14 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once and continue from the written rows.
+    """Write ``df`` to the shared folder once and continue from the written table.
 
     Used where a frame feeds several jobs, or where a later step must see the very same
-    partitioning; the result survives the loss of any executor.
+    partitioning. The table survives the loss of any executor, later passes read only the
+    columns they need, and its size is known to the optimiser. Tables stay in the folder until
+    its owner's clean-up removes them.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
