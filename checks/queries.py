@@ -108,7 +108,7 @@ def purchase_events(spark: SparkSession, folder: str) -> DataFrame:
         .select(
             F.col("user_id").alias("customer_id"),
             F.col("ts").alias("sale_dt"),
-            F.col("value").cast("decimal(18,2)").alias("amount"),
+            F.col("value").cast("decimal(15,2)").alias("amount"),
         )
     )
 
@@ -341,7 +341,7 @@ def inference_input(spark, folder):
 def attach_current_dt(spark, folder):
     daily, current = retail.valid_history(spark, folder, START, PERIOD)
     return rfm.attach_current_day(daily, current).select(
-        "customer_id", "day", *as_double("amount"), "current_dt"
+        "customer_id", "day", rfm.spent(daily).alias("amount"), "current_dt"
     )
 
 
@@ -350,7 +350,7 @@ def first_purchase_join(spark, folder):
     orders = rfm.in_period(retail.all_orders(spark, folder), START, PERIOD)
     daily = rfm.daily_spend(orders)
     joined = rfm.attach_first_purchase(daily, rfm.first_purchase(orders))
-    return joined.select("customer_id", "day", *as_double("amount"), "first_at")
+    return joined.select("customer_id", "day", rfm.spent(daily).alias("amount"), "first_at")
 
 
 @query
@@ -377,13 +377,13 @@ def feature_lookup(spark, folder):
 @query
 def daily_spend(spark, folder):
     daily, _ = retail.valid_history(spark, folder, START, PERIOD)
-    return daily.withColumn("amount", F.col("amount").cast("double"))
+    return daily.withColumn("amount", rfm.spent(daily))
 
 
 @query
 def daily_spend_events(spark, folder):
     daily = rfm.daily_spend(purchase_events(spark, folder))
-    return daily.withColumn("amount", F.col("amount").cast("double"))
+    return daily.withColumn("amount", rfm.spent(daily))
 
 
 @query
@@ -505,27 +505,26 @@ def confusion_matrix(spark, folder):
 
 @query
 def qcut_decile(spark, folder):
-    cut = deciles.qcut_decile(rate_predictions(spark, folder), "predicted")
+    cut = deciles.qcut_decile(materialise(rate_predictions(spark, folder)), "predicted")
     return cut.select("CustomerID", "decile")
 
 
 @query
 def decile_capture(spark, folder):
-    capture = deciles.decile_capture(
-        rate_predictions(spark, folder), "predicted", "frequency_holdout"
-    )
+    forecast = materialise(rate_predictions(spark, folder))
+    capture = deciles.decile_capture(forecast, "predicted", "frequency_holdout")
     return rounded(capture, 9)
 
 
 @query
 def quality_gates(spark, folder):
     """The gates on the plain rate forecast."""
-    forecast = rate_predictions(spark, folder)
+    forecast = materialise(labelled(spark, folder))
     spend = metrics.regression_metrics(forecast, "monetary_value_holdout", "monetary_value_cal")
     summary = metrics.regression_metrics(forecast, "frequency_holdout", "predicted").select(
         F.col("mae").alias("frequency_mae"),
         metrics.roc_auc(forecast, "alive", "score").scalar().alias("roc_auc"),
-        metrics.f1_score(labelled(spark, folder), "alive", "pred_alive").scalar().alias("f1_score"),
+        metrics.f1_score(forecast, "alive", "pred_alive").scalar().alias("f1_score"),
         spend.select("rmse").scalar().alias("spend_rmse"),
         forecast.agg(F.count("*").cast("double")).scalar().alias("row_count"),
     )
@@ -540,7 +539,7 @@ def clv_decile(spark, folder):
     worth = all_full(spark, folder).select(
         "CustomerID", (F.col("monetary_value") * F.col("frequency")).alias("worth")
     )
-    return running.ntile(worth, "worth", "CustomerID", "clv_1y_decile").select(
+    return running.ntile(materialise(worth), "worth", "CustomerID", "clv_1y_decile").select(
         "CustomerID", "clv_1y_decile"
     )
 
@@ -550,7 +549,7 @@ def alive_decile(spark, folder):
     """Ranked by a score with heavy ties: recency as a share of tenure, to one digit."""
     share = F.round(F.col("recency") / F.nullif(F.col("T"), F.lit(0.0)), 1)
     recent = all_full(spark, folder).select("CustomerID", share.cast("double").alias("share"))
-    return running.ntile(recent, "share", "CustomerID", "prob_alive_decile").select(
+    return running.ntile(materialise(recent), "share", "CustomerID", "prob_alive_decile").select(
         "CustomerID", "prob_alive_decile"
     )
 

@@ -12,7 +12,8 @@ def qcut_decile(df: DataFrame, value: str, out: str = "decile", bins: int = 10)
     """``bins`` minus the quantile bin of ``value``, highest values first.
 
     Bins are closed on the right and equal edges are merged, so with heavy ties there are fewer
-    bins, numbered down from ``bins``. Null and NaN get no bin.
+    bins, numbered down from ``bins``. Null and NaN get no bin. ``df`` is read twice, so a costly
+    one should be materialised.
     """
     edges = quantiles(df, value, [i / bins for i in range(bins + 1)])
     distinct = sorted({edge for edge in edges if edge is not None})

@@ -10,10 +10,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from loyalspan.functions.scalars import month_start, period_end, purchase_day
 
 
+# Decimals of up to this many digits pass through a double unharmed.
+EXACT_DIGITS = 15
+_SCALE = "scale"
+
+
 def in_period(transactions: DataFrame, start: str, period: str, ts: str = "sale_dt") -> DataFrame:
     """Transactions on days from ``start`` to the end of ``period``'s month, both included."""
     last = period_end(F.lit(period).cast("date"))
@@ -26,14 +32,31 @@ def daily_spend(
     ts: str = "sale_dt",
     amount: str = "amount",
 ) -> DataFrame:
-    """One row per customer and purchase day; decimal amounts are summed exactly."""
+    """One row per customer and purchase day, with what was spent.
+
+    Decimal amounts are summed exactly. Those of ordinary size are summed as whole minor units
+    (cents), which keeps every shuffled sum to eight bytes; the number of decimals travels with
+    the column, and ``spent`` turns such sums into currency.
+    """
+    declared = transactions.schema[amount].dataType
+    value, metadata = F.col(amount), {}
+    if isinstance(declared, DecimalType) and declared.precision <= EXACT_DIGITS:
+        metadata = {_SCALE: declared.scale}
+        value = F.round(value.cast("double") * 10**declared.scale).cast("bigint")
     return (
         transactions.where(F.col(customer).isNotNull())
         .groupBy(F.col(customer).alias("customer_id"), purchase_day(ts).alias("day"))
-        .agg(F.sum(amount).alias("amount"))
+        .agg(F.sum(value).alias("amount", metadata=metadata))
     )
 
 
+def spent(daily: DataFrame, total: Column | None = None) -> Column:
+    """Sums of ``daily.amount`` (the column itself by default) in currency, as a double."""
+    total = F.col("amount") if total is None else total
+    scale = daily.schema["amount"].metadata.get(_SCALE, 0)
+    return total.cast("double") / 10.0**scale if scale else total.cast("double")
+
+
 def current_day(transactions: DataFrame, ts: str = "sale_dt") -> DataFrame:
     """The latest purchase day of anyone: one row, ``current_dt``."""
     return transactions.agg(F.max(purchase_day(ts)).alias("current_dt"))
@@ -58,17 +81,17 @@ def attach_first_purchase(daily: DataFrame, first: DataFrame) -> DataFrame:
 def repeat_spend(daily: DataFrame) -> DataFrame:
     """Per customer, total spend without the first purchase day."""
     spend = F.sum("amount") - F.min_by("amount", "day")
-    return daily.groupBy("customer_id").agg(spend.cast("double").alias("repeat_spend"))
+    return daily.groupBy("customer_id").agg(spent(daily, spend).alias("repeat_spend"))
 
 
 def _cut(current: DataFrame, duration: int) -> Column:
     return F.date_sub(current.scalar(), duration)
 
 
-def _average_repeat_spend(total: str, first: str, days: str) -> Column:
+def _average_repeat_spend(daily: DataFrame) -> Column:
     """Spend per repeat day; 0 for customers with one purchase day."""
-    repeats = F.nullif(F.col(days) - 1, F.lit(0))
-    repeat_total = (F.col(total) - F.col(first)).cast("double")
+    repeats = F.nullif(F.col("days") - 1, F.lit(0))
+    repeat_total = spent(daily, F.col("total") - F.col("first_amount"))
     return F.coalesce(repeat_total / repeats, F.lit(0.0))
 
 
@@ -89,7 +112,7 @@ def rfm_calibration(daily: DataFrame, current: DataFrame, duration: int) -> Data
             (F.col("days") - 1).cast("float").alias("frequency"),
             F.datediff("last_at", "first_at").cast("float").alias("recency"),
             F.datediff("cut", "first_at").cast("float").alias("T"),
-            _average_repeat_spend("total", "first_amount", "days").alias("monetary_value"),
+            _average_repeat_spend(daily).alias("monetary_value"),
         )
     )
 
@@ -104,7 +127,7 @@ def rfm_holdout(daily: DataFrame, current: DataFrame, duration: int) -> DataFram
         .select(
             "customer_id",
             F.col("days").cast("float").alias("frequency_holdout"),
-            (F.col("total").cast("double") / F.col("days")).alias("monetary_value_holdout"),
+            (spent(daily, F.col("total")) / F.col("days")).alias("monetary_value_holdout"),
         )
     )
 
@@ -145,10 +168,10 @@ def training_snapshot(daily: DataFrame, current: DataFrame, period: str, duratio
             (F.col("days") - 1).cast("float").alias("frequency_cal"),
             F.datediff("last_at", "first_at").cast("float").alias("recency_cal"),
             F.datediff("cut", "first_at").cast("float").alias("T_cal"),
-            _average_repeat_spend("total", "first_amount", "days").alias("monetary_value_cal"),
+            _average_repeat_spend(daily).alias("monetary_value_cal"),
             F.col("holdout_days").cast("double").alias("frequency_holdout"),
             F.coalesce(
-                F.col("holdout_total").cast("double") / F.nullif("holdout_days", F.lit(0)),
+                spent(daily, F.col("holdout_total")) / F.nullif("holdout_days", F.lit(0)),
                 F.lit(0.0),
             ).alias("monetary_value_holdout"),
             F.lit(duration).cast("float").alias("duration_holdout"),
@@ -173,6 +196,6 @@ def full_snapshot(daily: DataFrame, current: DataFrame, period: str) -> DataFram
             (F.col("days") - 1).cast("float").alias("frequency"),
             F.datediff("last_at", "first_at").cast("float").alias("recency"),
             F.datediff(current.scalar(), F.col("first_at")).cast("float").alias("T"),
-            _average_repeat_spend("total", "first_amount", "days").alias("monetary_value"),
+            _average_repeat_spend(daily).alias("monetary_value"),
         )
     )

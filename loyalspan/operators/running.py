@@ -7,23 +7,33 @@ numbers stay fixed, and each slice continues from the totals of the slices befor
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from loyalspan.session import materialise
 
 
+def _sliced(df: DataFrame, order_by: Sequence[Column]) -> DataFrame:
+    """The rows in even ranges of the order, each with the number of its range."""
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(slices, *order_by)
+    return materialise(ranged.withColumn("_slice", F.spark_partition_id()))
+
+
+def _within(order_by: Sequence[Column]) -> WindowSpec:
+    ordered = Window.partitionBy("_slice").orderBy(*order_by)
+    return ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def running_totals(
     df: DataFrame, order_by: Sequence[Column], totals: Mapping[str, Column]
 ) -> DataFrame:
     """Add, for each entry, the running sum ``name`` in global order and the sum ``name_total``."""
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialise(
-        df.select("*", *[value.alias(f"_{name}") for name, value in totals.items()])
-        .repartitionByRange(slices, *order_by)
-        .withColumn("_slice", F.spark_partition_id())
+    ranged = _sliced(
+        df.select("*", *[value.alias(f"_{name}") for name, value in totals.items()]), order_by
     )
     # One row per slice, so these frames never outgrow the number of partitions.
     per_slice = ranged.groupBy("_slice").agg(*[F.sum(f"_{name}").alias(name) for name in totals])
@@ -36,11 +46,7 @@ def running_totals(
         *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_{name}_before") for name in totals],
         *[F.sum(name).over(every).alias(f"{name}_total") for name in totals],
     )
-    within = (
-        Window.partitionBy("_slice")
-        .orderBy(*order_by)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    within = _within(order_by)
     return ranged.join(F.broadcast(offsets), "_slice").select(
         *df.columns,
         *[(F.sum(f"_{name}").over(within) + F.col(f"_{name}_before")).alias(name) for name in totals],
@@ -48,14 +54,47 @@ def running_totals(
     )
 
 
-def _ntile_of(rank: Column, total: Column, buckets: int) -> Column:
-    """The n-tile of the row at ``rank`` (from 1): early buckets take the remainder."""
-    size = F.floor(total / buckets)
-    larger = total % buckets
-    in_larger = larger * (size + 1)
-    return F.when(rank <= in_larger, F.ceil(rank / (size + 1))).otherwise(
-        larger + F.ceil((rank - in_larger) / F.greatest(size, F.lit(1)))
+def rows_at_ranks(
+    df: DataFrame,
+    order_by: Sequence[Column],
+    ranks: Callable[[int], Sequence[int]],
+    weight: Column | None = None,
+) -> tuple[int, dict[int, Row]]:
+    """The number of rows and the rows at a few ranks (from 1) of the global order.
+
+    ``ranks`` is given the number of rows; ``weight`` says how many rows each one stands for.
+    Only the slices that hold a wanted rank are sorted.
+    """
+    weighed = df.withColumn("_weight", F.lit(1) if weight is None else weight)
+    ranged = _sliced(weighed, order_by)
+    sizes = ranged.groupBy("_slice").agg(F.sum("_weight").alias("size")).collect()
+    total, before = 0, {}
+    wanted = sorted(set(ranks(sum(row["size"] for row in sizes))))
+    for number, size in sorted((row["_slice"], row["size"]) for row in sizes):
+        if any(total < rank <= total + size for rank in wanted):
+            before[number] = total
+        total += size
+    if not before:
+        return total, {}
+
+    start = F.coalesce(*[F.when(F.col("_slice") == n, F.lit(b)) for n, b in before.items()])
+    located = (
+        ranged.where(F.col("_slice").isin(list(before)))
+        .withColumn("_upto", F.sum("_weight").over(_within(order_by)) + start)
+        .withColumn("_from", F.col("_upto") - F.col("_weight"))
     )
+    holds = [(F.col("_from") < rank) & (F.col("_upto") >= rank) for rank in wanted]
+    found = located.where(reduce(Column.__or__, holds)).collect()  # at most one row per rank
+    return total, {
+        rank: row for rank in wanted for row in found if row["_from"] < rank <= row["_upto"]
+    }
+
+
+def _bucket_starts(total: int, buckets: int) -> list[int]:
+    """Rank of the first row of each bucket but the first; early buckets take the remainder."""
+    size, larger = divmod(total, buckets)
+    starts = [1 + i * size + min(i, larger) for i in range(1, buckets)]
+    return [start for start in starts if start <= total]
 
 
 def ntile(df: DataFrame, score: str, key: str, out: str, buckets: int = 10) -> DataFrame:
@@ -63,20 +102,19 @@ def ntile(df: DataFrame, score: str, key: str, out: str, buckets: int = 10) -> D
 
     Only (score, key) is sorted. The first row of each bucket is looked up and every row of
     ``df`` then counts the bucket starts at or before it. ``key`` is unique; nulls come last.
+    ``df`` is read again for the result, so a costly one should be materialised.
     """
     order = [F.col(score).desc_nulls_last(), F.col(key).asc()]
-    ranked = running_totals(df.select(score, key), order, {"rank": F.lit(1).cast("long")})
-    tile = _ntile_of(F.col("rank"), F.col("rank_total"), buckets)
-    before = _ntile_of(F.col("rank") - 1, F.col("rank_total"), buckets)
-    starts = ranked.where((F.col("rank") > 1) & (tile > before)).select(score, key).collect()
-
+    _, starts = rows_at_ranks(
+        df.select(score, key), order, lambda total: _bucket_starts(total, buckets)
+    )
     bucket = F.lit(1)
-    for start_score, start_key in starts:  # at most buckets - 1 rows
-        same = F.col(score).eqNullSafe(F.lit(start_score)) & (F.col(key) >= F.lit(start_key))
-        if start_score is None:
+    for start in starts.values():
+        same = F.col(score).eqNullSafe(F.lit(start[score])) & (F.col(key) >= F.lit(start[key]))
+        if start[score] is None:
             reached = same
         else:
-            reached = same | F.col(score).isNull() | (F.col(score) < F.lit(start_score))
+            reached = same | F.col(score).isNull() | (F.col(score) < F.lit(start[score]))
         bucket = bucket + F.coalesce(reached, F.lit(False)).cast("int")
     return df.withColumn(out, bucket)
 
@@ -86,19 +124,23 @@ def quantiles(df: DataFrame, value: str, probabilities: Sequence[float]) -> list
 
     Equal values are counted before they are sorted.
     """
+
+    def position(total: int, probability: float) -> tuple[int, float]:
+        """Rank of the lower neighbour and the share of the way to the next."""
+        exact = (total - 1) * float(probability)
+        return int(exact) + 1, exact - int(exact)
+
+    def neighbours(total: int) -> list[int]:
+        lower = [position(total, p)[0] for p in probabilities] if total else []
+        return [rank for low in lower for rank in (low, min(low + 1, total))]
+
     counts = df.where(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(value).count()
-    ranked = running_totals(counts, [F.col(value).asc()], {"upto": F.col("count")})
-    picks = []
-    for i, probability in enumerate(probabilities):
-        position = (F.col("upto_total") - 1) * F.lit(float(probability))
-        for name, rank in ((f"lo{i}", F.floor(position)), (f"hi{i}", F.ceil(position))):
-            picks.append(F.min(F.when(F.col("upto") > rank, F.col(value))).alias(name))
-    row = ranked.agg(F.max("upto_total").alias("n"), *picks).first()
-    if row["n"] is None:
+    total, rows = rows_at_ranks(counts, [F.col(value).asc()], neighbours, F.col("count"))
+    if not total:
         return [None for _ in probabilities]
     edges = []
-    for i, probability in enumerate(probabilities):
-        position = (row["n"] - 1) * float(probability)
-        share = position - int(position)
-        edges.append(row[f"lo{i}"] + (row[f"hi{i}"] - row[f"lo{i}"]) * share)
+    for probability in probabilities:
+        low, share = position(total, probability)
+        below, above = rows[low][value], rows[min(low + 1, total)][value]
+        edges.append(below + (above - below) * share)
     return edges

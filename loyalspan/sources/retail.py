@@ -23,7 +23,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _money(column: str) -> Column:
-    return F.col(column).cast("decimal(18,2)")
+    return F.col(column).cast("decimal(15,2)")
 
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:

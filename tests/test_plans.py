@@ -6,9 +6,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from loyalspan.operators import rfm
 from loyalspan.plans import evaluate, prepare, score, train
 from loyalspan.session import scratch_path
 from loyalspan.sources import registry, retail, snapshots
+from loyalspan.sources.transactions import clean_transactions
 
 FOLDER = "/root/testdata/sf0.001"
 PERIOD = "2001-07-01"
@@ -44,7 +46,7 @@ def flow(spark):
         spark, paths["full"], paths["results"], paths["models"], PERIOD,
         export_folder=paths["csv"], written_at=AT,
     )
-    return {"paths": paths, "prepared": prepared, "frequency": frequency, "spend": spend, "rows": rows}
+    return {"raw": raw, "paths": paths, "prepared": prepared, "frequency": frequency, "spend": spend, "rows": rows}
 
 
 def test_prepared_tables(spark, flow):
@@ -56,6 +58,17 @@ def test_prepared_tables(spark, flow):
     assert training.groupBy("CustomerID").count().where("count > 1").count() == 0
 
 
+def test_prepared_tables_equal_the_direct_snapshots(spark, flow):
+    bought = rfm.in_period(clean_transactions(flow["raw"], retail.RULES), "1995-01-01", PERIOD)
+    daily, current = rfm.daily_spend(bought), rfm.current_day(bought)
+    for name, schema, direct in (
+        ("training", snapshots.TRAINING_SCHEMA, rfm.training_snapshot(daily, current, PERIOD, 365)),
+        ("full", snapshots.FULL_SCHEMA, rfm.full_snapshot(daily, current, PERIOD)),
+    ):
+        stored = snapshots.read_snapshots(spark, flow["paths"][name], schema).select(*direct.columns)
+        assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, direct.collect()))
+
+
 def test_training_leaves_models_and_logs(spark, flow):
     models = registry.latest_models(registry.read_models(spark, flow["paths"]["models"])).collect()
     assert {m["name"] for m in models} == {

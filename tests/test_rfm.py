@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loyalspan.operators import rfm
 from loyalspan.sources.transactions import CLEAN_COLUMNS, CleaningRules, clean_transactions
 
-SCHEMA = "customer_id string, sale_dt timestamp_ntz, amount decimal(18,2)"
+SCHEMA = "customer_id string, sale_dt timestamp_ntz, amount "
 # The latest purchase is on 31 July, so with ten days of holdout the cut is 21 July.
 EDGES = [
     ("late", datetime(2020, 7, 31, 23, 59), "5.00"),
@@ -25,10 +25,12 @@ EDGES = [
 ]
 
 
-@pytest.fixture(scope="module")
-def edges(spark):
-    rows = [(c, ts, Decimal(a)) for c, ts, a in EDGES]
-    return rfm.in_period(spark.createDataFrame(rows, SCHEMA), "2020-01-01", "2020-07-01")
+@pytest.fixture(scope="module", params=["decimal(12,2)", "decimal(18,2)", "double"])
+def edges(spark, request):
+    number = float if request.param == "double" else Decimal
+    rows = [(c, ts, number(a)) for c, ts, a in EDGES]
+    transactions = spark.createDataFrame(rows, SCHEMA + request.param)
+    return rfm.in_period(transactions, "2020-01-01", "2020-07-01")
 
 
 def by_customer(df, key="CustomerID"):
@@ -114,3 +116,11 @@ def test_cleaning_rules(spark):
 def test_rollup_plan_combines_before_the_shuffle(edges):
     plan = rfm.daily_spend(edges)._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan
+
+
+def test_money_is_exact(spark):
+    rows = [("a", date(2020, 1, 1), Decimal("0.10"))] * 1000 + [("a", date(2020, 1, 1), Decimal("9999999999999.99"))]
+    df = spark.createDataFrame(rows, "customer_id string, sale_dt date, amount decimal(15,2)")
+    daily = rfm.daily_spend(df)
+    assert dict(daily.dtypes)["amount"] == "bigint"
+    assert daily.select(rfm.spent(daily)).first()[0] == 10000000000099.99
