@@ -622,6 +622,53 @@ ORACLES["pareto_predict"] = f"""
                  * alive, 6) AS predicted
     FROM q
 """
+
+
+def _likelihood(values: dict[str, float], where: str, text: str) -> str:
+    """Mean of ``text`` over training customers, with the parameters at full and half size."""
+    columns = ", ".join(f"{value} * factor AS {name}" for name, value in values.items())
+    return f"""
+    WITH {training(ALL)},
+    points AS (SELECT factor, {columns} FROM (SELECT unnest([1.0, 0.5]::DOUBLE[]) AS factor)),
+    bought AS (SELECT CAST(frequency_cal AS DOUBLE) AS x, CAST(recency_cal AS DOUBLE) AS tx,
+                 CAST(T_cal AS DOUBLE) AS age, monetary_value_cal AS m FROM train)
+    SELECT factor, ROUND(AVG({text}), 8) AS log_likelihood FROM bought CROSS JOIN points {where}
+    GROUP BY factor
+    """
+
+
+ORACLES["likelihood_mbg"] = _likelihood(
+    {"r": _R, "al": _ALPHA, "a": _A, "b": _B},
+    "",
+    """lgamma(r + x) - lgamma(r) + r * ln(al) + lgamma(a + b) - lgamma(b) + lgamma(b + x + 1)
+       - lgamma(a + b + x + 1) - (r + x) * ln(al + age)
+       + ln(1 + a / (b + x) * POWER((al + age) / (al + tx), r + x))""",
+)
+
+
+def _pareto_integral(y: str) -> str:
+    """2F1(k, r+x; k+1; (be-al)/(be+y)) ((be+age)/(be+y))^k for al < be, k = r+s+x."""
+    return f"""
+        list_sum(list_transform(range(0, 300), lambda n:
+            exp(lgamma(r + x + n) - lgamma(r + x) - lgamma(n + 1) + n * ln((be - al) / (be + {y}))
+                + (r + s + x) * ln((be + age) / (be + {y}))) * (r + s + x) / (r + s + x + n)))
+    """
+
+
+ORACLES["likelihood_pareto_nbd"] = _likelihood(
+    {"r": _PR, "al": _PALPHA, "s": _PS, "be": _PBETA},
+    "",
+    f"""lgamma(r + x) - lgamma(r) + r * ln(al) + s * ln(be) - (r + x) * ln(al + age)
+        - s * ln(be + age)
+        + ln(1 + s / (r + s + x) * POWER((al + age) / (be + age), r + x)
+               * ({_pareto_integral('tx')} - {_pareto_integral('age')}))""",
+)
+ORACLES["likelihood_gamma_gamma"] = _likelihood(
+    {"p": _P, "q": _Q, "v": _V},
+    "WHERE x > 0 AND m > 0",
+    """lgamma(p * x + q) - lgamma(p * x) - lgamma(q) + q * ln(v) + (p * x - 1) * ln(m)
+       + p * x * ln(x) - (p * x + q) * ln(x * m + v)""",
+)
 ORACLES["expected_spend"] = f"""
     WITH {full()} SELECT CustomerID, {_SPEND} AS expected_spend FROM full_snap
 """

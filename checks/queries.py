@@ -699,6 +699,31 @@ def _fits_frame(spark, fits):
     )
 
 
+def _likelihoods(rows, model, params):
+    """The optimiser's objective at the fixed parameters and at half of them."""
+    points = [[params[name] * factor for name in model.names] for factor in (1.0, 0.5)]
+    values = fit.mean_log_likelihood(rows, model, points)
+    return rows.sparkSession.createDataFrame(
+        [(factor, round(float(value), 8)) for factor, value in zip((1.0, 0.5), values)],
+        "factor double, log_likelihood double",
+    )
+
+
+@query
+def likelihood_mbg(spark, folder):
+    return _likelihoods(fit.purchase_rows(all_training(spark, folder)), fit.MBG, PURCHASES)
+
+
+@query
+def likelihood_pareto_nbd(spark, folder):
+    return _likelihoods(fit.purchase_rows(all_training(spark, folder)), fit.PARETO, BASELINE)
+
+
+@query
+def likelihood_gamma_gamma(spark, folder):
+    return _likelihoods(fit.spend_rows(all_training(spark, folder)), fit.GAMMA_GAMMA, SPEND)
+
+
 @query
 def fit_mbg(spark, folder):
     rows = fit.ready(fit.purchase_rows(all_training(spark, folder)))

@@ -101,22 +101,29 @@ def ntile(df: DataFrame, score: str, key: str, out: str, buckets: int = 10) -> D
     """``ntile(buckets) OVER (ORDER BY score DESC, key)`` without moving the rows of ``df``.
 
     Only (score, key) is sorted. The first row of each bucket is looked up and every row of
-    ``df`` then counts the bucket starts at or before it. ``key`` is unique; nulls come last.
+    ``df`` then finds the first bucket start that lies after it. ``key`` is unique; nulls come
+    last.
     ``df`` is read again for the result, so a costly one should be materialised.
     """
     order = [F.col(score).desc_nulls_last(), F.col(key).asc()]
     _, starts = rows_at_ranks(
         df.select(score, key), order, lambda total: _bucket_starts(total, buckets)
     )
-    bucket = F.lit(1)
-    for start in starts.values():
-        same = F.col(score).eqNullSafe(F.lit(start[score])) & (F.col(key) >= F.lit(start[key]))
+    if not starts:
+        return df.withColumn(out, F.lit(1))
+
+    def before(start: Row) -> Column:
+        earlier_key = F.col(key) < F.lit(start[key])
         if start[score] is None:
-            reached = same
-        else:
-            reached = same | F.col(score).isNull() | (F.col(score) < F.lit(start[score]))
-        bucket = bucket + F.coalesce(reached, F.lit(False)).cast("int")
-    return df.withColumn(out, bucket)
+            return F.col(score).isNotNull() | earlier_key
+        at_start = F.lit(start[score])
+        return (F.col(score) > at_start) | ((F.col(score) == at_start) & earlier_key)
+
+    first, *others = [before(starts[rank]) for rank in sorted(starts)]
+    bucket = F.when(first, F.lit(1))
+    for number, condition in enumerate(others, start=2):
+        bucket = bucket.when(condition, F.lit(number))
+    return df.withColumn(out, bucket.otherwise(F.lit(len(starts) + 1)))
 
 
 def quantiles(df: DataFrame, value: str, probabilities: Sequence[float]) -> list[float | None]:
