@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loyalspan.functions import gamma_gamma, mbg
@@ -14,7 +14,7 @@ from loyalspan.operators.running import ntile
 from loyalspan.operators.sampling import snapshot_slice
 from loyalspan.session import materialise
 from loyalspan.sources.exports import export_csv
-from loyalspan.sources.registry import load_model
+from loyalspan.sources.registry import FINAL_FREQUENCY_MODEL, FINAL_SPEND_MODEL, load_model
 from loyalspan.sources.snapshots import (
     FULL_SCHEMA,
     RESULTS_SCHEMA,
@@ -67,7 +67,7 @@ def score_snapshot(
 
 
 def run_scoring(
-    spark,
+    spark: SparkSession,
     full_path: str,
     results_path: str,
     model_path: str,
@@ -81,8 +81,8 @@ def run_scoring(
     customers = snapshot_slice(read_snapshots(spark, full_path, FULL_SCHEMA), period)
     results = score_snapshot(
         customers,
-        load_model(spark, model_path, "clv_freq_final"),
-        load_model(spark, model_path, "clv_monetary_final"),
+        load_model(spark, model_path, FINAL_FREQUENCY_MODEL),
+        load_model(spark, model_path, FINAL_SPEND_MODEL),
         monthly_rate_of(annual_rate),
     )
     create_snapshot_table(spark, results_path, RESULTS_SCHEMA)

@@ -34,7 +34,8 @@ from loyalspan.plans.evaluate import (
     spend_predictions,
 )
 from loyalspan.session import materialise, spread
-from loyalspan.sources.registry import LOG_SCHEMA, create_registry, log_run, save_model
+from loyalspan.sources import registry
+from loyalspan.sources.registry import create_registry, log_run, save_model
 
 # The baseline penalty, the search size and its seed, the loss of a failed trial.
 BASELINE_L2 = 0.01
@@ -176,29 +177,29 @@ def train_frequency(
     """Baseline, search, evaluation and final fit of the purchase model; logs and saves each."""
     spark = training.sparkSession
     training = materialise(training)
-    create_registry(spark, log_path, LOG_SCHEMA)
+    create_registry(spark, log_path, registry.LOG_SCHEMA)
 
     baseline = fit_baseline(training)
     errors = metrics.regression_metrics(
         pareto_predictions(training, baseline.params), "frequency_holdout", "frequency_predicted"
     ).first()
-    log_run(spark, log_path, "freq_pareto_simple", {"l2_penalizer_coef": baseline.l2}, errors.asDict())
-    save_model(spark, model_path, "clv_freq_pareto_simple", baseline.params, trained_at)
+    log_run(spark, log_path, registry.BASELINE_RUN, {registry.L2_PARAM: baseline.l2}, errors.asDict())
+    save_model(spark, model_path, registry.BASELINE_MODEL, baseline.params, trained_at)
 
     penalty_trials = frequency_trials(training, candidate_penalties(trials, seed))
     l2, params = best_trial(penalty_trials, mbg.NAMES)
     evaluation = evaluate_frequency(frequency_predictions(training, params))
     gates = quality_gates(_with_row_count(evaluation.summary, training), thresholds)
     log_run(
-        spark, log_path, "freq_best", {"l2_penalizer_coef": l2}, evaluation.summary.first().asDict()
+        spark, log_path, registry.BEST_FREQUENCY_RUN, {registry.L2_PARAM: l2}, evaluation.summary.first().asDict()
     )
-    save_model(spark, model_path, "clv_freq_best", params, trained_at)
+    save_model(spark, model_path, registry.BEST_FREQUENCY_MODEL, params, trained_at)
     if enforce_gates:
         require_gates(gates)
 
     final = fit_final_frequency(full, l2)
-    log_run(spark, log_path, "freq_final", {"l2_penalizer_coef": l2}, {})
-    save_model(spark, model_path, "clv_freq_final", final.params, trained_at)
+    log_run(spark, log_path, registry.FINAL_FREQUENCY_RUN, {registry.L2_PARAM: l2}, {})
+    save_model(spark, model_path, registry.FINAL_FREQUENCY_MODEL, final.params, trained_at)
     return FrequencyTraining(l2, params, evaluation, gates, final.params)
 
 
@@ -217,18 +218,18 @@ def train_spend(
     """Search, evaluation and final fit of the spend model; logs and saves each."""
     spark = training.sparkSession
     buyers = materialise(repeat_buyers(training))
-    create_registry(spark, log_path, LOG_SCHEMA)
+    create_registry(spark, log_path, registry.LOG_SCHEMA)
 
     penalty_trials = spend_trials(buyers, candidate_penalties(trials, seed), holdout_inputs)
     l2, params = best_trial(penalty_trials, gamma_gamma.NAMES)
     evaluation = evaluate_spend(spend_predictions(buyers, params, holdout_inputs))
     gates = quality_gates(evaluation, thresholds)
-    log_run(spark, log_path, "monetary_best", {"l2_penalizer_coef": l2}, evaluation.first().asDict())
-    save_model(spark, model_path, "clv_monetary_best", params, trained_at)
+    log_run(spark, log_path, registry.BEST_SPEND_RUN, {registry.L2_PARAM: l2}, evaluation.first().asDict())
+    save_model(spark, model_path, registry.BEST_SPEND_MODEL, params, trained_at)
     if enforce_gates:
         require_gates(gates)
 
     final = fit_final_spend(repeat_buyers(full, "frequency"), l2)
-    log_run(spark, log_path, "monetary_final", {"l2_penalizer_coef": l2}, {})
-    save_model(spark, model_path, "clv_monetary_final", final.params, trained_at)
+    log_run(spark, log_path, registry.FINAL_SPEND_RUN, {registry.L2_PARAM: l2}, {})
+    save_model(spark, model_path, registry.FINAL_SPEND_MODEL, final.params, trained_at)
     return SpendTraining(l2, params, evaluation, gates, final.params)

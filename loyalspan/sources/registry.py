@@ -9,6 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MODEL_SCHEMA = "name string, version int, trained_at timestamp_ntz, params map<string,double>"
+# The names models are registered and runs are logged under.
+BASELINE_MODEL, BASELINE_RUN = "clv_freq_pareto_simple", "freq_pareto_simple"
+BEST_FREQUENCY_MODEL, BEST_FREQUENCY_RUN = "clv_freq_best", "freq_best"
+FINAL_FREQUENCY_MODEL, FINAL_FREQUENCY_RUN = "clv_freq_final", "freq_final"
+BEST_SPEND_MODEL, BEST_SPEND_RUN = "clv_monetary_best", "monetary_best"
+FINAL_SPEND_MODEL, FINAL_SPEND_RUN = "clv_monetary_final", "monetary_final"
+L2_PARAM = "l2_penalizer_coef"
+
 LOG_SCHEMA = "run_name string, kind string, key string, value double"
 
 

@@ -18,8 +18,23 @@ _ORDER_RULES = ("customer_id", "amount", "currency", "visit_ind", "change_code")
 _CUSTOMER_RULES = ("region", "consumer_id", "valid_ind", "consumer_valid_flag", "trade_flag")
 
 
+# Declared, so that opening a table needs no job to look at its files.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,"
+    " props string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One of the order tables; tables without a declared schema are looked up."""
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def _money(column: str) -> Column:

@@ -1,6 +1,7 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +125,48 @@ def test_money_is_exact(spark):
     daily = rfm.daily_spend(df)
     assert dict(daily.dtypes)["amount"] == "bigint"
     assert daily.select(rfm.spent(daily)).first()[0] == 10000000000099.99
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_snapshots_equal_a_pandas_walk(spark, seed):
+    """Random histories with one customer holding a third of all purchases."""
+    rng = np.random.default_rng(seed)
+    rows = [
+        (
+            "hot" if rng.random() < 0.33 else f"c{rng.integers(60)}",
+            datetime(2020, 1, 1) + timedelta(days=int(rng.integers(200)), hours=int(rng.integers(24))),
+            Decimal(int(rng.integers(1, 10_000))) / 100,
+        )
+        for _ in range(600)
+    ]
+    df = spark.createDataFrame(rows, SCHEMA + "decimal(12,2)").repartition(7)
+    daily, current = rfm.daily_spend(df), rfm.current_day(df)
+    ours = by_customer(rfm.training_snapshot(daily, current, "2020-07-01", 60))
+    full = by_customer(rfm.full_snapshot(daily, current, "2020-07-01"))
+
+    spend = {}
+    for customer, ts, amount in rows:
+        days = spend.setdefault(customer, {})
+        days[ts.date()] = days.get(ts.date(), 0) + amount
+    latest = max(ts for _, ts, _ in rows).date()
+    cut = latest - timedelta(days=60)
+    assert set(full) == set(spend)
+    assert set(ours) == {c for c, days in spend.items() if min(days) < cut}
+    for customer, days in spend.items():
+        first = min(days)
+        repeat = [float(v) for d, v in days.items() if d != first]
+        assert full[customer]["frequency"] == len(days) - 1
+        assert full[customer]["T"] == (latest - first).days
+        assert full[customer]["monetary_value"] == pytest.approx(np.mean(repeat) if repeat else 0)
+        if customer not in ours:
+            continue
+        before = {d: v for d, v in days.items() if d < cut}
+        after = [float(v) for d, v in days.items() if d >= cut]
+        repeat = [float(v) for d, v in before.items() if d != first]
+        row = ours[customer]
+        assert row["frequency_cal"] == len(before) - 1
+        assert row["recency_cal"] == (max(before) - first).days
+        assert row["T_cal"] == (cut - first).days
+        assert row["monetary_value_cal"] == pytest.approx(np.mean(repeat) if repeat else 0)
+        assert row["frequency_holdout"] == len(after)
+        assert row["monetary_value_holdout"] == pytest.approx(np.mean(after) if after else 0)
