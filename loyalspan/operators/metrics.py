@@ -35,8 +35,11 @@ def r_squared(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return df.agg((1 - F.sum(error * error) / F.nullif(spread, F.lit(0.0))).alias("r2"))
 
 
-def _roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Per distinct score, from high to low: positives and negatives here and so far."""
+def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Per distinct score, from high to low: positives and negatives here and so far.
+
+    Both ROC metrics are sums over these points, so one pass serves both.
+    """
     counts = (
         df.where(F.col(score).isNotNull())
         .groupBy(score)
@@ -47,18 +50,34 @@ def _roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     )
 
 
+def auc_of_points(points: DataFrame) -> DataFrame:
+    wide = "decimal(18,0)"
+    # Twice the number of won pairs is a whole number: each negative loses to the positives above
+    # its score and ties with those at it.
+    won = F.sum(F.col("neg").cast(wide) * (2 * F.col("tp") - F.col("pos")).cast(wide))
+    pairs = F.max("tp_total").cast("double") * F.max("fp_total").cast("double")
+    return points.agg((won.cast("double") / 2 / F.nullif(pairs, F.lit(0.0))).alias("roc_auc"))
+
+
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Chance that a positive scores above a negative, ties counting one half.
 
     Null when one class is missing.
     """
+    return auc_of_points(roc_points(df, label, score))
+
+
+def cutoff_of_points(points: DataFrame, score: str) -> DataFrame:
     wide = "decimal(18,0)"
-    # Twice the number of won pairs is a whole number: each negative beats the positives above
-    # its score and ties with those at it.
-    won = F.sum(F.col("neg").cast(wide) * (2 * F.col("tp") - F.col("pos")).cast(wide))
-    pairs = F.max("tp_total").cast("double") * F.max("fp_total").cast("double")
-    return _roc_points(df, label, score).agg(
-        (won.cast("double") / 2 / F.nullif(pairs, F.lit(0.0))).alias("roc_auc")
+    hits = F.col("tp").cast(wide) * F.col("fp_total").cast(wide)
+    misses = F.col("fp").cast(wide) * F.col("tp_total").cast(wide)
+    best = F.max(
+        F.struct((hits - misses).alias("gain"), F.col(score).cast("double").alias("score"))
+    )
+    return points.agg(best.alias("best")).select(
+        F.when(F.col("best.gain") > 0, F.col("best.score"))
+        .otherwise(F.lit(float("inf")))
+        .alias("cutoff")
     )
 
 
@@ -67,20 +86,7 @@ def youden_cutoff(df: DataFrame, label: str, score: str) -> DataFrame:
 
     Infinity when no score does better than calling nobody positive.
     """
-    wide = "decimal(18,0)"
-    gain = F.col("tp").cast(wide) * F.col("fp_total").cast(wide) - F.col("fp").cast(wide) * F.col(
-        "tp_total"
-    ).cast(wide)
-    best = F.max(F.struct(gain.alias("gain"), F.col(score).cast("double").alias("score")))
-    return (
-        _roc_points(df, label, score)
-        .agg(best.alias("best"))
-        .select(
-            F.when(F.col("best.gain") > 0, F.col("best.score"))
-            .otherwise(F.lit(float("inf")))
-            .alias("cutoff")
-        )
-    )
+    return cutoff_of_points(roc_points(df, label, score), score)
 
 
 def predicted_label(score: Column, cutoff: Column) -> Column:

@@ -58,7 +58,9 @@ def evaluate_frequency(predictions: DataFrame) -> FrequencyEvaluation:
         .agg(F.max("ratio_cum_actual_to_total").alias("share"), F.count("*").alias("groups"))
         .select(F.when(F.col("groups") == 3, F.col("share")).alias("share"))
     )
-    cutoff = metrics.youden_cutoff(scored, "alive", "prob_alive").first()["cutoff"]
+    points = metrics.roc_points(scored, "alive", "prob_alive")
+    cutoff = metrics.cutoff_of_points(points, "prob_alive").first()["cutoff"]
+    auc = metrics.auc_of_points(points).first()["roc_auc"]
     labelled = scored.withColumn(
         "pred_alive", metrics.predicted_label(F.col("prob_alive"), F.lit(cutoff))
     )
@@ -66,7 +68,7 @@ def evaluate_frequency(predictions: DataFrame) -> FrequencyEvaluation:
         F.col("mae").alias("frequency_mae"),
         F.col("rmse").alias("frequency_rmse"),
         third.scalar().alias("captured_by_third_decile"),
-        metrics.roc_auc(scored, "alive", "prob_alive").scalar().alias("roc_auc"),
+        F.lit(auc).cast("double").alias("roc_auc"),
         F.lit(cutoff).alias("cutoff"),
         metrics.f1_score(labelled, "alive", "pred_alive").scalar().alias("f1_score"),
     )

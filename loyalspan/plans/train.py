@@ -24,6 +24,7 @@ from loyalspan.operators.fit import (
     ready,
     spend_rows,
 )
+from loyalspan.operators.outlook import purchase_outlook
 from loyalspan.operators.quality import THRESHOLDS, quality_gates, require_gates
 from loyalspan.operators.sampling import repeat_buyers
 from loyalspan.plans.evaluate import (
@@ -49,25 +50,29 @@ def candidate_penalties(trials: int = TRIALS, seed: int = SEED) -> list[float]:
     return [float(u) for u in np.random.default_rng(seed).uniform(0.0, 1.0, trials)]
 
 
-def _points(fits: Sequence[Fit]) -> Column:
-    """The fitted parameters as a constant array, to meet every row of a table."""
+def _with_fits(df: DataFrame, fits: Sequence[Fit]) -> DataFrame:
+    """Every row once per fit, with columns trial, l2 and the fitted parameters."""
     names = list(fits[0].params)
     schema = ", ".join(f"{name}: double" for name in ["l2", *names])
     rows = [{"trial": i, "l2": f.l2, **f.params} for i, f in enumerate(fits)]
-    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<trial: int, {schema}>>")
+    table = F.from_json(F.lit(json.dumps(rows)), f"array<struct<trial: int, {schema}>>")
+    return df.select("*", F.inline(table))
 
 
-def _losses(scored: DataFrame, squared_error: Column, rows: Column) -> DataFrame:
+def _losses(
+    scored: DataFrame, names: Sequence[str], squared_error: Column, rows: Column
+) -> DataFrame:
     rmse = F.sqrt(F.sum(squared_error) / F.sum(rows))
     usable = F.when(rmse.isNotNull() & ~F.isnan(rmse), rmse).otherwise(F.lit(FAILED_LOSS))
-    return scored.groupBy("point").agg(usable.alias("rmse")).select("point.*", "rmse")
+    return scored.groupBy("trial", "l2", *names).agg(usable.alias("rmse"))
 
 
 def frequency_trials(training: DataFrame, penalties: Sequence[float]) -> DataFrame:
     """MBG/NBD fitted with every penalty, with its RMSE on holdout purchases.
 
     Customers with one history are counted together; their holdout purchases enter through sums,
-    so the loss is that of the single customers.
+    so the loss is that of the single customers. The costly part of a prediction is worked out
+    once per frequency, tenure and trial.
     """
     actual = F.col("frequency_holdout")
     rows = ready(
@@ -83,11 +88,15 @@ def frequency_trials(training: DataFrame, penalties: Sequence[float]) -> DataFra
         )
     )
     fits = fit_purchases(rows, MBG, penalties)
-    params = {name: f"point.{name}" for name in mbg.NAMES}
-    predicted = F.expr(mbg.expected_purchases(params, "ahead", "x", "t_x", "T"))
-    scored = rows.withColumn("point", F.explode(_points(fits))).withColumn("e", predicted)
+    params = {name: name for name in mbg.NAMES}
+    pairs = ["x", "T", "ahead"]
+    outlook = purchase_outlook(
+        _with_fits(rows.select(*pairs).distinct(), fits), params, {"if_alive": "ahead"}
+    )
+    alive = F.expr(mbg.probability_alive(params, "x", "t_x", "T"))
+    scored = rows.join(outlook, pairs).withColumn("e", alive * F.col("if_alive"))
     squared = F.col("yy") - 2 * F.col("e") * F.col("y") + F.col("weight") * F.col("e") * F.col("e")
-    return _losses(scored, squared, F.col("weight"))
+    return _losses(scored, mbg.NAMES, squared, F.col("weight"))
 
 
 def spend_trials(
@@ -100,12 +109,10 @@ def spend_trials(
         )
     )
     fits = fit(spend_rows(buyers), GAMMA_GAMMA, penalties)
-    params = {name: f"point.{name}" for name in gamma_gamma.NAMES}
-    scored = spend_predictions(
-        buyers.withColumn("point", F.explode(_points(fits))), params, holdout_inputs
-    )
+    params = {name: name for name in gamma_gamma.NAMES}
+    scored = spend_predictions(_with_fits(buyers, fits), params, holdout_inputs)
     error = F.col("actual") - F.col("predicted")
-    return _losses(scored, error * error, F.when(error.isNotNull(), 1))
+    return _losses(scored, gamma_gamma.NAMES, error * error, F.when(error.isNotNull(), 1))
 
 
 def best_trial(trials: DataFrame, names: Sequence[str]) -> tuple[float, dict[str, float]]:
