@@ -635,7 +635,8 @@ def expected_purchases(spark, folder):
 
 @query
 def holdout_prediction(spark, folder):
-    predicted = evaluate.frequency_predictions(all_training(spark, folder), PURCHASES)
+    training = materialise(all_training(spark, folder))
+    predicted = evaluate.frequency_predictions(training, PURCHASES)
     return predicted.select("CustomerID", F.round("frequency_predicted", 6).alias("predicted"))
 
 
@@ -653,7 +654,7 @@ def frequency_scores(spark, folder):
 
 @query
 def pareto_predict(spark, folder):
-    predicted = train.pareto_predictions(all_training(spark, folder), BASELINE)
+    predicted = train.pareto_predictions(materialise(all_training(spark, folder)), BASELINE)
     alive = pareto.probability_alive(BASELINE, "frequency_cal", "recency_cal", "T_cal")
     return predicted.select(
         "CustomerID",
@@ -670,7 +671,10 @@ def expected_spend(spark, folder):
 
 def _lifetime_value(spark, folder, months):
     outlook = with_purchases(
-        all_full(spark, folder), PURCHASES, horizons={}, discounted={"purchases": (months, RATE)}
+        materialise(all_full(spark, folder)),
+        PURCHASES,
+        horizons={},
+        discounted={"purchases": (months, RATE)},
     )
     value = F.expr(gamma_gamma.expected_spend(SPEND)) * F.col("purchases")
     return outlook.select("CustomerID", F.round(value, 0).alias("clv"))
@@ -767,7 +771,8 @@ def final_fit(spark, folder):
 
 @query
 def frequency_evaluation(spark, folder):
-    predictions = evaluate.frequency_predictions(all_training(spark, folder), PURCHASES)
+    training = materialise(all_training(spark, folder))
+    predictions = evaluate.frequency_predictions(training, PURCHASES)
     return rounded(evaluate.evaluate_frequency(predictions).summary)
 
 
@@ -821,7 +826,7 @@ def udf_smoke(spark, folder):
 
 @query
 def score_snapshot(spark, folder):
-    scored = score.score_snapshot(all_full(spark, folder), PURCHASES, SPEND, RATE)
+    scored = score.score_snapshot(materialise(all_full(spark, folder)), PURCHASES, SPEND, RATE)
     floats = ("prob_alive", "purch_1y", "purch_2y")
     return scored.select(
         "snapshot_dt",
