@@ -11,11 +11,11 @@ from loyalspan.operators import fit
 from loyalspan.plans import train
 
 
-def simulate(rng, n, rate, lifetimes=None, leave=None):
+def simulate(rng, n, rate, stays=None, leave=None):
     rows = []
     for i in range(n):
         T = int(rng.integers(100, 700))
-        end = T if lifetimes is None else min(T, lifetimes[i])
+        end = T if stays is None else min(T, stays[i])
         now = last = x = 0
         alive = leave is None or rng.random() >= leave[i]
         while alive:
@@ -79,8 +79,8 @@ def test_mbg_likelihood_value(spark):
 def test_pareto_recovery(spark):
     rng = np.random.default_rng(9)
     n = 12_000
-    lifetimes = rng.exponential(1 / rng.gamma(1.2, 1 / 150, n))
-    rows = simulate(rng, n, rng.gamma(0.9, 1 / 40, n), lifetimes=lifetimes)
+    stays = rng.exponential(1 / rng.gamma(1.2, 1 / 150, n))
+    rows = simulate(rng, n, rng.gamma(0.9, 1 / 40, n), stays=stays)
     df = spark.createDataFrame(rows, "x double, t_x double, T double")
     [found] = fit.fit_purchases(fit.ready(fit.purchase_rows(df, "x", "t_x", "T")), fit.PARETO)
     assert found.converged
