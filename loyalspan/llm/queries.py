@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loyalspan.llm import exact_dedup, mixing, sharding
+from loyalspan.llm import exact_dedup, mixing, sharding, simhash
 from loyalspan.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +33,10 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.take_words(documents(spark, folder))
+
+
+@query
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, folder), shingle=3)
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", digits, "component_id")
