@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyalspan.llm import exact_dedup, mixing, sharding, simhash
+from loyalspan.llm import bpe, exact_dedup, mixing, sharding, simhash
 from loyalspan.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,15 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_table(documents(spark, folder), tree, tree.with_region())
 
 
+@query
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    texts = documents(spark, folder).select("doc_id", "text")
+    encoded = bpe.encode(texts, vocabulary, public_tokenizers.PATTERN).drop("text")
+    digests = bpe.digests(bpe.decode(encoded, vocabulary))
+    return digests.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.decisions(documents(spark, folder))
