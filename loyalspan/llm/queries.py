@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyalspan.llm import bpe, exact_dedup, mixing, sharding, simhash
+from loyalspan.llm import bpe, exact_dedup, mixing, sharding, simhash, toxicity
 from loyalspan.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,18 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.take_words(documents(spark, folder))
 
 
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, folder), shingle=3)
