@@ -117,3 +117,20 @@ SELECT l.doc_id, l.size, l.source, q.source_size, q.target,
        )))::BIGINT AS taken
 FROM laid l JOIN quotas q ON l.source IS NOT DISTINCT FROM q.source AND l.shard = q.shard
 """
+
+ORACLES["op3_top_k"] = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, p.vec_id,
+         CAST(list_dot_product(q.v, p.v) AS BIGINT) AS score
+  FROM usable q JOIN usable p ON q.vec_id % 50 = 0 AND p.vec_id <> q.vec_id
+)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""

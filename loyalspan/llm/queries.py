@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyalspan.llm import bpe, exact_dedup, mixing, sharding, simhash, toxicity
+from loyalspan.llm import bpe, exact_dedup, kdtree, mixing, pii, sharding, simhash, toxicity
 from loyalspan.llm.tables import documents
+from loyalspan.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +36,14 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return digests.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query
+def op3_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    points = materialise(kdtree.prepare(vectors, "vec_id", "embedding", factor=256))
+    queries = points.where(F.col("vec_id") % 50 == 0)
+    return kdtree.top_k(kdtree.build(points), queries, k=5)
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.decisions(documents(spark, folder))
@@ -62,3 +71,18 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, folder), shingle=3)
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return found.select("doc_id", digits, "component_id")
+
+
+@query
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(documents(spark, folder), pii.fit(pii.labelled_table(spark)))
+    counts = [
+        F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.joined("base"), 256).alias("base_sha256"),
+        pii.joined("spans").alias("spans"),
+    )
