@@ -120,10 +120,10 @@ FROM laid l JOIN quotas q ON l.source IS NOT DISTINCT FROM q.source AND l.shard
 
 ORACLES["op3_top_k"] = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 scored AS (
   SELECT q.vec_id AS query_id, p.vec_id,
@@ -134,3 +134,34 @@ SELECT query_id, rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5
 """
+
+ORACLES["op6_chat_rotation"] = """
+WITH messages AS (
+  SELECT conv_id, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS content,
+         row_number() OVER (PARTITION BY conv_id
+           ORDER BY turn NULLS LAST, coalesce(role, 'unknown'), coalesce(text, '')) - 1 AS index
+  FROM conversations
+),
+people AS (
+  SELECT DISTINCT conv_id, speaker AS perspective FROM messages WHERE speaker <> 'system'
+),
+pieces AS (
+  SELECT m.conv_id, p.perspective, m.index // 64 AS chunk, m.index, m.speaker = p.perspective AS ours,
+         '<|im_start|>' || CASE WHEN m.speaker = p.perspective THEN 'assistant'
+                                WHEN m.speaker = 'system' THEN 'system'
+                                ELSE 'user name=' || m.speaker END || chr(10) AS head,
+         m.content || '<|im_end|>' AS body
+  FROM messages m JOIN people p ON m.conv_id IS NOT DISTINCT FROM p.conv_id
+),
+laid AS (
+  SELECT *, sum(length(head) + length(body) + 1) OVER (
+      PARTITION BY conv_id, perspective, chunk ORDER BY index
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length(body) - 1 AS begins
+  FROM pieces
+)
+SELECT conv_id, perspective, chunk, count(*) AS messages,
+       string_agg(head || body || chr(10), '' ORDER BY index) AS text,
+       coalesce(string_agg(CAST(begins AS BIGINT) || ':' || CAST(begins + length(body) AS BIGINT), ','
+         ORDER BY index) FILTER (WHERE ours), '') AS masks
+FROM laid GROUP BY conv_id, perspective, chunk
+"""

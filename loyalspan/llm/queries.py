@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyalspan.llm import bpe, exact_dedup, kdtree, mixing, pii, sharding, simhash, toxicity
+from loyalspan.llm import bpe, chat, exact_dedup, kdtree, licenses, mixing, pii, sharding, simhash, toxicity
 from loyalspan.llm.tables import documents
 from loyalspan.session import materialise
 
@@ -66,6 +66,26 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_chat_rotation(spark: SparkSession, folder: str) -> DataFrame:
+    rows = chat.rotate(spark.read.parquet(f"{folder}/conversations.parquet"))
+    spans = F.transform("masks", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
+    return rows.withColumn("masks", F.array_join(spans, ","))
+
+
+@query
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(documents(spark, folder))
+    spans = F.transform(
+        "licenses",
+        lambda n: F.concat_ws(":", n["license"], n["start"].cast("string"), n["end"].cast("string")),
+    )
+    names = F.array_sort(F.array_distinct(F.transform("licenses", lambda n: n["license"])))
+    return found.select(
+        "doc_id", F.array_join(names, ",").alias("names"), F.array_join(spans, ",").alias("spans")
+    )
+
+
 @query
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, folder), shingle=3)
