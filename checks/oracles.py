@@ -1,7 +1,7 @@
 """SQL for DuckDB that computes each registered query another way.
 
-The roll-ups follow the textbook shape (separate first-day, latest-day and holdout queries joined
-together) and the purchase model its hypergeometric form, so that both differ from the jobs.
+The roll-ups number each customer's purchase days with windows and filter aggregates by that number,
+and the purchase model has its hypergeometric form, so that both differ from the jobs.
 """
 
 from __future__ import annotations
@@ -46,68 +46,68 @@ JUNE = ("1995-01-01", "2001-06-30", "2001-06-01")
 JANUARY = ("2024-01-01", "2024-01-31", "2024-01-01")
 
 
-def history(source: str, months: tuple[str, str, str], prefix: str = "") -> str:
-    """CTEs: txn, x (daily), y (latest day), z (first day) and h (all joined)."""
-    p = prefix
+def purchases(source: str, months: tuple[str, str, str], name: str = "purchases") -> str:
+    """A CTE with one row per customer and day: what was spent, the customer's how-manieth purchase
+    day it is, and the latest day of anyone."""
     return f"""
-    {p}txn AS (SELECT customer_id, day, amount FROM ({source})
-               WHERE day BETWEEN DATE '{months[0]}' AND DATE '{months[1]}'),
-    {p}x AS (SELECT customer_id, day, SUM(amount) AS amount FROM {p}txn
-             WHERE customer_id IS NOT NULL GROUP BY customer_id, day),
-    {p}y AS (SELECT MAX(day) AS current_dt FROM {p}txn),
-    {p}z AS (SELECT customer_id, MIN(day) AS first_at FROM {p}txn GROUP BY customer_id),
-    {p}h AS (SELECT {p}x.customer_id, {p}x.day, {p}x.amount, {p}z.first_at, {p}y.current_dt
-             FROM {p}x CROSS JOIN {p}y JOIN {p}z ON {p}x.customer_id = {p}z.customer_id)
+    {name} AS (
+        SELECT customer_id, day, SUM(amount) AS spent,
+               ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY day) AS visit,
+               MAX(MAX(day)) OVER () AS today
+        FROM ({source}) WHERE day BETWEEN DATE '{months[0]}' AND DATE '{months[1]}'
+        GROUP BY customer_id, day
+        QUALIFY customer_id IS NOT NULL)
     """
 
 
-MONETARY = """
-    CASE WHEN COUNT(DISTINCT day) = 1 THEN 0.0
-         ELSE CAST(SUM(CASE WHEN day = first_at THEN 0 ELSE amount END) AS DOUBLE)
-              / (COUNT(DISTINCT day) - 1) END
-"""
+def rollup(until: str) -> str:
+    """Columns of one customer's purchase days before ``until``, which is a day."""
+    kept = f"FILTER (WHERE day < {until})"
+    again = f"FILTER (WHERE visit > 1 AND day < {until})"
+    return f"""
+        CAST(COUNT(*) {again} AS FLOAT) AS frequency,
+        CAST(MAX(day) {kept} - MIN(day) AS FLOAT) AS recency,
+        CAST(MAX({until}) - MIN(day) AS FLOAT) AS T,
+        COALESCE(CAST(SUM(spent) {again} AS DOUBLE) / NULLIF(COUNT(*) {again}, 0), 0.0)
+            AS monetary_value
+    """
 
 
-def calibration(duration: int) -> str:
+def later(duration: int) -> str:
+    """Columns of one customer's purchase days in the holdout."""
+    held = f"FILTER (WHERE day >= today - {duration})"
     return f"""
-    a AS (SELECT customer_id,
-                 CAST(COUNT(DISTINCT day) - 1 AS FLOAT) AS frequency,
-                 CAST(date_diff('day', first_at, MAX(day)) AS FLOAT) AS recency,
-                 CAST(date_diff('day', first_at, current_dt - {duration}) AS FLOAT) AS T,
-                 {MONETARY} AS monetary_value
-          FROM h WHERE day < current_dt - {duration}
-          GROUP BY customer_id, first_at, current_dt),
-    b AS (SELECT customer_id, CAST(COUNT(DISTINCT day) AS FLOAT) AS frequency_holdout,
-                 CAST(SUM(amount) AS DOUBLE) / COUNT(*) AS monetary_value_holdout
-          FROM h WHERE day >= current_dt - {duration} AND day <= current_dt
-          GROUP BY customer_id)
+        CAST(COUNT(*) {held} AS FLOAT) AS frequency_holdout,
+        CAST(SUM(spent) {held} AS DOUBLE) / NULLIF(COUNT(*) {held}, 0) AS monetary_value_holdout
     """
 
 
 def training(source: str, months=JULY, duration: int = DURATION) -> str:
     """CTEs ending in ``train``, the training snapshot."""
     return f"""
-    {history(source, months)}, {calibration(duration)},
+    {purchases(source, months)},
+    customers AS (SELECT customer_id, {rollup(f'(today - {duration})')}, {later(duration)}
+                  FROM purchases GROUP BY customer_id
+                  HAVING MIN(day) < MAX(today) - {duration}),
     train AS (SELECT DATE '{months[2]}' AS snapshot_dt, CAST(customer_id AS VARCHAR) AS CustomerID,
-                     a.frequency AS frequency_cal, a.recency AS recency_cal, a.T AS T_cal,
-                     a.monetary_value AS monetary_value_cal,
-                     CAST(COALESCE(b.frequency_holdout, 0) AS DOUBLE) AS frequency_holdout,
-                     COALESCE(b.monetary_value_holdout, 0.0) AS monetary_value_holdout,
+                     frequency AS frequency_cal, recency AS recency_cal, T AS T_cal,
+                     monetary_value AS monetary_value_cal,
+                     CAST(frequency_holdout AS DOUBLE) AS frequency_holdout,
+                     COALESCE(monetary_value_holdout, 0.0) AS monetary_value_holdout,
                      CAST({duration} AS FLOAT) AS duration_holdout
-              FROM a LEFT JOIN b USING (customer_id))
+              FROM customers)
     """
 
 
 def full(months=JULY, name: str = "full_snap", prefix: str = "") -> str:
     """CTEs ending in ``name``, the full snapshot of all orders."""
+    # "Before tomorrow" is the whole history; the tenure ends today.
     return f"""
-    {history(ALL, months, prefix)},
+    {purchases(ALL, months, prefix + 'purchases')},
     {name} AS (SELECT DATE '{months[2]}' AS snapshot_dt, CAST(customer_id AS VARCHAR) AS CustomerID,
-                      CAST(COUNT(DISTINCT day) - 1 AS FLOAT) AS frequency,
-                      CAST(date_diff('day', first_at, MAX(day)) AS FLOAT) AS recency,
-                      CAST(date_diff('day', first_at, current_dt) AS FLOAT) AS T,
-                      {MONETARY} AS monetary_value
-               FROM {prefix}h GROUP BY customer_id, first_at, current_dt)
+                      * EXCLUDE (customer_id, T), CAST(T - 1 AS FLOAT) AS T
+               FROM (SELECT customer_id, {rollup('(today + 1)')}
+                     FROM {prefix}purchases GROUP BY customer_id))
     """
 
 
@@ -233,19 +233,21 @@ ORACLES["inference_input"] = f"{TWO_FULL} SELECT CustomerID, snapshot_dt FROM ju
 # --- joins ------------------------------------------------------------------------------------
 
 ORACLES["attach_current_dt"] = f"""
-    WITH {history(VALID, JULY)}
-    SELECT customer_id, day, CAST(amount AS DOUBLE) AS amount, current_dt FROM x CROSS JOIN y
+    WITH {purchases(VALID, JULY)}
+    SELECT customer_id, day, CAST(spent AS DOUBLE) AS amount, today AS current_dt FROM purchases
 """
 ORACLES["first_purchase_join"] = f"""
-    WITH {history(ALL, JULY)}
-    SELECT x.customer_id, x.day, CAST(x.amount AS DOUBLE) AS amount, z.first_at
-    FROM x JOIN z ON x.customer_id = z.customer_id
+    WITH {purchases(ALL, JULY)}
+    SELECT customer_id, day, CAST(spent AS DOUBLE) AS amount,
+           MIN(day) OVER (PARTITION BY customer_id) AS first_at
+    FROM purchases
 """
 ORACLES["calibration_holdout"] = f"""
-    WITH {history(VALID, JULY)}, {calibration(DURATION)}
-    SELECT a.*, CAST(COALESCE(frequency_holdout, 0) AS DOUBLE) AS frequency_holdout,
+    WITH {training(VALID)}
+    SELECT customer_id, frequency, recency, T, monetary_value,
+           CAST(frequency_holdout AS DOUBLE) AS frequency_holdout,
            COALESCE(monetary_value_holdout, 0.0) AS monetary_value_holdout
-    FROM a LEFT JOIN b USING (customer_id)
+    FROM customers
 """
 ORACLES["feature_lookup"] = f"""
     WITH {full()}
@@ -257,16 +259,27 @@ ORACLES["feature_lookup"] = f"""
 # --- aggregates -------------------------------------------------------------------------------
 
 ORACLES["daily_spend"] = f"""
-    WITH {history(VALID, JULY)} SELECT customer_id, day, CAST(amount AS DOUBLE) AS amount FROM x
+    WITH {purchases(VALID, JULY)} SELECT customer_id, day, CAST(spent AS DOUBLE) AS amount FROM purchases
 """
 ORACLES["daily_spend_events"] = f"""
     SELECT customer_id, day, CAST(SUM(amount) AS DOUBLE) AS amount FROM ({EVENTS})
     GROUP BY customer_id, day
 """
-ORACLES["current_dt"] = f"WITH {history(VALID, JULY)} SELECT current_dt FROM y"
-ORACLES["first_purchase"] = f"WITH {history(ALL, JULY)} SELECT customer_id, first_at FROM z"
-ORACLES["rfm_calibration"] = f"WITH {history(VALID, JULY)}, {calibration(DURATION)} SELECT * FROM a"
-ORACLES["rfm_holdout"] = f"WITH {history(VALID, JULY)}, {calibration(DURATION)} SELECT * FROM b"
+ORACLES["current_dt"] = f"""
+    SELECT MAX(day) AS current_dt FROM ({VALID}) WHERE day BETWEEN DATE '{JULY[0]}' AND DATE '{JULY[1]}'
+"""
+ORACLES["first_purchase"] = f"""
+    WITH {purchases(ALL, JULY)} SELECT customer_id, day AS first_at FROM purchases WHERE visit = 1
+"""
+ORACLES["rfm_calibration"] = f"""
+    WITH {training(VALID)}
+    SELECT customer_id, frequency, recency, T, monetary_value FROM customers
+"""
+ORACLES["rfm_holdout"] = f"""
+    WITH {purchases(VALID, JULY)}
+    SELECT customer_id, {later(DURATION)} FROM purchases GROUP BY customer_id
+    HAVING COUNT(*) FILTER (WHERE day >= today - {DURATION}) > 0
+"""
 ORACLES["training_snapshot"] = f"WITH {training(VALID)} SELECT * FROM train"
 ORACLES["training_snapshot_all"] = f"WITH {training(ALL)} SELECT * FROM train"
 ORACLES["training_snapshot_events"] = (
@@ -274,10 +287,10 @@ ORACLES["training_snapshot_events"] = (
 )
 ORACLES["full_snapshot"] = ORACLES["feature_table_write"]
 ORACLES["repeat_spend"] = f"""
-    WITH {history(VALID, JULY)}
-    SELECT customer_id, CAST(SUM(CASE WHEN day = first_at THEN 0 ELSE amount END) AS DOUBLE)
+    WITH {purchases(VALID, JULY)}
+    SELECT customer_id, COALESCE(CAST(SUM(spent) FILTER (WHERE visit > 1) AS DOUBLE), 0.0)
            AS repeat_spend
-    FROM h GROUP BY customer_id
+    FROM purchases GROUP BY customer_id
 """
 ORACLES["agg_col"] = "SELECT MAX(l_quantity) AS agg_col FROM lineitem"
 ORACLES["latest_ts"] = "SELECT MAX(ts) AS agg_col FROM events"
