@@ -25,7 +25,7 @@ def lifetime_value(
 
 def purchase_scores(purchase_model: mbg.Params, x="frequency", t_x="recency", T="T") -> str:
     """``[alive, purchases in 30, 365, 730 days]`` as an array of floats."""
-    horizons = [mbg.purchases_if_alive(purchase_model, t, x, T) for t in SCORE_HORIZONS]
+    horizons = [mbg.purchases_over_nodes(purchase_model, t, x, T) for t in SCORE_HORIZONS]
     values = ", ".join(["alive"] + [f"alive*{h}" for h in horizons])
-    body = f"cast(array({values}) as array<float>)"
+    body = let("nodes", mbg.posterior_nodes(purchase_model, x), f"cast(array({values}) as array<float>)")
     return let("alive", mbg.probability_alive(purchase_model, x, t_x, T), body)

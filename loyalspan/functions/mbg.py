@@ -7,7 +7,8 @@ Given that a customer with x repeat purchases is still there at T, p follows
 Beta(a, b + x + 1) and the rate Gamma(r + x, alpha + T), so the purchases expected in the next
 t days are the mean over p of ``(1 - (1 + p t/(alpha+T))^-(r+x)) / p``. That integral is taken
 directly: unlike the usual hypergeometric form it has no singular point at a = 1 and needs no
-longer series for young customers.
+longer series for young customers. Its value without leaving, ``(r+x) t/(alpha+T)``, is taken out
+first; the rest is smooth at p = 0, so the quadrature holds for any a and the limit a = 0 is exact.
 """
 
 from __future__ import annotations
@@ -40,55 +41,81 @@ def probability_alive(params: Params, x="frequency", t_x="recency", T="T") -> st
 
 
 def node_terms(params: Params, x: str = "x", T: str = "T") -> dict[str, str]:
-    """Columns of one quadrature node (p, lp, lq, dw) of one customer, for ``node_purchases``.
+    """Columns of one quadrature node (p, lp, lq, dw) of one customer, for ``node_shortfall``.
 
-    w is the unnormalised posterior weight of p; a node's purchases are ``1 - (1 + y t)^k``.
+    v is the posterior density of p over p; a node's purchases are ``1 - (1 + y t)^k``.
     """
     r, alpha, a, b = _unpack(params)
     return {
-        "w": f"dw*exp({a}*lp + ({b} + 1 + {x})*lq)",
+        "v": f"dw*exp({a}*lp + ({b} + 1 + {x})*lq - {_ln_beta(params, x)})/p",
         "k": f"-({r} + {x})",
         "y": f"p/({alpha} + {T})",
     }
 
 
-def node_purchases(t: Number) -> str:
-    return f"-expm1(k*log1p(y*{sql(t)}))"
+def node_shortfall(t: Number) -> str:
+    """A node's purchases, less what they were without leaving."""
+    return f"(k*y*{sql(t)} - expm1(k*log1p(y*{sql(t)})))"
 
 
-def node_discounted(months: int, rate: float) -> str:
-    """The discounted sum of ``node_purchases`` over months, see ``discounted_if_alive``."""
+def stayer_purchases(params: Params, t: Number, x: str = "x", T: str = "T") -> str:
+    """What a customer who can not leave would buy in ``t`` days."""
+    r, alpha, _, _ = _unpack(params)
+    return f"(({r} + {x})*{sql(t)}/({alpha} + {T}))"
+
+
+def discount_weights(months: int, rate: float) -> list[float]:
+    """How much the purchases up to each month count, see ``discounted_if_alive``."""
     keep = 1 / (1 + rate)
-    weights = [keep**i * rate * keep for i in range(1, months)] + [keep**months]
+    return [keep**i * rate * keep for i in range(1, months)] + [keep**months]
+
+
+def node_discounted(months: int, rate: float) -> str:
+    """The discounted sum of ``node_shortfall`` over months."""
     return " + ".join(
-        f"{sql(weight)}*({node_purchases(DAYS_PER_MONTH * i)})"
-        for i, weight in enumerate(weights, start=1)
+        f"{sql(weight)}*{node_shortfall(DAYS_PER_MONTH * i)}"
+        for i, weight in enumerate(discount_weights(months, rate), start=1)
     )
 
 
-def _posterior(params: Params, x: str) -> str:
-    """Nodes of the posterior of p: p, its weight w, and v = w/p."""
+def discounted_days(months: int, rate: float) -> float:
+    """Days that ``stayer_purchases`` takes for the discounted sum over months."""
+    weights = enumerate(discount_weights(months, rate), start=1)
+    return sum(weight * DAYS_PER_MONTH * i for i, weight in weights)
+
+
+def _ln_beta(params: Params, x: str) -> str:
+    """Log of the beta function of the posterior of p, Beta(a, b + 1 + x)."""
     _, _, a, b = _unpack(params)
-    density = f"n.dw*exp({a}*n.lp + ({b} + 1 + {x})*n.lq)"
-    return f"transform({_RULE}, n -> named_struct('p', n.p, 'w', {density}, 'v', {density}/n.p))"
+    c = f"({b} + 1 + {x})"
+    return f"({ln_gamma(a)} + {ln_gamma(c)} - {ln_gamma(f'{a} + {c}')})"
+
+
+def posterior_nodes(params: Params, x: str) -> str:
+    """Nodes of the posterior of p: p, and v, its density over p."""
+    _, _, a, b = _unpack(params)
+    density = f"n.dw*exp({a}*n.lp + ({b} + 1 + {x})*n.lq - ln_beta)/n.p"
+    nodes = f"transform({_RULE}, n -> named_struct('p', n.p, 'v', {density}))"
+    return let("ln_beta", _ln_beta(params, x), nodes)
 
 
 def _mean_over(params: Params, x: str, T: str, t: str) -> str:
-    """Unnormalised posterior sum of ``(1 - (1 + p t/(alpha+T))^-(r+x)) / p``."""
+    """The mean of ``(1 - (1 + p t/(alpha+T))^-(r+x)) / p`` over ``nodes``."""
     r, alpha, _, _ = _unpack(params)
-    return (
-        "aggregate(nodes, 0D, (s, n) -> "
-        f"s - n.v*expm1(-({r} + {x})*log1p(n.p*({t})/({alpha} + {T}))))"
-    )
+    z = f"n.p*({t})/({alpha} + {T})"
+    k = f"({r} + {x})"
+    shortfall = f"aggregate(nodes, 0D, (s, n) -> s - n.v*({k}*{z} + expm1(-{k}*log1p({z}))))"
+    return f"({k}*({t})/({alpha} + {T}) + {shortfall})"
 
 
-_WEIGHT = "aggregate(nodes, 0D, (s, n) -> s + n.w)"
+def purchases_over_nodes(params: Params, t: Number, x="frequency", T="T") -> str:
+    """``purchases_if_alive`` where ``nodes`` is already there."""
+    return _mean_over(params, x, T, sql(t))
 
 
 def purchases_if_alive(params: Params, t: Number, x="frequency", T="T") -> str:
     """Expected purchases in the next ``t`` days of a customer known to be alive."""
-    body = f"{_mean_over(params, x, T, sql(t))} / {_WEIGHT}"
-    return let("nodes", _posterior(params, x), body)
+    return let("nodes", posterior_nodes(params, x), purchases_over_nodes(params, t, x, T))
 
 
 def expected_purchases(params: Params, t: Number, x="frequency", t_x="recency", T="T") -> str:
@@ -109,7 +136,7 @@ def discounted_if_alive(params: Params, months: Number, rate: Number, x="frequen
         f"aggregate(sequence(1, {n}), 0D, (total, i) -> "
         f"total + {factor} * {_mean_over(params, x, T, f'{DAYS_PER_MONTH}D*i')})"
     )
-    return f"if({n} < 1, 0D, {let('nodes', _posterior(params, x), f'{total} / {_WEIGHT}')})"
+    return f"if({n} < 1, 0D, {let('nodes', posterior_nodes(params, x), total)})"
 
 
 def leaving_terms(params: Params, x: str, t_x: str, T: str) -> dict[str, str]:

@@ -32,9 +32,12 @@ def purchase_outlook(
     aggregate; the rows are already partitioned by the pair, so only the pairs are shuffled.
     """
     keys = pairs.columns
-    at_node = {name: mbg.node_purchases(days) for name, days in horizons.items()}
+    at_node = {name: mbg.node_shortfall(days) for name, days in horizons.items()}
+    without_leaving = {name: mbg.stayer_purchases(model, days) for name, days in horizons.items()}
     for name, (months, rate) in (discounted or {}).items():
         at_node[name] = mbg.node_discounted(months, rate)
+        days = mbg.discounted_days(months, rate)
+        without_leaving[name] = mbg.stayer_purchases(model, days)
     terms = mbg.node_terms(model)
     nodes = (
         spread(pairs.distinct(), *keys)
@@ -42,13 +45,13 @@ def purchase_outlook(
         .select(*keys, "p", *[F.expr(text).alias(name) for name, text in terms.items()])
         .select(
             *keys,
-            "w",
-            (F.col("w") / F.col("p")).alias("v"),
+            "v",
             *[F.expr(text).alias(name) for name, text in at_node.items()],
         )
     )
-    return nodes.groupBy(*keys).agg(
-        *[(F.sum(F.col("v") * F.col(name)) / F.sum("w")).alias(name) for name in at_node]
+    sums = nodes.groupBy(*keys).agg(*[F.sum(F.col("v") * F.col(name)).alias(name) for name in at_node])
+    return sums.select(
+        *keys, *[(F.expr(text) + F.col(name)).alias(name) for name, text in without_leaving.items()]
     )
 
 

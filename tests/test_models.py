@@ -197,3 +197,30 @@ def test_registered_functions(spark, histories):
     for row, expected in zip(rows.collect(), direct):
         assert row["value"] == pytest.approx(expected["v"], rel=1e-12)
         assert len(row["scores"]) == 4
+
+
+def _purchases_by_integral(r, alpha, a, b, x, T, t):
+    """With p = exp(-s): Simpson up to s = 60, and what is left in closed form."""
+    s = np.linspace(1e-12, 60.0, 600_001)
+    p = np.exp(-s)
+    k, c = r + x, b + x + 1
+    f = -np.expm1(-k * np.log1p(p * t / (alpha + T))) / p
+    value = f * np.exp(-a * s + (c - 1) * np.log(-np.expm1(-s)))
+    weights = np.full(len(s), 2.0)
+    weights[1::2] = 4.0
+    weights[[0, -1]] = 1.0
+    body = (weights * value).sum() * (s[1] - s[0]) / 3
+    tail = k * t / (alpha + T) * math.exp(-60.0 * a) / a
+    beta = math.exp(math.lgamma(a) + math.lgamma(c) - math.lgamma(a + c))
+    return (body + tail) / beta
+
+
+@pytest.mark.parametrize("a", [0.8, 0.1, 0.01, 1e-4, 6.14421235e-6, 1e-9])
+def test_expected_purchases_for_hardly_any_leaving(spark, a):
+    params = {"r": 1.5, "alpha": 300.0, "a": a, "b": 2.5}
+    for x, T, t in ((0.0, 10.0, 1080.0), (3.0, 700.0, 365.0), (40.0, 2000.0, 730.0)):
+        text = mbg.purchases_if_alive(params, t, f"{x}D", f"{T}D")
+        got = spark.sql(f"SELECT {text}").first()[0]
+        assert got == pytest.approx(_purchases_by_integral(**params, x=x, T=T, t=t), rel=1e-8)
+        if a < 1e-5:
+            assert got == pytest.approx((1.5 + x) * t / (300.0 + T), rel=1e-3)
