@@ -165,3 +165,54 @@ SELECT conv_id, perspective, chunk, count(*) AS messages,
          ORDER BY index) FILTER (WHERE ours), '') AS masks
 FROM laid GROUP BY conv_id, perspective, chunk
 """
+
+
+def _draw(name: str, weight: int) -> str:
+    digits = f"CAST('0x' || substr(md5('{name}:' || key), 1, 13) AS BIGINT)"
+    return f"(-ln((CAST({digits} AS DOUBLE) + 0.5::DOUBLE) / {16**13}::DOUBLE) / {weight}::DOUBLE)"
+
+
+def _descent(regions: int) -> str:
+    """Two regions of two racks of two shards, and if there is a third region, shard 8 alone in it."""
+    racks = []
+    for region in range(2):
+        pairs = []
+        for rack in range(2):
+            first = region * 4 + rack * 2
+            one, other = (f"{region}/{rack}/{shard}" for shard in (first, first + 1))
+            pairs.append(f"CASE WHEN {_draw(one, 1)} <= {_draw(other, 1)} THEN {first} ELSE {first + 1} END")
+        pick = f"{_draw(f'{region}/0', 2)} <= {_draw(f'{region}/1', 2)}"
+        racks.append(f"CASE WHEN {pick} THEN {pairs[0]} ELSE {pairs[1]} END")
+    low = f"CASE WHEN {_draw('0', 4)} <= {_draw('1', 4)} THEN {racks[0]} ELSE {racks[1]} END"
+    if regions == 2:
+        return low
+    return f"CASE WHEN {_draw('2', 1)} < least({_draw('0', 4)}, {_draw('1', 4)}) THEN 8 ELSE {low} END"
+
+
+ORACLES["op1_sharding"] = f"""
+WITH crc_step AS (
+  SELECT list(c ORDER BY i) AS crc_table FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+             CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) AS r(i))
+),
+keyed AS (
+  SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS digits,
+         coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(coalesce(text, ''))) AS key
+  FROM documents
+),
+placed AS (
+  SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS size,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen(text)),
+               lambda i: CAST('0x' || substr(digits, 2 * i + 1, 2) AS BIGINT))),
+             lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)
+           AS text_crc32,
+         {_descent(2)} AS shard, {_descent(3)} AS grown_shard,
+         CAST('0x' || substr(md5('slot:' || key), 1, 2) AS BIGINT) AS bucket
+  FROM keyed, crc_step
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id, text_crc32, size) - 1 AS slot,
+       CAST(grown_shard AS INTEGER) AS grown_shard
+FROM placed
+"""
