@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -43,7 +44,6 @@ SPEND = {"p": 3.0, "q": 4.0, "v": 200000.0}
 # Spend in these tables is a thousand times that of a shop, and so is the value band.
 BAND = 250000.0
 LABEL_CUTOFF = 0.8
-SEARCH_TRIALS = 20
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -191,6 +191,29 @@ def feature_table_write(spark, folder):
     return spark.read.parquet(path)
 
 
+@query
+def feature_loop(spark, folder):
+    """Features written as a catalog table, found there by name, and looked up for customers."""
+    table, target = f"features_{uuid.uuid4().hex}", date(2001, 7, 1)
+    before = timeline.cold_start(spark, table, "snapshot_dt", target)
+    features.write_feature_table(
+        all_full(spark, folder), scratch_path(spark, table), ["CustomerID"], "snapshot_dt", table=table
+    )
+    after = timeline.cold_start(spark, table, "snapshot_dt", target)
+    entities = retail.table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("CustomerID"),
+        F.lit(PERIOD).cast("date").alias("snapshot_dt"),
+    )
+    found = lookup.feature_lookup(entities, spark.table(table), "CustomerID", "snapshot_dt")
+    return found.withColumns(
+        {
+            "cold_before": F.lit(before),
+            "cold_after": F.lit(after),
+            "exists": F.lit(features.table_exists(spark, table)),
+        }
+    )
+
+
 @query
 def csv_export(spark, folder):
     full = all_full(spark, folder)
@@ -218,18 +241,18 @@ def run_metadata(spark, folder):
 
 @query
 def lineage_gap(spark, folder):
-    """Regions and segments without an order of the top priority after a date."""
+    """Regions and segments in months without an order of the top priority."""
     profiles = retail.customer_profiles(spark, folder)
-    expected = profiles.select("region", F.col("channel").alias("model")).distinct()
+    monthly = F.concat_ws("/", "channel", F.date_format("sale_dt", "yyyy-MM"))
     recorded = (
         retail.order_lines(spark, folder)
-        .where("sale_dt >= date '2001-07-25'")
         .join(profiles, F.col("customer_id") == F.col("consumer_id"))
-        .select("region", F.col("channel").alias("model"), F.col("change_code").alias("commit_id"))
+        .select("region", monthly.alias("model"), F.col("change_code").alias("commit_id"))
         .distinct()
     )
     path = scratch_path(spark, "runs")
     exports.append_run_metadata(recorded, path)
+    expected = exports.read_run_metadata(spark, path).select("region", "model").distinct()
     return lookup.lineage_gap(expected, exports.read_run_metadata(spark, path), "1-URGENT")
 
 
@@ -303,7 +326,7 @@ def suffix_sample(spark, folder):
 
 @query
 def training_set(spark, folder):
-    return sampling.training_set(all_training(spark, folder), PERIOD, SUFFIXES, cap=12)
+    return sampling.training_set(all_training(spark, folder), PERIOD, 12, SUFFIXES)
 
 
 @query
@@ -313,7 +336,7 @@ def repeat_buyers(spark, folder):
 
 @query
 def dev_sample(spark, folder):
-    return sampling.training_set(all_training(spark, folder), PERIOD, sample_size=100)
+    return sampling.training_set(all_training(spark, folder), PERIOD, 50, sample_size=100)
 
 
 @query
@@ -692,14 +715,14 @@ def clv_36m(spark, folder):
 
 def _fits_frame(spark, fits):
     rows = [
-        (f.l2, k, v, f.log_likelihood, f.iterations, f.converged)
+        (f.l2, k, v, f.log_likelihood, f.iterations, f.stop, f.gradient, k in f.at_bound)
         for f in fits
         for k, v in f.params.items()
     ]
     return spark.createDataFrame(
         rows,
         "l2 double, parameter string, value double, log_likelihood double, iterations int,"
-        " converged boolean",
+        " stop string, gradient double, at_bound boolean",
     )
 
 
@@ -747,19 +770,19 @@ def fit_gamma_gamma(spark, folder):
 
 @query
 def l2_search(spark, folder):
-    training = sampling.below_frequency(all_training(spark, folder))
-    return train.frequency_trials(training, train.candidate_penalties(SEARCH_TRIALS))
+    training = all_training(spark, folder)
+    return train.frequency_trials(training, train.candidate_penalties())
 
 
 @query
 def l2_search_spend(spark, folder):
-    training = sampling.below_frequency(all_training(spark, folder))
-    return train.spend_trials(training, train.candidate_penalties(SEARCH_TRIALS))
+    training = all_training(spark, folder)
+    return train.spend_trials(training, train.candidate_penalties())
 
 
 @query
 def final_fit(spark, folder):
-    full = materialise(sampling.below_frequency(all_full(spark, folder), frequency="frequency"))
+    full = materialise(all_full(spark, folder))
     return _fits_frame(
         spark,
         [
@@ -821,7 +844,7 @@ def udf_probability_alive(spark, folder):
 @query
 def udf_smoke(spark, folder):
     registered.register_functions(spark, PURCHASES, SPEND)
-    return exports.check_functions(spark, all_full(spark, folder))
+    return rounded(exports.check_functions(spark, all_full(spark, folder), RATE), 4)
 
 
 @query

@@ -3,8 +3,12 @@
 The optimiser asks for the mean log-likelihood at a handful of parameter points; one job answers
 for all points at once. Each row meets the points through a constant array, sums are combined
 before the shuffle, and only one number per point returns to the driver. Several penalties are
-fitted side by side in the same jobs, so a search over 100 penalties takes no more passes over
-the data than its slowest fit.
+fitted side by side in the same jobs; of many, a few are fitted first and the rest start between
+their solutions.
+
+Every fit says how it ended. Only one whose expected gain vanished inside the bounds has converged:
+a bound reached means that the optimum lies at the limit (for a or s: nobody leaves), and a flat end
+that a ridge of parameters fits alike.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ import itertools
 import json
 import math
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -23,7 +27,9 @@ from loyalspan.functions import gamma_gamma, mbg, pareto
 from loyalspan.session import materialise, spread
 
 STEP = 1e-3  # finite-difference step on the log scale
-LOWEST, HIGHEST = -12.0, 30.0  # bounds of the log-parameters
+LOWEST, HIGHEST = -12.0, 30.0  # bounds of the log-parameters; reaching one is reported
+ANCHORS = 10  # of more penalties than twice this, so many are fitted first
+CONVERGED, AT_BOUND, FLAT, UNFINISHED, FAILED = "converged", "at bound", "flat", "unfinished", "failed"
 
 
 @dataclass(frozen=True)
@@ -73,13 +79,22 @@ class Fit:
     l2: float
     log_likelihood: float
     iterations: int
-    converged: bool
+    stop: str  # one of the endings above
+    at_bound: tuple[str, ...] = ()
+    gradient: float = math.nan  # largest slope of the objective by a log-parameter, bounds apart
+
+    @property
+    def converged(self) -> bool:
+        return self.stop == CONVERGED
 
 
 def mean_log_likelihood(
     rows: DataFrame, model: Likelihood, points: Sequence[Sequence[float]]
 ) -> np.ndarray:
-    """Weighted mean log-likelihood of ``rows`` at each point, from one job."""
+    """Weighted mean log-likelihood of ``rows`` at each point, from one job.
+
+    Rows without a likelihood (a null among their columns) count neither way.
+    """
     named = [dict(zip(model.names, map(float, point))) for point in points]
     fields = ", ".join(f"{name}: double" for name in model.names)
     table = F.from_json(
@@ -91,10 +106,11 @@ def mean_log_likelihood(
     sums = (
         rows.withColumn("point", F.explode(table))
         .select("*", *[F.expr(term).alias(name) for name, term in model.terms(params).items()])
-        .groupBy(F.col("point.id").alias("id"))
+        .select(F.col("point.id").alias("id"), "weight", F.expr(text).alias("value"))
+        .groupBy("id")
         .agg(
-            F.sum(F.col("weight") * F.expr(text)).alias("total"),
-            F.sum("weight").alias("weight"),
+            F.sum(F.col("weight") * F.col("value")).alias("total"),
+            F.sum(F.when(F.col("value").isNotNull(), F.col("weight"))).alias("weight"),
         )
         .collect()  # one row per point
     )
@@ -141,8 +157,14 @@ class _Descent:
     hessian: np.ndarray | None = field(default=None, repr=False)
     iterations: int = 0
     quiet: int = 0  # accepted trials in a row with hardly any gain
-    done: bool = False
-    converged: bool = False
+    stop: str = ""
+
+    @property
+    def done(self) -> bool:
+        return bool(self.stop)
+
+    def at_bounds(self) -> np.ndarray:
+        return (self.best <= LOWEST) | (self.best >= HIGHEST)
 
     def penalty(self, log_params: np.ndarray) -> float:
         return self.l2 * float(np.sum(np.exp(2 * log_params)))
@@ -158,7 +180,7 @@ class _Descent:
             self.gradient, self.hessian = _derivatives(losses, len(self.trial))
             self.damping = max(self.damping / 5, 1e-8)
         elif self.best is None:
-            self.done = True
+            self.stop = FAILED
             return
         else:
             self.damping *= 10
@@ -179,8 +201,24 @@ class _Descent:
             step *= min(1.0, (room[moving] / step[moving]).min(initial=1.0))
         self.trial = np.clip(self.best + step, LOWEST, HIGHEST)
         expected = float(self.gradient @ (self.best - self.trial))
-        if expected < tolerance or self.quiet == 3:
-            self.done = self.converged = True
+        if expected < tolerance:
+            self.stop = AT_BOUND if self.at_bounds().any() else CONVERGED
+        elif self.quiet == 3:
+            self.stop = FLAT
+
+    def result(self, names: Sequence[str]) -> Fit:
+        if self.best is None:
+            return Fit(dict.fromkeys(names, math.nan), self.l2, math.nan, self.iterations, FAILED)
+        bounds = self.at_bounds()
+        return Fit(
+            params=dict(zip(names, map(float, np.exp(self.best)))),
+            l2=self.l2,
+            log_likelihood=self.penalty(self.best) - self.objective,
+            iterations=self.iterations,
+            stop=self.stop or UNFINISHED,
+            at_bound=tuple(name for name, bound in zip(names, bounds) if bound),
+            gradient=float(np.abs(self.gradient[~bounds]).max(initial=0.0)),
+        )
 
 
 def fit(
@@ -193,7 +231,7 @@ def fit(
     """Minimise ``-mean log-likelihood + l2 * sum(params^2)`` for every penalty.
 
     ``rows`` has the model's columns and ``weight``; it is read once per iteration, so it should
-    come from ``ready``.
+    come from ``ready``. A fit that fails has NaN parameters.
     """
     starts = [np.log(start) for start in itertools.product(*model.starts)]
     values = mean_log_likelihood(rows, model, [np.exp(s) for s in starts])
@@ -205,6 +243,25 @@ def fit(
         losses = [blank.penalty(s) - v for s, v in zip(starts, values)]
         descents.append(_Descent(l2, starts[int(np.argmin(losses))]))
 
+    ordered = sorted(descents, key=lambda d: d.l2)
+    if len(ordered) > 2 * ANCHORS:
+        picked = {round(i) for i in np.linspace(0, len(ordered) - 1, ANCHORS)}
+        anchors = [ordered[i] for i in sorted(picked)]
+        _descend(rows, model, anchors, max_iterations, tolerance)
+        known = [d for d in anchors if d.best is not None]
+        for descent in ordered:
+            if not descent.iterations and known:
+                at = [d.l2 for d in known]
+                paths = zip(*(d.best for d in known))
+                descent.trial = np.array([np.interp(descent.l2, at, path) for path in paths])
+    _descend(rows, model, descents, max_iterations, tolerance)
+    return [d.result(model.names) for d in descents]
+
+
+def _descend(
+    rows: DataFrame, model: Likelihood, descents: Sequence[_Descent], max_iterations: int, tolerance: float
+) -> None:
+    """Let all descents that are not done take steps, in the same jobs."""
     for _ in range(max_iterations):
         active = [d for d in descents if not d.done]
         if not active:
@@ -215,17 +272,6 @@ def fit(
         for i, descent in enumerate(active):
             descent.update(values[i * width : (i + 1) * width], tolerance)
 
-    return [
-        Fit(
-            params=dict(zip(model.names, map(float, np.exp(d.best)))),
-            l2=d.l2,
-            log_likelihood=d.penalty(d.best) - d.objective,
-            iterations=d.iterations,
-            converged=d.converged,
-        )
-        for d in descents
-    ]
-
 
 def fit_purchases(
     rows: DataFrame, model: Likelihood, penalties: Sequence[float] = (0.0,), **options
@@ -244,13 +290,7 @@ def fit_purchases(
     )
     fits = fit(scaled, model, penalties, **options)
     return [
-        Fit(
-            {k: v / scale if k in model.in_days else v for k, v in f.params.items()},
-            f.l2,
-            f.log_likelihood,
-            f.iterations,
-            f.converged,
-        )
+        replace(f, params={k: v / scale if k in model.in_days else v for k, v in f.params.items()})
         for f in fits
     ]
 
@@ -279,9 +319,8 @@ def purchase_rows(
 
 
 def spend_rows(df: DataFrame, x="frequency_cal", m="monetary_value_cal") -> DataFrame:
-    """Repeat buyers with a positive average: (x, m, weight)."""
-    return df.where((F.col(x) > 0) & (F.col(m) > 0)).select(
-        F.col(x).cast("double").alias("x"),
-        F.col(m).cast("double").alias("m"),
-        F.lit(1.0).alias("weight"),
+    """Repeat buyers with a positive average, equal ones counted together: (x, m, weight)."""
+    buyers = df.where((F.col(x) > 0) & (F.col(m) > 0))
+    return buyers.groupBy(F.col(x).cast("double").alias("x"), F.col(m).cast("double").alias("m")).agg(
+        F.count(F.lit(1)).cast("double").alias("weight")
     )

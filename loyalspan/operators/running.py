@@ -101,8 +101,8 @@ def ntile(df: DataFrame, score: str, key: str, out: str, buckets: int = 10) -> D
     """``ntile(buckets) OVER (ORDER BY score DESC, key)`` without moving the rows of ``df``.
 
     Only (score, key) is sorted. The first row of each bucket is looked up and every row of
-    ``df`` then finds the first bucket start that lies after it. ``key`` is unique; nulls come
-    last.
+    ``df`` then finds the first bucket start that lies after it. ``key`` is unique. Null scores
+    come last, a null key first among equal scores.
     ``df`` is read again for the result, so a costly one should be materialised.
     """
     order = [F.col(score).desc_nulls_last(), F.col(key).asc()]
@@ -113,7 +113,10 @@ def ntile(df: DataFrame, score: str, key: str, out: str, buckets: int = 10) -> D
         return df.withColumn(out, F.lit(1))
 
     def before(start: Row) -> Column:
-        earlier_key = F.col(key) < F.lit(start[key])
+        if start[key] is None:
+            earlier_key = F.lit(False)
+        else:
+            earlier_key = F.col(key).isNull() | (F.col(key) < F.lit(start[key]))
         if start[score] is None:
             return F.col(score).isNotNull() | earlier_key
         at_start = F.lit(start[score])

@@ -25,7 +25,7 @@ def suffix_sample(df: DataFrame, suffixes: Sequence[str], key: str = "CustomerID
     return df.where(id_suffix(key, widths.pop()).isin(list(suffixes)))
 
 
-def below_frequency(df: DataFrame, cap: int = 50, frequency: str = "frequency_cal") -> DataFrame:
+def below_frequency(df: DataFrame, cap: int, frequency: str = "frequency_cal") -> DataFrame:
     return df.where(F.col(frequency) < cap)
 
 
@@ -41,8 +41,8 @@ def dev_sample(df: DataFrame, size: int, key: str = "CustomerID") -> DataFrame:
 def training_set(
     snapshots: DataFrame,
     period: str,
+    cap: int,
     suffixes: Sequence[str] | None = None,
-    cap: int = 50,
     sample_size: int = NO_LIMIT,
     frequency: str = "frequency_cal",
 ) -> DataFrame:

@@ -102,12 +102,18 @@ def spend_predictions(
 
 
 def evaluate_spend(predictions: DataFrame, band: float = SPEND_BAND) -> DataFrame:
-    """One row: MAE and RMSE over all, MAPE over spenders, R squared over the value band."""
-    return metrics.regression_metrics(predictions, "actual", "predicted").select(
-        F.col("mae").alias("spend_mae"),
-        F.col("rmse").alias("spend_rmse"),
-        metrics.mape(predictions, "actual", "predicted").scalar().alias("spend_mape"),
-        metrics.r_squared(metrics.value_band(predictions, "actual", band), "actual", "predicted")
-        .scalar()
-        .alias("spend_r2"),
+    """One row: MAE and RMSE over all, MAPE over spenders, R squared over the value band.
+
+    All are conditional sums of one aggregate, so the predictions are worked out once.
+    """
+    actual, error = F.col("actual"), F.col("actual") - F.col("predicted")
+    spender = actual > 0
+    banded = F.when(spender & (actual <= band), actual)
+    left = F.sum(F.when(banded.isNotNull(), error * error))
+    spread = F.var_pop(banded) * F.count(banded)
+    return predictions.agg(
+        F.avg(F.abs(error)).alias("spend_mae"),
+        F.sqrt(F.avg(error * error)).alias("spend_rmse"),
+        F.avg(F.when(spender, F.abs(error) / actual)).alias("spend_mape"),
+        (1 - left / F.nullif(spread, F.lit(0.0))).alias("spend_r2"),
     )

@@ -22,8 +22,6 @@ from loyalspan.sources.snapshots import (
 )
 from loyalspan.sources.transactions import CleaningRules, clean_transactions
 
-HISTORY_START = "2013-06-01"  # fixed value: the first day of usable history
-
 
 @dataclass(frozen=True)
 class Prepared:
@@ -38,9 +36,9 @@ def prepare(
     duration: int,
     training_path: str,
     full_path: str,
-    start: str = HISTORY_START,
+    start: str,
 ) -> Prepared:
-    """Clean the transactions and replace the month in both snapshot tables.
+    """Clean the transactions since ``start`` and replace the month in both snapshot tables.
 
     The customer-days are written once and feed both snapshots and the latest day, so the
     transactions are scanned a single time.

@@ -16,7 +16,9 @@ from loyalspan.operators import metrics
 from loyalspan.operators.fit import (
     GAMMA_GAMMA,
     MBG,
+    FAILED,
     PARETO,
+    UNFINISHED,
     Fit,
     fit,
     fit_purchases,
@@ -43,6 +45,7 @@ BASELINE_L2 = 0.01
 TRIALS = 100
 SEED = 42
 FAILED_LOSS = 99.0
+ROW_COUNT = "row_count"
 
 
 def candidate_penalties(trials: int = TRIALS, seed: int = SEED) -> list[float]:
@@ -54,17 +57,18 @@ def _with_fits(df: DataFrame, fits: Sequence[Fit]) -> DataFrame:
     """Every row once per fit, with columns trial, l2 and the fitted parameters."""
     names = list(fits[0].params)
     schema = ", ".join(f"{name}: double" for name in ["l2", *names])
-    rows = [{"trial": i, "l2": f.l2, **f.params} for i, f in enumerate(fits)]
-    table = F.from_json(F.lit(json.dumps(rows)), f"array<struct<trial: int, {schema}>>")
+    rows = [{"trial": i, "stop": f.stop, "l2": f.l2, **f.params} for i, f in enumerate(fits)]
+    table = F.from_json(F.lit(json.dumps(rows)), f"array<struct<trial: int, stop: string, {schema}>>")
     return df.select("*", F.inline(table))
 
 
 def _losses(
     scored: DataFrame, names: Sequence[str], squared_error: Column, rows: Column
 ) -> DataFrame:
-    rmse = F.sqrt(F.sum(squared_error) / F.sum(rows))
+    """RMSE of each trial, from sums of squared errors; a failed fit has the loss of a failed trial."""
+    rmse = F.sqrt(F.greatest(F.sum(squared_error), F.lit(0.0)) / F.sum(rows))
     usable = F.when(rmse.isNotNull() & ~F.isnan(rmse), rmse).otherwise(F.lit(FAILED_LOSS))
-    return scored.groupBy("trial", "l2", *names).agg(usable.alias("rmse"))
+    return scored.groupBy("trial", "l2", "stop", *names).agg(usable.alias("rmse"))
 
 
 def frequency_trials(training: DataFrame, penalties: Sequence[float]) -> DataFrame:
@@ -94,7 +98,8 @@ def frequency_trials(training: DataFrame, penalties: Sequence[float]) -> DataFra
         _with_fits(rows.select(*pairs).distinct(), fits), params, {"if_alive": "ahead"}
     )
     alive = F.expr(mbg.probability_alive(params, "x", "t_x", "T"))
-    scored = rows.join(outlook, pairs).withColumn("e", alive * F.col("if_alive"))
+    # A customer without a history has no prediction; that counts as none expected.
+    scored = rows.join(outlook, pairs).withColumn("e", F.coalesce(alive * F.col("if_alive"), F.lit(0.0)))
     squared = F.col("yy") - 2 * F.col("e") * F.col("y") + F.col("weight") * F.col("e") * F.col("e")
     return _losses(scored, mbg.NAMES, squared, F.col("weight"))
 
@@ -102,17 +107,33 @@ def frequency_trials(training: DataFrame, penalties: Sequence[float]) -> DataFra
 def spend_trials(
     training: DataFrame, penalties: Sequence[float], holdout_inputs: bool = False
 ) -> DataFrame:
-    """Gamma-Gamma fitted with every penalty, with its RMSE on holdout spend."""
-    buyers = ready(
+    """Gamma-Gamma fitted with every penalty, with its RMSE on holdout spend.
+
+    A prediction is linear in the average m given the frequency x, so all trials share sums over the
+    customers of each frequency, and meet these instead of the customers.
+    """
+    buyers = materialise(
         repeat_buyers(training).select(
             "frequency_cal", "monetary_value_cal", "frequency_holdout", "monetary_value_holdout"
         )
     )
-    fits = fit(spend_rows(buyers), GAMMA_GAMMA, penalties)
+    fits = fit(ready(spend_rows(buyers)), GAMMA_GAMMA, penalties)
     params = {name: name for name in gamma_gamma.NAMES}
-    scored = spend_predictions(_with_fits(buyers, fits), params, holdout_inputs)
-    error = F.col("actual") - F.col("predicted")
-    return _losses(scored, gamma_gamma.NAMES, error * error, F.when(error.isNotNull(), 1))
+    kind = "holdout" if holdout_inputs else "cal"
+    m, y = F.col(f"monetary_value_{kind}"), F.col("monetary_value_holdout")
+    both = buyers.where(m.isNotNull() & y.isNotNull())
+    sums = both.groupBy(F.col(f"frequency_{kind}").cast("double").alias("x")).agg(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        *[F.sum(v).alias(name) for name, v in (("m1", m), ("y1", y), ("mm", m * m), ("yy", y * y), ("my", m * y))],
+    )
+    at_zero = F.expr(gamma_gamma.expected_spend(params, "x", "0D"))
+    at_one = F.expr(gamma_gamma.expected_spend(params, "x", "1D"))
+    scored = _with_fits(sums, fits).withColumn("base", at_zero).withColumn("slope", at_one - at_zero)
+    scored = scored.where(F.col("base").isNotNull())
+    squared = F.expr(
+        "yy - 2*base*y1 - 2*slope*my + n*base*base + 2*base*slope*m1 + slope*slope*mm"
+    )
+    return _losses(scored, gamma_gamma.NAMES, squared, F.col("n"))
 
 
 def best_trial(trials: DataFrame, names: Sequence[str]) -> tuple[float, dict[str, float]]:
@@ -133,6 +154,13 @@ def pareto_predictions(training: DataFrame, model: pareto.Params) -> DataFrame:
     return rows.join(histories, list(keys), "left").select("customer.*", "frequency_predicted")
 
 
+def _require_rows(rows: DataFrame, thresholds: Mapping[str, float], enforce: bool) -> None:
+    """The row-count gate, before anything is fitted on ``rows``."""
+    if enforce and ROW_COUNT in thresholds:
+        count = rows.agg(F.count(F.lit(1)).cast("double").alias(ROW_COUNT))
+        require_gates(quality_gates(count, {ROW_COUNT: thresholds[ROW_COUNT]}))
+
+
 @dataclass(frozen=True)
 class FrequencyTraining:
     l2: float
@@ -151,6 +179,27 @@ class SpendTraining:
     final_params: dict[str, float]
 
 
+def fit_report(fit: Fit) -> dict[str, float]:
+    """How a fit ended, as metrics of the run log."""
+    return {
+        "fit_converged": float(fit.converged),
+        "fit_at_bound": float(len(fit.at_bound)),
+        "fit_gradient": fit.gradient,
+        "fit_iterations": float(fit.iterations),
+    }
+
+
+def usable(fit: Fit) -> Fit:
+    """The fit itself; a failed or unfinished one is an error and never saved.
+
+    A fit at a bound or on a ridge is usable: its limit is exact or its parameters fit alike. The run
+    log tells.
+    """
+    if fit.stop in (FAILED, UNFINISHED):
+        raise RuntimeError(f"the fit with penalty {fit.l2} is {fit.stop} after {fit.iterations} iterations")
+    return fit
+
+
 def _with_row_count(summary: DataFrame, rows: DataFrame) -> DataFrame:
     count = rows.agg(F.count(F.lit(1)).cast("double").alias("n"))
     return summary.withColumn("row_count", count.scalar())
@@ -181,16 +230,21 @@ def train_frequency(
     thresholds: Mapping[str, float] = THRESHOLDS,
     enforce_gates: bool = True,
 ) -> FrequencyTraining:
-    """Baseline, search, evaluation and final fit of the purchase model; logs and saves each."""
+    """Baseline, search, evaluation and final fit of the purchase model; logs and saves each.
+
+    The row-count gate holds for the training rows before the first fit and for the full rows before
+    the final one.
+    """
     spark = training.sparkSession
     training = materialise(training)
+    _require_rows(training, thresholds, enforce_gates)
     create_registry(spark, log_path, registry.LOG_SCHEMA)
 
-    baseline = fit_baseline(training)
+    baseline = usable(fit_baseline(training))
     errors = metrics.regression_metrics(
         pareto_predictions(training, baseline.params), "frequency_holdout", "frequency_predicted"
     ).first()
-    log_run(spark, log_path, registry.BASELINE_RUN, {registry.L2_PARAM: baseline.l2}, errors.asDict())
+    log_run(spark, log_path, registry.BASELINE_RUN, {registry.L2_PARAM: baseline.l2}, {**errors.asDict(), **fit_report(baseline)})
     save_model(spark, model_path, registry.BASELINE_MODEL, baseline.params, trained_at)
 
     penalty_trials = frequency_trials(training, candidate_penalties(trials, seed))
@@ -204,8 +258,10 @@ def train_frequency(
     if enforce_gates:
         require_gates(gates)
 
-    final = fit_final_frequency(full, l2)
-    log_run(spark, log_path, registry.FINAL_FREQUENCY_RUN, {registry.L2_PARAM: l2}, {})
+    full = materialise(full)
+    _require_rows(full, thresholds, enforce_gates)
+    final = usable(fit_final_frequency(full, l2))
+    log_run(spark, log_path, registry.FINAL_FREQUENCY_RUN, {registry.L2_PARAM: l2}, fit_report(final))
     save_model(spark, model_path, registry.FINAL_FREQUENCY_MODEL, final.params, trained_at)
     return FrequencyTraining(l2, params, evaluation, gates, final.params)
 
@@ -222,9 +278,15 @@ def train_spend(
     enforce_gates: bool = True,
     holdout_inputs: bool = False,
 ) -> SpendTraining:
-    """Search, evaluation and final fit of the spend model; logs and saves each."""
+    """Search, evaluation and final fit of the spend model; logs and saves each.
+
+    The row-count gate holds as in :func:`train_frequency`, for snapshots before repeat buyers are
+    taken out.
+    """
     spark = training.sparkSession
-    buyers = materialise(repeat_buyers(training))
+    training = materialise(training)
+    _require_rows(training, thresholds, enforce_gates)
+    buyers = repeat_buyers(training)
     create_registry(spark, log_path, registry.LOG_SCHEMA)
 
     penalty_trials = spend_trials(buyers, candidate_penalties(trials, seed), holdout_inputs)
@@ -236,7 +298,9 @@ def train_spend(
     if enforce_gates:
         require_gates(gates)
 
-    final = fit_final_spend(repeat_buyers(full, "frequency"), l2)
-    log_run(spark, log_path, registry.FINAL_SPEND_RUN, {registry.L2_PARAM: l2}, {})
+    full = materialise(full)
+    _require_rows(full, thresholds, enforce_gates)
+    final = usable(fit_final_spend(repeat_buyers(full, "frequency"), l2))
+    log_run(spark, log_path, registry.FINAL_SPEND_RUN, {registry.L2_PARAM: l2}, fit_report(final))
     save_model(spark, model_path, registry.FINAL_SPEND_MODEL, final.params, trained_at)
     return SpendTraining(l2, params, evaluation, gates, final.params)

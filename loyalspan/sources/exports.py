@@ -56,14 +56,14 @@ def save_function_catalog(spark: SparkSession, path: str) -> None:
     function_catalog(spark).write.mode("overwrite").parquet(path)
 
 
-def check_functions(spark: SparkSession, customers: DataFrame) -> DataFrame:
-    """Run the registered scoring functions and count usable results: one row."""
+def check_functions(spark: SparkSession, customers: DataFrame, rate: float = 0.0072) -> DataFrame:
+    """Run the registered scoring functions: one row with usable results and their means."""
     scored = customers.select(
         F.call_function(
             "clv",
             *[F.col(c).cast("double") for c in ("frequency", "recency", "T", "monetary_value")],
             F.lit(12),
-            F.lit(0.0072),
+            F.lit(rate),
         ).alias("value"),
         F.call_function(
             "probability_alive", *[F.col(c).cast("double") for c in ("frequency", "recency", "T")]
@@ -74,4 +74,6 @@ def check_functions(spark: SparkSession, customers: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("customers"),
         F.count(F.when(F.col("value") >= 0, 1)).alias("usable_values"),
         F.count(F.when((alive > 0) & (alive <= 1), 1)).alias("usable_scores"),
+        F.avg("value").alias("mean_value"),
+        F.avg(alive.cast("double")).alias("mean_alive"),
     )

@@ -33,11 +33,11 @@ def read_models(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_models(models: DataFrame) -> DataFrame:
-    """The highest version of each model."""
+    """The highest version of each model; of two runs that took one number, the one trained later."""
     rest = F.struct("version", "trained_at", "params")
     return (
         models.groupBy("name")
-        .agg(F.max_by(rest, "version").alias("latest"))
+        .agg(F.max_by(rest, F.struct("version", "trained_at")).alias("latest"))
         .select("name", "latest.*")
     )
 

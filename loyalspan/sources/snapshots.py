@@ -56,7 +56,7 @@ def replace_snapshot(df: DataFrame, path: str, schema: str, period: str) -> int:
     written = Observation()
     (
         rows.observe(written, F.count(F.lit(1)).alias("rows"))
-        .sortWithinPartitions("CustomerID")
+        .sortWithinPartitions(PARTITION, "CustomerID")  # the write's own order comes first
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION)

@@ -149,3 +149,42 @@ def test_search_loss_equals_the_plain_error(spark):
     l2, params = train.best_trial(trials, mbg.NAMES)
     assert l2 == min(trials.collect(), key=lambda t: t["rmse"])["l2"]
     assert set(params) == set(mbg.NAMES)
+
+
+def test_rows_without_a_likelihood_count_neither_way(spark, mbg_rows):
+    point = [[0.9, 40.0, 0.8, 2.5]]
+    [alone] = fit.mean_log_likelihood(mbg_rows, fit.MBG, point)
+    nulls = mbg_rows.withColumn("t_x", F.lit(None).cast("double"))
+    [mixed] = fit.mean_log_likelihood(mbg_rows.unionByName(nulls), fit.MBG, point)
+    assert mixed == pytest.approx(alone, rel=1e-12)
+
+
+def test_a_fit_cut_short_says_so(mbg_rows):
+    for steps in (0, 2):
+        [found] = fit.fit_purchases(mbg_rows, fit.MBG, [0.0], max_iterations=steps)
+        assert found.stop in (fit.UNFINISHED, fit.FAILED) and not found.converged
+        with pytest.raises(RuntimeError):
+            train.usable(found)
+
+
+def test_nobody_leaving_is_a_bound_and_not_convergence(spark):
+    rng = np.random.default_rng(11)
+    n = 3000
+    x = rng.poisson(rng.gamma(1.2, 2.0, n)).astype(float)
+    T = np.full(n, 200.0)
+    # The last purchase lies at the end: no sign of anyone leaving.
+    rows = [(float(k), 199.0 if k else 0.0, float(t)) for k, t in zip(x, T)]
+    df = fit.purchase_rows(spark.createDataFrame(rows, "x double, t_x double, T double"), "x", "t_x", "T")
+    [found] = fit.fit_purchases(fit.ready(df), fit.MBG, [0.01])
+    assert not found.converged
+    assert found.stop == fit.FLAT or "a" in found.at_bound or "b" in found.at_bound
+    assert train.usable(found) is found
+
+
+def test_many_penalties_agree_with_single_fits(mbg_rows):
+    penalties = [0.01 * i for i in range(1, 26)]
+    together = fit.fit_purchases(mbg_rows, fit.MBG, penalties)
+    assert [f.l2 for f in together] == penalties and all(f.converged for f in together)
+    [alone] = fit.fit_purchases(mbg_rows, fit.MBG, [penalties[7]])
+    for name, value in alone.params.items():
+        assert together[7].params[name] == pytest.approx(value, rel=1e-3)

@@ -137,9 +137,9 @@ def test_lineage_gap(spark):
 def test_training_set_options(spark):
     rows = [(date(2020, 1, 1), f"{i:03d}", float(i)) for i in range(100)]
     table = spark.createDataFrame(rows, "snapshot_dt date, CustomerID string, frequency_cal float")
-    assert sampling.training_set(table, "2020-01-01").count() == 50
-    assert sampling.training_set(table, "2020-02-01").count() == 0
-    picked = sampling.training_set(table, "2020-01-01", ("11", "12"), sample_size=1)
+    assert sampling.training_set(table, "2020-01-01", 50).count() == 50
+    assert sampling.training_set(table, "2020-02-01", 50).count() == 0
+    picked = sampling.training_set(table, "2020-01-01", 50, ("11", "12"), sample_size=1)
     assert [r["CustomerID"] for r in picked.collect()] == ["011"]
     with pytest.raises(ValueError):
         sampling.suffix_sample(table, ("1", "12"))

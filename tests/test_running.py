@@ -75,3 +75,11 @@ def test_decile_capture_matches_pandas(spark):
     assert list(ours["decile"]) == list(expected.index)
     assert np.allclose(ours["ratio_cum_actual_to_total"], expected)
     assert ours["ratio_cum_actual_to_total"].iloc[-1] == pytest.approx(1.0)
+
+
+def test_ntile_places_a_null_key_before_its_ties(spark):
+    rows = [(1.0, None if i == 0 else i) for i in range(20)]
+    frame = spark.createDataFrame(rows, "score double, id int")
+    got = {r.id: r.bucket for r in running.ntile(frame, "score", "id", "bucket").collect()}
+    wanted = frame.selectExpr("id", "ntile(10) OVER (ORDER BY score DESC, id) AS bucket").collect()
+    assert got == {r.id: r.bucket for r in wanted}

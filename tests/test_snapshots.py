@@ -51,3 +51,16 @@ def test_slice_reads_one_partition(spark):
     table = sn.read_snapshots(spark, path, sn.FULL_SCHEMA)
     plan = snapshot_slice(table, "2020-01-01")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(snapshot_dt" in plan
+
+
+def test_written_files_are_sorted_by_customer(spark, tmp_path):
+    rows = [("2024-01-01", str(i * 7919 % 1000), 1.0, 1.0, 1.0, 1.0) for i in range(1000)]
+    frame = spark.createDataFrame(rows, "d string, CustomerID string, frequency double, recency double, T double, monetary_value double")
+    frame = frame.withColumn("snapshot_dt", frame.d.cast("date")).repartition(3)
+    path = str(tmp_path / "sorted")
+    sn.replace_snapshot(frame, path, sn.FULL_SCHEMA, "2024-01-01")
+    files = sorted((tmp_path / "sorted").rglob("*.parquet"))
+    assert files
+    for file in files:
+        ids = [r.CustomerID for r in spark.read.parquet(str(file)).collect()]
+        assert ids == sorted(ids)
