@@ -23,7 +23,7 @@ from loyalspan.operators import (
     timeline,
 )
 from loyalspan.operators.outlook import with_purchases
-from loyalspan.plans import evaluate, score, train
+from loyalspan.plans import evaluate, prepare, score, train
 from loyalspan.session import materialise, scratch_path, spread
 from loyalspan.sources import exports, features, registry, retail, snapshots
 
@@ -843,13 +843,18 @@ def udf_probability_alive(spark, folder):
 
 @query
 def udf_smoke(spark, folder):
-    registered.register_functions(spark, PURCHASES, SPEND)
+    registered.register_functions(spark, PURCHASES, SPEND, replace=True)
     return rounded(exports.check_functions(spark, all_full(spark, folder), RATE), 4)
 
 
 @query
 def score_snapshot(spark, folder):
-    scored = score.score_snapshot(materialise(all_full(spark, folder)), PURCHASES, SPEND, RATE)
+    return _rounded_scores(
+        score.score_snapshot(materialise(all_full(spark, folder)), PURCHASES, SPEND, RATE)
+    )
+
+
+def _rounded_scores(scored):
     floats = ("prob_alive", "purch_1y", "purch_2y")
     return scored.select(
         "snapshot_dt",
@@ -866,6 +871,29 @@ def score_snapshot(spark, folder):
     )
 
 
+# --- the jobs ---------------------------------------------------------------------------------
+
+
+@query
+def prepare_job(spark, folder):
+    """From raw transactions to the month's training table, read back."""
+    training, full = scratch_path(spark, "training"), scratch_path(spark, "full")
+    raw = retail.transaction_header(spark, folder)
+    prepare.prepare(raw, retail.RULES, PERIOD, DURATION, training, full, START)
+    return snapshots.read_snapshots(spark, training, snapshots.TRAINING_SCHEMA)
+
+
+@query
+def scoring_job(spark, folder):
+    """From the month's snapshot and the saved models to the results table, read back."""
+    full, results, models = (scratch_path(spark, name) for name in ("full", "results", "models"))
+    snapshots.replace_snapshot(all_full(spark, folder), full, snapshots.FULL_SCHEMA, PERIOD)
+    registry.save_model(spark, models, registry.FINAL_FREQUENCY_MODEL, PURCHASES, WRITTEN_AT)
+    registry.save_model(spark, models, registry.FINAL_SPEND_MODEL, SPEND, WRITTEN_AT)
+    score.run_scoring(spark, full, results, models, PERIOD)
+    return _rounded_scores(snapshots.read_snapshots(spark, results, snapshots.RESULTS_SCHEMA))
+
+
 # --- timeline ---------------------------------------------------------------------------------
 
 
