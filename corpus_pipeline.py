@@ -39,8 +39,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def encode_texts(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of every text, with the digests of the ids and of what they decode to."""
     vocabulary = public_tokenizers.path(VOCABULARY)
-    encoded = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(encoded, vocabulary)).drop("decoded")
+    coded = bpe.round_trip(docs, vocabulary, public_tokenizers.PATTERN)
+    return bpe.digests(coded).drop("decoded")
 
 
 STAGES = [

@@ -15,8 +15,8 @@ unfinished character of at most three bytes. Its moves over whole tokens are kep
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loyalspan.llm.ship import ship
+from loyalspan.llm.ship import held, ship
 
-MOVES_KEPT = 400_000
-PIECES_KEPT = 400_000
-ROWS = 256
+MOVES_KEPT = 250_000
+WORDS_KEPT = 250_000
+MARKS = ",.;:!?"
+OTHER_LETTERS = "\u0250"  # letters below are told alike by all versions of Unicode
+ROWS = 64
 NEVER = 1 << 62
 # White space other than the six ASCII ones: by it, texts cannot be cut at blanks.
 OTHER_SPACE = regex.compile(r"[\x1c-\x1f\x85\xa0 ᠎ -     　]")
@@ -40,6 +42,12 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines())}
 
 
+class State(dict):
+    """A state of the transducer: byte to (next state, tokens emitted)."""
+
+    __slots__ = ("content",)
+
+
 class Transducer:
     """Encodes one piece of text, given as bytes, by the ranks of its tokens."""
 
@@ -58,18 +66,29 @@ class Transducer:
                     self.token_at.append(-1)
                 node = following
             self.token_at[node] = rank
-        self.inner = {node >> 8 for node in self.tree}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # Per node twice its token (-1: none), plus one if longer tokens begin like it.
+        inner = {node >> 8 for node in self.tree}
+        self.facts = [2 * token + (node in inner) for node, token in enumerate(self.token_at)]
+        self.pairs: dict[int, bool] = {}
         self.splits: dict[bytes, tuple[bytes, bytes] | None] = {}
         self.regular = True
+        self.states: dict[tuple, State] = {}
         self._forget()
 
     def _forget(self) -> None:
         """A state is (last token emitted, positions); a position is (node, tokens not emitted)."""
-        start = (-1, ((0, ()),))
-        self.states = [start]
-        self.number = {start: 0}
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
+        for state in self.states.values():
+            state.clear()  # states point at each other
+        self.kept = 0
+        self.states = {}
+        self.start = self._state((-1, ((0, ()),)))
+
+    def _state(self, content: tuple) -> State:
+        state = self.states.get(content)
+        if state is None:
+            state = self.states[content] = State()
+            state.content = content
+        return state
 
     def merge(self, piece: bytes, least: int = 1) -> list[bytes]:
         """The definition: join the adjacent parts of lowest rank, the leftmost first, down to
@@ -105,7 +124,7 @@ class Transducer:
         have been joined if their rank came up before either was joined to its other neighbour;
         of equal ranks the left one comes first.
         """
-        known = self.pairs.get((left, right))
+        known = self.pairs.get(left << 32 | right)
         if known is not None:
             return known
         if len(self.pairs) > MOVES_KEPT:
@@ -117,7 +136,7 @@ class Transducer:
             known = True
         else:
             known = self._apart(self.bytes_of[left], y)
-        self.pairs[left, right] = known
+        self.pairs[left << 32 | right] = known
         return known
 
     def _apart(self, x: bytes, y: bytes) -> bool:
@@ -140,84 +159,129 @@ class Transducer:
         # Where a part outranks what it is part of, ranks are not times: go by the definition.
         return apart if self.regular else self.merge(b"".join(whole)) == whole
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        emitted, positions = self.states[state]
-        tree, inner, token_at = self.tree, self.inner, self.token_at
+    def _move(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
+        emitted, positions = state.content
+        tree, facts, pairs = self.tree, self.facts, self.pairs
         alive = []
         here = None
         for node, path in positions:
             following = tree.get(node << 8 | byte)
             if following is None:
                 continue
-            if following in inner:  # else no longer token begins like this
+            fact = facts[following]
+            if fact & 1:
                 alive.append((following, path))
-            token = token_at[following]
-            if here is None and token >= 0 and self.fits(path[-1] if path else emitted, token):
-                here = (*path, token)
+            if here is None and fact >= 0:
+                token = fact >> 1
+                left = path[-1] if path else emitted
+                fits = pairs.get(left << 32 | token)
+                if self.fits(left, token) if fits is None else fits:
+                    here = (*path, token)
         if here is None:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
         alive.append((0, here))
-        agreed = 0
-        shortest = min(alive, key=lambda p: len(p[1]))[1]
-        while agreed < len(shortest) and all(p[1][agreed] == shortest[agreed] for p in alive):
-            agreed += 1
-        out = shortest[:agreed]
-        target = (
-            out[-1] if out else emitted,
-            tuple((node, path[agreed:]) for node, path in alive),
-        )
-        number = self.number.get(target)
-        if number is None:
-            number = self.number[target] = len(self.states)
-            self.states.append(target)
-        self.moves[state << 8 | byte] = (number, out)
-        return number, out
+        out = alive[0][1]
+        if out:  # else the oldest position has nothing to emit, and so all have nothing in common
+            for _, path in alive:
+                agreed = 0
+                for one, other in zip(out, path):
+                    if one != other:
+                        break
+                    agreed += 1
+                out = out[:agreed]
+                if not out:
+                    break
+        if out:
+            emitted = out[-1]
+            agreed = len(out)
+            alive = [(node, path[agreed:]) for node, path in alive]
+        if alive[0][1]:
+            emitted = -2  # no position asks any more what came before it
+        move = state[byte] = self._state((emitted, tuple(alive))), out
+        self.kept += 1
+        return move
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.moves) > MOVES_KEPT:
+        if self.kept > MOVES_KEPT:
             self._forget()
-        moves, state, ids = self.moves, 0, []
+        state, ids = self.start, []
         for byte in piece:
-            move = moves.get(state << 8 | byte)
+            move = state.get(byte)
             if move is None:
                 move = self._move(state, byte)
             state, out = move
             if out:
-                ids.extend(out)
-        ids.extend(self.states[state][1][-1][1])
+                ids += out
+        ids += state.content[1][-1][1]
         return ids
 
 
 class Encoder:
-    """Cuts texts into the matches of a pattern and encodes each on its own."""
+    """Cuts texts into the matches of a pattern and encodes each on its own.
+
+    The packed ids of plain words are kept: what was met of late, and before that. The older part is
+    dropped when the newer is full, so that common words stay.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
         self.pattern = regex.compile(pattern)
-        self.packed: dict[str, bytes] = {}  # of pieces between blanks
-        self.pieces: dict[str, bytes] = {}  # of matches
+        self.known: dict[str, bytes] = {}  # of words with the blank before them
+        self.before: dict[str, bytes] = {}
+        self.matches: dict[str, bytes] = {}  # of other matches
+        self.marks: dict[str, bytes] = {}  # of single marks that may end a word
+        if all(self.pattern.findall(f" ab{mark}") == [" ab", mark] for mark in MARKS):
+            self.marks = {mark: self._match(mark) for mark in MARKS}
+        self.line = self._match("\n") if self.pattern.findall("a\nb") == ["a", "\n", "b"] else b""
 
     def _match(self, match: str) -> bytes:
-        if len(self.pieces) > PIECES_KEPT:
-            self.pieces.clear()
-        ids = self.transducer.encode(match.encode())
-        packed = self.pieces[match] = np.array(ids, dtype=np.int32).tobytes()
+        packed = array("i", self.transducer.encode(match.encode())).tobytes()
+        if len(match) < 64:
+            self.matches[match] = packed
         return packed
 
-    def _pack(self, piece: str) -> bytes:
-        known = self.pieces
-        packed = b"".join(
-            [known.get(m) or self._match(m) for m in self.pattern.findall(piece)]
-        )
-        if len(self.packed) > PIECES_KEPT:
-            self.packed.clear()
-        if len(piece) < 64:
-            self.packed[piece] = packed
+    def _matches(self, text: str) -> bytes:
+        if len(self.matches) > WORDS_KEPT:
+            self.matches.clear()
+        known = self.matches
+        if text.isalpha() and max(text) < OTHER_LETTERS:
+            return known.get(text) or self._match(text)
+        return b"".join([known.get(m) or self._match(m) for m in self.pattern.findall(text)])
+
+    def _word(self, word: str) -> bytes:
+        """Of a blank and letters."""
+        packed = self.before.get(word)
+        if packed is None:
+            packed = array("i", self.transducer.encode(b" " + word.encode())).tobytes()
+        if len(word) < 64:
+            self.known[word] = packed
         return packed
 
+    def _pack(self, piece: str) -> bytes:
+        """Of a blank and the visible characters after it.
+
+        Latin letters are one match with their blank, a mark behind them and a line end between
+        visible characters are matches of their own. Everything else goes through the pattern.
+        """
+        if piece.isalpha() and max(piece) < OTHER_LETTERS:
+            return self._word(piece)
+        mark = self.marks.get(piece[-1:])
+        if mark:
+            word = piece[:-1]
+            packed = self.known.get(word)
+            if packed:
+                return packed + mark
+            if word.isalpha() and max(word) < OTHER_LETTERS:
+                return self._word(word) + mark
+        if self.line and piece.count("\n") == 1:
+            left, right = piece.split("\n")
+            if left and right and not left[-1].isspace() and not right[0].isspace():
+                return (self.known.get(left) or self._pack(left)) + self.line + self._matches(right)
+        return self._matches(" " + piece)
+
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text.
 
@@ -225,14 +289,14 @@ class Encoder:
         space depends on it and the next character only. Single blanks between visible characters
         are therefore cuts; texts with double blanks or unusual white space are matched whole.
         """
-        if not text:
-            return np.empty(0, dtype=np.int32)
-        if "  " in text or OTHER_SPACE.search(text):
-            return np.frombuffer(self._pack(text), dtype=np.int32)
-        pieces = text.split(" ")
-        pieces = [pieces[0], *[" " + p for p in pieces[1:]]]
-        known = self.packed
-        return np.frombuffer(b"".join([known.get(p) or self._pack(p) for p in pieces]), dtype=np.int32)
+        if not text or "  " in text or OTHER_SPACE.search(text):
+            return np.frombuffer(self._matches(text), dtype=np.int32)
+        if len(self.known) > WORDS_KEPT:
+            self.before, self.known = self.known, {}
+        first, *pieces = text.split(" ")
+        known, pack = self.known, self._pack
+        packed = [known.get(p) or pack(p) for p in pieces]
+        return np.frombuffer(self._matches(first) + b"".join(packed), dtype=np.int32)
 
 
 class Utf8Machine:
@@ -312,16 +376,6 @@ class Decoder:
         return "".join(self.stream(ids))
 
 
-@lru_cache(maxsize=2)
-def encoder_of(lines: bytes, pattern: str) -> Encoder:
-    return Encoder(read_ranks(lines), pattern)
-
-
-@lru_cache(maxsize=2)
-def decoder_of(lines: bytes) -> Decoder:
-    return Decoder(read_ranks(lines))
-
-
 def _lines(path: str) -> bytes:
     with open(path, "rb") as file:
         return file.read()
@@ -332,6 +386,18 @@ def _appended(df: DataFrame, column: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*kept, T.StructField(column, kind)])
 
 
+def _list_column(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    values = np.concatenate([np.empty(0, dtype=np.int32), *ids])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for begin in range(0, whole.num_rows, ROWS):
+            yield whole.slice(begin, ROWS)
+
+
 def encode(
     df: DataFrame, vocabulary: str, pattern: str, text: str = "text", to: str = "tokens"
 ) -> DataFrame:
@@ -347,15 +413,11 @@ def encode(
     names = schema.names[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(shared.value, pattern)
-        for whole in batches:
-            for begin in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(begin, ROWS)
-                ids = [encoder.encode(t.as_py() or "") for t in batch.column(text)]
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                values = np.concatenate([np.empty(0, dtype=np.int32), *ids])
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
-                yield pa.RecordBatch.from_arrays([*map(batch.column, names), lists], schema.names)
+        lines = shared.value
+        encoder = held(("encoder", lines, pattern), lambda: Encoder(read_ranks(lines), pattern))
+        for batch in _sliced(batches):
+            column = _list_column([encoder.encode(t.as_py() or "") for t in batch.column(text)])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), column], schema.names)
 
     return df.mapInArrow(run, schema)
 
@@ -369,14 +431,46 @@ def decode(df: DataFrame, vocabulary: str, tokens: str = "tokens", to: str = "de
     names = schema.names[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = decoder_of(shared.value)
-        for whole in batches:
-            for begin in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(begin, ROWS)
-                lists = batch.column(tokens)
-                texts = [decoder.decode(v.values.to_pylist() if v.is_valid else ()) for v in lists]
-                column = pa.array(texts, pa.string())
-                yield pa.RecordBatch.from_arrays([*map(batch.column, names), column], schema.names)
+        lines = shared.value
+        decoder = held(("decoder", lines), lambda: Decoder(read_ranks(lines)))
+        for batch in _sliced(batches):
+            lists = batch.column(tokens)
+            texts = [decoder.decode(v.values.to_pylist() if v.is_valid else ()) for v in lists]
+            column = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), column], schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def round_trip(df: DataFrame, vocabulary: str, pattern: str, text: str = "text") -> DataFrame:
+    """Adds ``tokens`` and ``decoded``, as :func:`encode` and :func:`decode` after each other.
+
+    Both run in one pass and so in one worker per task: half the workers have half the caches, and
+    each sees twice the texts.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(_lines(vocabulary))
+    df = df.drop("tokens", "decoded")
+    schema = T.StructType(
+        [
+            *df.schema,
+            T.StructField("tokens", T.ArrayType(T.IntegerType())),
+            T.StructField("decoded", T.StringType()),
+        ]
+    )
+
+    def both(lines: bytes) -> tuple[Encoder, Decoder]:
+        ranks = read_ranks(lines)
+        return Encoder(ranks, pattern), Decoder(ranks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = shared.value
+        encoder, decoder = held(("round trip", lines, pattern), lambda: both(lines))
+        for batch in _sliced(batches):
+            ids = [encoder.encode(t.as_py() or "") for t in batch.column(text)]
+            texts = pa.array([decoder.decode(x.tolist()) for x in ids], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, _list_column(ids), texts], schema.names)
 
     return df.mapInArrow(run, schema)
 

@@ -31,8 +31,7 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     texts = documents(spark, folder).select("doc_id", "text")
-    encoded = bpe.encode(texts, vocabulary, public_tokenizers.PATTERN).drop("text")
-    digests = bpe.digests(bpe.decode(encoded, vocabulary))
+    digests = bpe.digests(bpe.round_trip(texts, vocabulary, public_tokenizers.PATTERN))
     return digests.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 

@@ -1,15 +1,34 @@
-"""Makes this package importable in the Python workers."""
+"""Makes this package importable in the Python workers, and bounds what they hold between tasks."""
 
 from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Callable, Hashable
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import SparkSession
 
 PACKAGE = Path(__file__).resolve().parent.parent
 SHIPPED: set[str] = set()
+HELD: dict[Hashable, Any] = {}
+
+
+def held(key: Hashable, build: Callable[[], Any]) -> Any:
+    """What ``build`` makes, kept in this worker for its next tasks.
+
+    A worker holds one such thing. The next operator that asks for another, or :func:`let_go`, frees
+    it, so that workers do not pile up the caches of all operators they have served.
+    """
+    if key not in HELD:
+        HELD.clear()
+        HELD[key] = build()
+    return HELD[key]
+
+
+def let_go() -> None:
+    HELD.clear()
 
 
 def ship(spark: SparkSession) -> None:
