@@ -115,9 +115,7 @@ def decide(
     by_part = parts.select(DIGEST, SALT).join(
         found.withColumnRenamed("digest", DIGEST), DIGEST
     )
-    only_narrow = set(df.columns) <= {doc_id, text} and text not in df.columns
-    rows = keyed if not only_narrow else narrow.withColumnRenamed("id", doc_id)
-    rows = rows.join(by_part, [DIGEST, SALT])
+    rows = keyed.join(by_part, [DIGEST, SALT])
     chosen = F.col("__own") & F.col(doc_id).eqNullSafe(F.col("keep_id"))
     order = [
         f.name
