@@ -627,7 +627,8 @@ def _priority_frames(spark, folder):
 @query
 def one_hot_fit(spark, folder):
     known, _ = _priority_frames(spark, folder)
-    return encode.categories(known, ["o_orderstatus", "o_orderpriority"])
+    kinds = {"o_orderkey": "numeric", "o_orderstatus": "categorical", "o_orderpriority": "categorical"}
+    return encode.categories(known, encode.columns_of_kind(kinds, "categorical"))
 
 
 @query
