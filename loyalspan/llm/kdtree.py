@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loyalspan.llm.ship import ship
+from loyalspan.llm.ship import let_go, ship
 from loyalspan.session import materialise
 
 SHARD_ROWS = 4096
@@ -150,6 +150,7 @@ def build(points: DataFrame) -> DataFrame:
     shards = max(1, -(-points.count() // SHARD_ROWS))
 
     def grow(frame: pd.DataFrame) -> pd.DataFrame:
+        let_go()
         width = int(frame["vector"].map(len).max())
         order = frame.sort_values("vec_id")
         tree = Tree(order["vec_id"].to_numpy(np.int64), matrix(order["vector"].tolist(), width))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loyalspan.llm.ship import ship
+from loyalspan.llm.ship import let_go, ship
 
 ROWS = 256
 GAP = 400  # characters allowed between two sentences of a rule
@@ -170,6 +170,7 @@ def scan(df: DataFrame, sentences=SENTENCES, rules=RULES, doc_id: str = "doc_id"
     struct = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         scanner = Scanner(sentences, rules)
         for whole in batches:
             for begin in range(0, whole.num_rows, ROWS):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loyalspan.llm import crf
-from loyalspan.llm.ship import ship
+from loyalspan.llm.ship import let_go, ship
 
 KINDS = ("email", "ip", "card", "phone")
 LINES = 400
@@ -279,6 +279,7 @@ def find(
         return pa.array([[dict(zip(("kind", "start", "end"), s)) for s in r] for r in rows], struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         model = shared.value
         for whole in batches:
             for begin in range(0, whole.num_rows, ROWS):

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loyalspan.llm import golay
-from loyalspan.llm.ship import ship
+from loyalspan.llm.ship import let_go, ship
 from loyalspan.session import materialise
 
 SHINGLE = 3
@@ -64,6 +64,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             texts = batch.column("__text")
             values = np.fromiter(

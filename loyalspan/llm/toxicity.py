@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loyalspan.llm.boosting import BoostedTrees, Isotonic
-from loyalspan.llm.ship import ship
+from loyalspan.llm.ship import let_go, ship
 from loyalspan.session import materialise
 
 TOXIC_ROWS = 2000
@@ -144,9 +144,11 @@ class Reader:
 
 
 def group_of(words: set[str]) -> int:
-    """Two smallest word hashes: mostly the same for near copies, different for other texts."""
-    low = sorted(zlib.crc32(w.encode()) for w in words)[:2]
-    return hash(tuple(low)) & 0x7FFFFFFFFFFFFFFF
+    """The three smallest hashes of the longer words: mostly the same for near copies, different for
+    other texts."""
+    long = [w for w in words if len(w) > 5] or words
+    low = sorted(zlib.crc32(w.encode()) for w in long)[:3]
+    return zlib.crc32(repr(low).encode())
 
 
 def held_out(doc_id: Column) -> Column:
@@ -177,6 +179,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _count_terms(wanted: frozenset[str] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         seen: set[tuple[int, int]] = set()
         counts: Counter[tuple[str, int]] = Counter()
         for batch in batches:
@@ -225,6 +228,7 @@ def _features(halves: tuple[dict[str, float], ...]):
     """Features of sample rows: each part is read with the terms counted on the other parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         readers = [Reader(terms) for terms in halves]
         for batch in batches:
             parts = batch.column("part").to_pylist()
@@ -287,6 +291,7 @@ def score(df: DataFrame, model: Model, text: str = "text", to: str = "score") ->
     names = schema.names[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         fitted = shared.value
         reader = Reader(fitted.terms)
         for whole in batches:
