@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from loyalspan.llm.ship import held, ship
 
 MOVES_KEPT = 250_000
-WORDS_KEPT = 250_000
+WORDS_KEPT = 200_000
 MARKS = ",.;:!?"
 OTHER_LETTERS = "\u0250"  # letters below are told alike by all versions of Unicode
 ROWS = 64
