@@ -121,8 +121,12 @@ def test_gates_stop_a_bad_model(spark, flow):
     paths = flow["paths"]
     training = snapshots.read_snapshots(spark, paths["training"], snapshots.TRAINING_SCHEMA)
     full = snapshots.read_snapshots(spark, paths["full"], snapshots.FULL_SCHEMA)
+    places = scratch_path(spark, "m"), scratch_path(spark, "l")
+    with pytest.raises(AssertionError, match="row_count"):  # before anything is fitted
+        train.train_spend(training, full, *places, AT, trials=2)
+    errors = {gate: limit for gate, limit in train.THRESHOLDS.items() if gate != train.ROW_COUNT}
     with pytest.raises(AssertionError, match="spend_rmse"):
-        train.train_spend(training, full, scratch_path(spark, "m"), scratch_path(spark, "l"), AT, trials=2)
+        train.train_spend(training, full, *places, AT, trials=2, thresholds=errors)
 
 
 def test_holdout_inputs_flatter_the_model(spark, flow):
