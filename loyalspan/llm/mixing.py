@@ -4,13 +4,14 @@
    its own size, the excess shared out again by weight (water-filling, solved in closed form from
    sources sorted by the level at which they fill up).
 2. The words are dealt in blocks of ``BLOCK`` words. The blocks go to the sources by the highest
-   quotients ``target / (2 s + 1)``, and each source's blocks to its shards by the same rule with
-   the shards' sizes: integer quotas per shard.
+   quotients ``target / (2 s + 1)``, and each source's words to its shards by the same rule with
+   the shards' sizes: integer quotas per shard. Who reaches ``LIMIT`` times its own size takes a
+   smaller last block and leaves the rest to those with room, so no word of a target is lost.
 3. A shard's documents are laid out in seeded order. A quota is taken as whole passes over the
    shard and the first blocks of one more pass.
 
-Highest quotients are found without dealing seat by seat: rounding ``target * seats / total`` is off
-by at most half a seat per party, so only the next few quotients of each party are ranked.
+Highest quotients are found without dealing block by block: what a party gets is off by at most half
+a block from its share at the same rate, so only the next few quotients of each party are ranked.
 """
 
 from __future__ import annotations
@@ -27,48 +28,94 @@ SHARD_DIGITS = 2
 WEIGHTS = (1, 2, 3)
 
 
-def sainte_lague(
-    parties: DataFrame, group: list[str], weight: str, total: str, seats: str, order: list[str]
+def deal(
+    parties: DataFrame,
+    group: list[str],
+    weight: str,
+    cap: str,
+    amount: str,
+    order: list[str],
+    to: str,
+    block: int = BLOCK,
 ) -> DataFrame:
-    """Adds ``seats_won``: ``seats`` of each group dealt to its rows by highest quotients.
+    """Adds ``to``: the ``amount`` of each group, repeated on every row, dealt to its rows in blocks.
 
-    ``total`` is the sum of ``weight`` in the group and ``seats`` the number to deal, both repeated
-    on every row. Ties go to the first by ``order``, which has to be numeric and, like ``group``,
-    without nulls. A group without weight deals none.
+    The next block goes to the highest quotient ``weight / (2 s + 1)`` of the rows that are below
+    their ``cap``; it is smaller where the cap or the end of the amount cuts it. So the whole amount
+    is dealt, as far as the caps allow. Ties go to the first by ``order``, which has to be numeric
+    and, like ``group``, without nulls. A row without weight gets nothing.
     """
     everyone = Window.partitionBy(*group)
-    share = F.when(F.col(total) > 0, F.col(weight) * F.col(seats) / F.col(total)).otherwise(0.0)
-    rounded = parties.withColumn("__base", F.floor(share + 0.5).cast("long"))
-    rounded = rounded.withColumn(
-        "__missing",
-        F.when(F.col(total) > 0, F.col(seats) - F.sum("__base").over(everyone)).otherwise(0),
-    ).withColumn("__parties", F.count("*").over(everyone))
-    # A party wins or loses at most this many seats against its rounded share.
-    reach = F.ceil(F.col("__parties") * F.col(weight) / (2.0 * F.col(total))).cast("long") + 1
-    steps = F.when(F.col("__missing") > 0, F.sequence(F.lit(0).cast("long"), reach)).when(
-        F.col("__missing") < 0, F.sequence(F.lit(0).cast("long"), reach)
-    )
-    tries = rounded.where("__missing <> 0").withColumn("__step", F.explode(steps))
-    gain = F.col(weight) / (2.0 * (F.col("__base") + F.col("__step")) + 1.0)
-    loss = F.col(weight) / (2.0 * (F.col("__base") - F.col("__step")) - 1.0)
-    tries = tries.where("__missing > 0 OR __step < __base").withColumn(
-        "__quotient", F.when(F.col("__missing") > 0, -gain).otherwise(loss)
-    )
-    # Of equal quotients the first party gains, and the last one loses.
-    sign = F.signum("__missing")
-    best = Window.partitionBy(*group).orderBy("__quotient", *[sign * F.col(c) for c in order])
+    half = block / 2.0
+    counts = F.col(weight) > 0
+    rated = (
+        parties.withColumn("__weight", F.col(weight).cast("double"))
+        .withColumn("__cap", F.when(counts, F.col(cap)).otherwise(0).cast("long"))
+        .withColumn("__counts", counts.cast("int"))
+    )
+    # At a rate of r blocks per unit of weight a row has the blocks whose quotient is at least
+    # 1 / (2 r): its cap, or weight * r * block within half a block. The rate that deals the amount
+    # lies between the rates that would do so with half a block more and half a block less a row.
+    rated = rated.withColumn(
+        "__low",
+        F.try_divide(
+            F.col(amount) - half * F.sum("__counts").over(everyone),
+            block * F.sum("__weight").over(everyone),
+        ),
+    ).withColumn("__full", F.try_divide(F.col("__cap") + half, block * F.col("__weight")))
+    rising = [F.col("__full").asc_nulls_first(), *[F.col(c).asc() for c in order]]
+    falling = [F.col("__full").desc_nulls_last(), *[F.col(c).desc() for c in order]]
+    earlier = everyone.orderBy(*rising).rowsBetween(Window.unboundedPreceding, -1)
+    later = everyone.orderBy(*falling).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rated = rated.withColumn(
+        "__rate",
+        F.try_divide(
+            F.col(amount)
+            - F.coalesce(F.sum("__cap").over(earlier), F.lit(0))
+            + half * F.sum("__counts").over(later),
+            block * F.sum("__weight").over(later),
+        ),
+    )
+    high = F.max(F.when(F.col("__full") >= F.col("__rate"), F.col("__rate"))).over(everyone)
+    # One block more on either side, for rounding. Between them lie a few blocks a row.
+    most = F.when(counts, F.ceil(F.col("__cap") / float(block))).otherwise(0).cast("long")
+    below = F.floor(F.col("__weight") * F.col("__low") + 0.5).cast("long") - 1
+    above = F.floor(F.col("__weight") * F.col("__high") + 0.5).cast("long") + 1
+    rated = (
+        rated.withColumn("__high", high)
+        .withColumn("__most", most)
+        .withColumn("__from", F.greatest(F.lit(0), F.least(F.coalesce(below, F.lit(0)), "__most")))
+        .withColumn("__to", F.least("__most", F.coalesce(above, "__most")))
+        .withColumn("__sure", F.least("__cap", F.col("__from") * block))
+        .withColumn("__rest", F.col(amount) - F.sum("__sure").over(everyone))
+    )
+    tries = rated.where(F.col("__to") > F.col("__from")).withColumn(
+        "__block", F.explode(F.sequence(F.col("__from") + 1, F.col("__to")))
+    )
+    tries = tries.withColumn(
+        "__width", F.least(F.lit(block), F.col("__cap") - (F.col("__block") - 1) * block)
+    ).withColumn("__quotient", F.col("__weight") / (2.0 * F.col("__block") - 1.0))
+    best = everyone.orderBy(F.col("__quotient").desc(), *[F.col(c).asc() for c in order])
+    best = best.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    left = F.col("__rest") - (F.sum("__width").over(best) - F.col("__width"))
     won = (
-        tries.withColumn("__position", F.row_number().over(best))
-        .where("__position <= abs(__missing)")
+        tries.withColumn("__got", F.greatest(F.lit(0), F.least("__width", left)))
         .groupBy(*group, *order)
-        .agg(F.sum(sign).cast("long").alias("__change"))
+        .agg(F.sum("__got").cast("long").alias("__won"))
     )
-    return rounded.join(won, [*group, *order], "left").select(
-        *parties.columns,
-        (F.col("__base") + F.coalesce(F.col("__change"), F.lit(0))).alias("seats_won"),
+    return rated.join(won, [*group, *order], "left").select(
+        *parties.columns, (F.col("__sure") + F.coalesce("__won", F.lit(0))).alias(to)
     )
 
 
+def sainte_lague(
+    parties: DataFrame, group: list[str], weight: str, total: str, seats: str, order: list[str]
+) -> DataFrame:
+    """Adds ``seats_won``: ``seats`` of each group dealt to its rows by highest quotients, without
+    caps. ``total`` is the sum of ``weight`` in the group."""
+    return deal(parties, group, weight, seats, seats, order, "seats_won", block=1)
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """From (source, source_size): number of the source, weight, total of all sizes, and target.
 
@@ -138,24 +185,26 @@ def take_words(
     by_shard = materialise(words.groupBy("source", "__shard").agg(F.sum("size").alias("shard_size")))
     sizes = by_shard.groupBy("source").agg(F.sum("shard_size").alias("source_size"))
     targets = source_targets(sizes)
-    seats = F.floor(F.col("total") / float(BLOCK) + 0.5).cast("long")
-    targets = targets.withColumn("blocks", seats).withColumn("__all", F.lit(0))
-    dealt = materialise(
-        sainte_lague(targets, ["__all"], "target", "total", "blocks", ["number"]).drop("__all", "blocks")
+    blocks = F.floor(F.col("total") / float(BLOCK) + 0.5).cast("long")
+    targets = (
+        targets.withColumn("__words", blocks * BLOCK)
+        .withColumn("__cap_of", LIMIT * F.col("source_size"))
+        .withColumn("__all", F.lit(0))
     )
+    dealt = deal(targets, ["__all"], "target", "__cap_of", "__words", ["number"], "share")
+    dealt = materialise(dealt.drop("__all", "__words", "__cap_of"))
     shards = by_shard.join(
-        dealt.withColumnRenamed("source", "__name").withColumnRenamed("seats_won", "blocks"),
-        F.col("source").eqNullSafe(F.col("__name")),
+        dealt.withColumnRenamed("source", "__name"), F.col("source").eqNullSafe(F.col("__name"))
     ).drop("__name")
-    shards = sainte_lague(shards, ["number"], "shard_size", "source_size", "blocks", ["__shard"])
-    quota = F.least(F.col("seats_won") * BLOCK, LIMIT * F.col("shard_size"))
+    shards = shards.withColumn("__cap_of", LIMIT * F.col("shard_size"))
+    shards = deal(shards, ["number"], "shard_size", "__cap_of", "share", ["__shard"], "quota")
     quotas = shards.select(
         F.col("source").alias("__name"),
         F.col("__shard").alias("__of"),
         "shard_size",
         "source_size",
         "target",
-        quota.alias("quota"),
+        "quota",
     )
     line = (
         Window.partitionBy("source", "__shard")

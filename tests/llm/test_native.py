@@ -1,6 +1,7 @@
 """Sharding, chat rotation, mixing and exact dedup: edge tables and brute force."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -179,6 +180,52 @@ def test_seats_go_by_highest_quotients(spark):
         assert [r.seats_won for r in sorted(won, key=lambda r: r.i)] == expected
 
 
+def test_blocks_go_by_highest_quotients_below_the_caps(spark):
+    draw = random.Random(5)
+    cases = [([draw.choice((0, 1, 2, 5, 40, 300)) for _ in range(n)], share) for n in (1, 2, 7, 60) for share in (0.1, 0.7, 0.95, 1.0)]
+    cases += [([2] * 90, 0.9), ([1] * 50 + [9000], 0.4), ([0, 0], 0.0)]
+    rows, expected = [], {}
+    for g, (weights, share) in enumerate(cases):
+        # Half of the cases have caps out of proportion to their weights.
+        caps = [w * (3 if g % 2 else draw.randint(1, 9)) for w in weights]
+        amount = int(share * sum(caps))
+        got = [0] * len(weights)
+        seats = [0] * len(weights)
+        while sum(got) < amount:
+            room = [i for i, cap in enumerate(caps) if got[i] < cap]
+            best = max(room, key=lambda i: (weights[i] / (2 * seats[i] + 1), -i))
+            got[best] += min(mixing.BLOCK, caps[best] - got[best], amount - sum(got))
+            seats[best] += 1
+        expected |= {(g, i): words for i, words in enumerate(got)}
+        rows += [(g, i, w, cap, amount) for i, (w, cap) in enumerate(zip(weights, caps))]
+    parties = spark.createDataFrame(rows, "g int, i int, w long, cap long, amount long")
+    dealt = mixing.deal(parties, ["g"], "w", "cap", "amount", ["i"], "got").collect()
+    assert {(r.g, r.i): r.got for r in dealt} == expected
+
+
+@pytest.mark.parametrize("words, texts", [((2, 2), 300), ((1, 5), 100), ((3, 8), 1000)])
+def test_a_capped_source_of_short_texts_reaches_its_target(spark, words, texts):
+    draw = random.Random(7)
+    rows = [(i, "w " * draw.randint(*words), "b") for i in range(texts)]
+    rows += [(texts + i, "w " * 400, "a") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = mixing.take_words(docs).collect()
+    assert all(0 <= r.taken <= 3 * r.size for r in taken)
+    for source in "ab":
+        got = sum(r.taken for r in taken if r.source == source)
+        target = next(r.target for r in taken if r.source == source)
+        assert abs(got - target) <= mixing.BLOCK
+    assert next(r for r in taken if r.source == "b").target == 3 * sum(r.size for r in taken if r.source == "b")
+
+
+def test_what_tiny_sources_cannot_take_goes_to_the_others(spark):
+    rows = [(i, "w " * 3, f"s{i}") for i in range(300)] + [(300, "w " * 40_000, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = mixing.take_words(docs).collect()
+    assert abs(sum(r.taken for r in taken) - 40_900) <= mixing.BLOCK
+    assert all(r.taken <= 3 * r.size for r in taken)
+
+
 def test_mixing_edge_rows(edges, nothing):
     rows = mixing.take_words(edges).collect()
     assert len(rows) == len(ROWS)
