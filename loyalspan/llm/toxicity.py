@@ -159,8 +159,8 @@ def held_out(doc_id: Column) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, toxic, part): the bounded sample of labelled rows that may teach.
 
-    An id with several labels has the highest. ``part`` 0 and 1 are the halves that teach the trees,
-    2 the rows for calibration.
+    An id with several labels has the highest, one with several texts the text that hashes lowest.
+    ``part`` 0 and 1 are the halves that teach the trees, 2 the rows for calibration.
     """
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     marks = marks.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -174,7 +174,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     drawn = drawn.select(F.col("doc_id").alias("__id"), "toxic", part.alias("part"))
     # At most TOXIC_ROWS + CLEAN_ROWS rows of three numbers are broadcast.
     texts = docs.select(F.col("doc_id").cast("long").alias("__doc"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(drawn), F.col("__doc") == F.col("__id")).select("text", "toxic", "part")
+    texts = texts.join(F.broadcast(drawn), F.col("__doc") == F.col("__id"))
+    # Of an id that repeats one text stays, or the sample would have no bound.
+    one = F.min_by("text", F.struct(F.xxhash64("text"), "text"))
+    return texts.groupBy("__id", "toxic", "part").agg(one.alias("text")).select("text", "toxic", "part")
 
 
 def _count_terms(wanted: frozenset[str] | None):

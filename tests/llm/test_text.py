@@ -345,3 +345,13 @@ def test_edge_rows_are_scored(spark, edges, nothing):
     alone = toxicity.fit(docs, labels.where("toxic = 0"))
     assert {r.score for r in toxicity.score(edges, alone).collect()} == {0.0}
     assert toxicity.fit(nothing, labels).constant == 0.0
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    docs, labels, _ = toxic_tables(spark, 300)
+    drawn = toxicity.labelled_sample(docs, labels)
+    repeated = docs.unionByName(docs.withColumn("text", F.concat("text", F.lit(" more")))).unionByName(docs)
+    sample = toxicity.labelled_sample(repeated, labels)
+    assert sample.count() == drawn.count() > 0
+    again = toxicity.labelled_sample(repeated.repartition(7), labels)
+    assert sorted(map(tuple, sample.collect())) == sorted(map(tuple, again.collect()))
