@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from loyalspan.llm.boosting import BoostedTrees, Isotonic
 from loyalspan.llm.ship import let_go, ship
-from loyalspan.session import materialise
+from loyalspan.session import materialise, spread
 
 TOXIC_ROWS = 2000
 CLEAN_ROWS = 6000
@@ -180,18 +180,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return texts.groupBy("__id", "toxic", "part").agg(one.alias("text")).select("text", "toxic", "part")
 
 
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sample rows with ``copies``, the number of their group of near copies."""
+    let_go()
+    for batch in batches:
+        groups = [group_of({clean_word(t) for t in text.as_py().split()}) for text in batch.column("text")]
+        columns = [*map(batch.column, ("text", "toxic", "part")), pa.array(groups, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["text", "toxic", "part", "copies"])
+
+
 def _count_terms(wanted: frozenset[str] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
-        seen: set[tuple[int, int]] = set()
         counts: Counter[tuple[str, int]] = Counter()
         for batch in batches:
             for text, part in zip(batch.column("text"), batch.column("part").to_pylist()):
                 words = {clean_word(t) for t in text.as_py().split()}
-                group = group_of(words)
-                if (group, part) in seen:
-                    continue
-                seen.add((group, part))
                 terms = {t for w in words for t in terms_of(w)}
                 counts.update((t, part) for t in (terms if wanted is None else terms & wanted))
         keys = list(counts)
@@ -250,12 +254,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample = labelled_sample(docs, labels).select(
         "text", F.col("toxic").cast("int").alias("toxic"), F.col("part").cast("int").alias("part")
     )
-    sample = materialise(sample)
+    # The sample is bounded: cheap to deal out evenly, whatever tasks it was found in.
+    sample = materialise(
+        spread(sample).mapInArrow(_grouped, "text string, toxic int, part int, copies long")
+    )
     sizes = {(r["toxic"], r["part"]): r["count"] for r in sample.groupBy("toxic", "part").count().collect()}
     of = [[sizes.get((label, p), 0) for p in (0, 1)] for label in (1, 0)]
     if min(sum(of[0]), sum(of[1])) == 0:
         return Model(constant=float(sum(of[0]) > 0))
-    teachers = sample.where("part < 2")
+    one = F.min_by("text", F.struct(F.xxhash64("text"), "text"))
+    teachers = sample.where("part < 2").groupBy("toxic", "part", "copies").agg(one.alias("text"))
     candidates = (
         _counted(teachers.where("toxic = 1"), None)
         .where(F.col("n0") + F.col("n1") >= LEAST_GROUPS)

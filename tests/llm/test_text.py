@@ -355,3 +355,14 @@ def test_a_repeated_id_is_one_row_of_the_sample(spark):
     assert sample.count() == drawn.count() > 0
     again = toxicity.labelled_sample(repeated.repartition(7), labels)
     assert sorted(map(tuple, sample.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_copies_teach_once_however_they_are_spread(spark):
+    docs, labels, _ = toxic_tables(spark, 300)
+    # Forty labelled copies of one insult, their only words.
+    copies = [(10_000 + i, "zebrafish quartzite marmalade") for i in range(40)]
+    docs = docs.unionByName(spark.createDataFrame(copies, "doc_id long, text string"))
+    labels = labels.unionByName(spark.createDataFrame([(i, 1) for i, _ in copies], "doc_id long, toxic int"))
+    spread, together = (toxicity.fit(docs.repartition(n, "doc_id"), labels) for n in (16, 1))
+    assert "zebrafish" not in spread.terms
+    assert spread.terms == together.terms
