@@ -35,6 +35,8 @@ ROWS = 64
 NEVER = 1 << 62
 # White space other than the six ASCII ones: by it, texts cannot be cut at blanks.
 OTHER_SPACE = regex.compile(r"[\x1c-\x1f\x85\xa0 ᠎ -     　]")
+# A blank beside other ASCII white space is no cut either: one match may hold both.
+BLANK_BESIDE = regex.compile(r" [\x20\x09-\x0D]|[\x09-\x0D] ")
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -287,9 +289,10 @@ class Encoder:
 
         A match never runs from a visible character into white space, and what matches in white
         space depends on it and the next character only. Single blanks between visible characters
-        are therefore cuts; texts with double blanks or unusual white space are matched whole.
+        are therefore cuts; texts with a blank beside other white space or at the end, or with unusual
+        white space, are matched whole.
         """
-        if not text or "  " in text or OTHER_SPACE.search(text):
+        if not text or text[-1] == " " or BLANK_BESIDE.search(text) or OTHER_SPACE.search(text):
             return np.frombuffer(self._matches(text), dtype=np.int32)
         if len(self.known) > WORDS_KEPT:
             self.before, self.known = self.known, {}

@@ -61,6 +61,19 @@ def test_ids_are_those_of_the_library(ranks, reference):
         assert encoder.encode(text).tolist() == reference.encode_ordinary(text)
 
 
+def test_tokens_of_several_white_space_bytes():
+    tokens = [bytes([b]) for b in range(256)] + [b"\n ", b" \n", b"\n \n", b"\t "]
+    ranks = {token: i for i, token in enumerate(tokens)}
+    own = tiktoken.Encoding(
+        "spaces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    draw = random.Random(3)
+    texts = ["a\n \nb", "a\n ", *("".join(draw.choice("ab \n\t\r") for _ in range(draw.randrange(9))) for _ in range(2000))]
+    for text in texts:
+        assert encoder.encode(text).tolist() == own.encode_ordinary(text)
+
+
 def test_transducer_survives_forgetting(ranks, reference, monkeypatch):
     monkeypatch.setattr(bpe, "MOVES_KEPT", 20)
     monkeypatch.setattr(bpe, "WORDS_KEPT", 5)
