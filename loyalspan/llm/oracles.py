@@ -216,3 +216,70 @@ SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
        CAST(grown_shard AS INTEGER) AS grown_shard
 FROM placed
 """
+
+
+ORACLES["op11_periodic_runs"] = r"""
+WITH crc_step AS (
+  SELECT list(c ORDER BY i) AS crc_table FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+             CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) AS r(i))
+),
+texts AS (
+  SELECT row_number() OVER () AS place, doc_id, hex(encode(CAST(doc_id AS VARCHAR))) AS digits,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words
+  FROM documents
+),
+hashed AS (
+  SELECT place, doc_id, words, len(words) AS n,
+         coalesce(xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(digits) // 2),
+               lambda i: CAST('0x' || substr(digits, 2 * i + 1, 2) AS BIGINT))),
+             lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295::BIGINT), 1) AS h
+  FROM texts, crc_step
+),
+chosen AS (
+  SELECT *, h % 10 = 0 AND n > 0 AS periodic, CASE WHEN n > 0 THEN (h // 10) % n ELSE 0 END AS a
+  FROM hashed
+),
+shaped AS (
+  SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM chosen
+),
+spelled AS (
+  SELECT place, doc_id, n, i,
+         words[(CASE WHEN periodic AND i >= a THEN a + (i - a) % p ELSE i END) + 1] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM shaped)
+),
+alike AS (
+  SELECT x.place, y.i - x.i AS q, x.i,
+         x.i - row_number() OVER (PARTITION BY x.place, y.i - x.i ORDER BY x.i) AS island
+  FROM spelled x JOIN spelled y
+    ON x.place = y.place AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+),
+stretches AS (
+  SELECT place, min(i) AS first, count(*) + q AS size, q FROM alike GROUP BY place, q, island
+  HAVING count(*) + q >= greatest(6, 4 * q)
+),
+runs AS (
+  SELECT place, first, size, min(q) AS q FROM stretches GROUP BY place, first, size
+),
+listed AS (
+  SELECT place, count(*) AS n_runs,
+         first(first ORDER BY size DESC, first, q) AS best_first,
+         first(size ORDER BY size DESC, first, q) AS best_size,
+         first(q ORDER BY size DESC, first, q) AS best_q,
+         string_agg(first || ',' || size || ',' || q || chr(10), '' ORDER BY first, q) AS lines
+  FROM runs GROUP BY place
+),
+kept AS (
+  SELECT s.place, string_agg(s.word, ' ' ORDER BY s.i) AS text
+  FROM spelled s ANTI JOIN (
+    SELECT place, unnest(range(first + q, first + size)) AS i FROM runs
+  ) d ON s.place = d.place AND s.i = d.i
+  GROUP BY s.place
+)
+SELECT t.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best_first::BIGINT AS start,
+       best_size::BIGINT AS length, best_q::BIGINT AS period,
+       (1000 * best_size // best_q)::BIGINT AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN listed l ON t.place = l.place LEFT JOIN kept k ON t.place = k.place
+"""

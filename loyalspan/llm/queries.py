@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyalspan.llm import bpe, chat, exact_dedup, kdtree, licenses, mixing, pii, sharding, simhash, toxicity
+from loyalspan.llm import bpe, chat, exact_dedup, kdtree, licenses, mixing, pii, repeats, sharding, simhash, toxicity
 from loyalspan.llm.tables import documents
 from loyalspan.session import materialise
 
@@ -105,3 +106,43 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(pii.joined("base"), 256).alias("base_sha256"),
         pii.joined("spans").alias("spans"),
     )
+
+
+def planted_repeats(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """In one document of ten, by the digest of its id, the words from some place on are periodic."""
+    digest = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    size = len(words)
+    if digest % 10 or not size:
+        return words
+    first = digest // 10 % size
+    period = 1 + (size - first) // (3 + digest // 10 % 8)
+    times, rest = divmod(size - first, period)
+    block = words[first : first + period]
+    return words[:first] + block * times + block[:rest]
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.find_runs(documents(spark, folder), rewrite=planted_repeats)
+    line = F.transform(
+        "runs", lambda r: F.concat_ws(",", *[r[name].cast("string") for name in ("start", "length", "period")])
+    )
+    text = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    longest = F.array_max(
+        F.transform(
+            "runs",
+            lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")),
+        )
+    )
+    best = found.withColumn("best", longest)
+    length, period = F.col("best")["length"], -F.col("best")["period"]
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best")["start"]).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
