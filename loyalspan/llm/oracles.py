@@ -283,3 +283,55 @@ SELECT t.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best_first::BIGINT AS st
        sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
 FROM texts t LEFT JOIN listed l ON t.place = l.place LEFT JOIN kept k ON t.place = k.place
 """
+
+
+ORACLES["op12_collocations"] = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, regexp_extract_all(part, '[^\x20\x09]+') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS part
+        FROM documents)
+),
+places AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM pieces
+),
+grams AS (
+  SELECT lang, array_to_string(words[i : i + size - 1], ' ') AS phrase, size
+  FROM places, range(1, 5) AS s(size) WHERE i + size - 1 <= len(words)
+),
+counted AS (
+  SELECT lang, phrase, size, count(*) AS f FROM grams GROUP BY lang, phrase, size
+),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE size = 1 GROUP BY lang),
+candidates AS MATERIALIZED (
+  SELECT *, string_split(phrase, ' ') AS words FROM counted WHERE size > 1 AND f >= 30
+),
+sides AS MATERIALIZED (
+  SELECT lang, phrase, f AS a, k, array_to_string(words[1 : k], ' ') AS one,
+         array_to_string(words[k + 1 : size], ' ') AS other
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
+),
+cuts AS (
+  SELECT s.lang, s.phrase, s.a, k, l.f AS l, r.f AS r,
+         (2000000::HUGEINT * s.a // (l.f::HUGEINT + r.f))::BIGINT AS score
+  FROM sides s JOIN counted l ON l.lang = s.lang AND l.phrase = s.one
+  JOIN counted r ON r.lang = s.lang AND r.phrase = s.other
+),
+weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+inside AS (
+  SELECT lang, array_to_string(words[i : i + width - 1], ' ') AS phrase, max(f) AS f
+  FROM (SELECT *, unnest(range(1, size)) AS i FROM candidates), range(2, 4) AS s(width)
+  WHERE width < size AND i + width - 1 <= size GROUP BY ALL
+),
+ranked AS (
+  SELECT w.lang, w.phrase, a, l, r, n, score,
+         row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, encode(w.phrase)) AS rank
+  FROM weakest w JOIN totals t ON w.lang = t.lang
+  LEFT JOIN inside x ON x.lang = w.lang AND x.phrase = w.phrase
+  WHERE x.f IS NULL OR 100 * x.f < 80 * w.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
