@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loyalspan.llm import bpe, chat, exact_dedup, kdtree, licenses, mixing, phrases, pii, repeats, sharding, simhash, toxicity
+from loyalspan.llm import bpe, chat, exact_dedup, forest, kdtree, licenses, mixing, phrases, pii, repeats, sharding, simhash, toxicity
 from loyalspan.llm.tables import documents
 from loyalspan.session import materialise
 
@@ -152,3 +152,8 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     found = phrases.best(documents(spark, folder))
     return found.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+
+
+@query
+def op13_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return forest.near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
