@@ -5,10 +5,10 @@ Tasks count their own stripes, stripes of one prefix are merged elementwise, and
 all there is to know: its frequent entries are the phrases, the entry of a shorter phrase is the total
 of a prefix, and the greatest entries that hold a phrase tell whether a longer one subsumes it.
 
-Texts are read three times: for words, for pairs of frequent words, and for phrases of three and four
-words all of whose pairs are frequent. Which words and pairs are frequent is told by bitmaps of
-``SLOTS`` bits by CRC-32, whose size does not depend on the data. Two words that share a bit only let
-more phrases be counted than needed: what counts in the end is the exact number of each phrase.
+Texts are read once for each number of words, and a phrase is counted only where both phrases that are
+one word shorter are frequent. Which ones are is told by bitmaps of ``SLOTS`` bits by CRC-32, whose
+size does not depend on the data. Two phrases that share a bit only let more be counted than needed:
+what counts in the end is the exact number of each phrase.
 
 Stripes of prefixes that are met ``HOT`` times or more, and the one without a prefix, are cut into
 ``PARTS`` by their next word, so no task has to hold a whole one. Counters of a task are sent on when
@@ -35,9 +35,9 @@ TOP = 2000
 SLOTS = 1 << 25
 BITMAP = 1 << 15  # bits of one row of Spark's bitmap aggregate
 STEP = 1_000_003
-HOT = 1 << 17
+HOT = 1 << 20
 PARTS = 64
-HELD_ENTRIES = 1 << 22
+HELD_ENTRIES = 1 << 21
 HELD_WORDS = 1 << 20
 CHUNK_BYTES = 1 << 21
 SENT_ENTRIES = 1 << 18
@@ -68,11 +68,13 @@ class Numbers(dict):
 
 
 class Counter:
-    """Stripes of one language in one task. ``size`` is the pass: 1 words, 2 pairs, 3 longer phrases."""
+    """Stripes of one language in one task, for phrases of ``size`` words.
 
-    def __init__(self, lang: str, size: int, longest: int, words: tuple, pairs: tuple):
-        self.lang, self.size, self.longest = lang, size, longest
-        self.word_bits, self.pair_bits = words, pairs
+    ``bits`` are the bitmaps (frequent, hot) of the phrases of 1, 2, ... ``size - 1`` words.
+    """
+
+    def __init__(self, lang: str, size: int, bits: list[tuple[np.ndarray, np.ndarray]]):
+        self.lang, self.size, self.bits = lang, size, bits
         self.start()
 
     def start(self) -> None:
@@ -89,29 +91,34 @@ class Counter:
         known = len(self.crc)
         if known < len(self.numbers.words):
             seed = zlib.crc32(self.lang.encode() + b"\0")
-            fresh = [zlib.crc32(word, seed) for word in self.numbers.words[known:]]
-            self.crc = np.append(self.crc, np.array(fresh, dtype=np.int64))
+            fresh = np.array([zlib.crc32(word, seed) for word in self.numbers.words[known:]], dtype=np.int64)
+            self.crc = np.append(self.crc, fresh)
             if self.size > 1:
-                self.frequent = np.append(self.frequent, has_bit(self.word_bits[0], self.crc[known:] % SLOTS))
+                self.frequent = np.append(self.frequent, has_bit(self.bits[0][0], fresh % SLOTS))
         if self.size == 1:
             self.total.append(np.bincount(ids, minlength=len(self.numbers.words)))
             if len(self.total) > 16:
                 self.total = [self.counts()]
             return
-        good = self.frequent[ids]
-        pair = good[:-1] & good[1:]
-        if self.size == 2:
-            at = np.flatnonzero(pair)
-            self.note(ids[at] << 32 | ids[at + 1], np.zeros(len(at), dtype=np.int64))
-            return
-        at = np.flatnonzero(pair)
-        pair[at] = has_bit(self.pair_bits[0], (self.crc[ids[at]] * STEP + self.crc[ids[at + 1]]) % SLOTS)
-        held = pair
-        for size in range(3, self.longest + 1):
-            held = held[:-1] & pair[size - 2 :]
-            at = np.flatnonzero(held)
-            last = ids[at + 3] if size == 4 else 0
-            self.note(ids[at] << 32 | ids[at + 1], ids[at + 2] << 32 | last)
+        at = np.flatnonzero(self.frequent[ids])
+        for width in range(1, self.size):
+            # Places where a frequent phrase of this width starts, and another one at the next word.
+            at = at[:-1][at[1:] == at[:-1] + 1]
+            if width + 1 < self.size:
+                slots = self.slots([ids[at + i] for i in range(width + 1)])
+                at = at[has_bit(self.bits[width][0], slots)]
+        words = [ids[at + i] if i < self.size else np.zeros_like(at) for i in range(4)]
+        self.seen.append((words[0] << 32 | words[1], words[2] << 32 | words[3], np.ones_like(at)))
+        self.held += len(at)
+        if self.held > 3 * HELD_ENTRIES // 2:
+            self.merge()
+
+    def slots(self, words: list[np.ndarray]) -> np.ndarray:
+        """The bit of each phrase, given the numbers of its words."""
+        slot = np.zeros_like(words[0])
+        for word in words:
+            slot = (slot * STEP + self.crc[word]) % SLOTS
+        return slot
 
     def counts(self) -> np.ndarray:
         total = np.zeros(len(self.numbers.words), dtype=np.int64)
@@ -119,17 +126,11 @@ class Counter:
             total[: len(part)] += part
         return total
 
-    def note(self, high: np.ndarray, low: np.ndarray) -> None:
-        self.seen.append((high, low, np.ones(len(high), dtype=np.int64)))
-        self.held += len(high)
-        if self.held > 2 * HELD_ENTRIES:
-            self.merge()
-
     def merge(self) -> None:
         if not self.seen:
             return
         high, low, times = (np.concatenate(column) for column in zip(*self.seen))
-        order = np.argsort(high, kind="stable") if self.size == 2 else np.lexsort((low, high))
+        order = np.argsort(high, kind="stable") if self.size <= 2 else np.lexsort((low, high))
         high, low, times = high[order], low[order], times[order]
         new = (np.diff(high, prepend=-1) != 0) | (np.diff(low, prepend=-1) != 0)
         starts = np.flatnonzero(new)
@@ -144,35 +145,24 @@ class Counter:
 
     def stripes(self) -> Iterator[pa.RecordBatch]:
         """What was counted, as stripes; then counting starts again."""
-        words = pa.array(self.numbers.words, pa.binary())
+        names = pa.array(self.numbers.words, pa.binary())
         if self.size == 1:
             counts = self.counts()
             nexts = np.flatnonzero(counts)
             nexts = nexts[nexts > 0]
-            yield from self._rows(words, np.zeros((len(nexts), 3), np.int64), nexts, counts[nexts])
+            yield from self._rows(names, np.zeros((len(nexts), 3), np.int64), nexts, counts[nexts])
         else:
             self.merge()
             for high, low, times in self.seen:
-                one, two, three, four = high >> 32, high & 0xFFFFFFFF, low >> 32, low & 0xFFFFFFFF
-                nothing = np.zeros_like(one)
-                if self.size == 2:
-                    yield from self._rows(words, np.stack([one, nothing, nothing], axis=1), two, times)
-                    continue
-                for kind, prefix, following in (
-                    (four == 0, [one, two, nothing], three),
-                    (four > 0, [one, two, three], four),
-                ):
-                    prefix = np.stack(prefix, axis=1)[kind]
-                    yield from self._rows(words, prefix, following[kind], times[kind])
+                words = [high >> 32, high & 0xFFFFFFFF, low >> 32, low & 0xFFFFFFFF]
+                prefix = np.stack([x if i < self.size - 1 else np.zeros_like(x) for i, x in enumerate(words[:3])], axis=1)
+                yield from self._rows(names, prefix, words[self.size - 1], times)
         self.start()
 
     def _hot(self, prefix: np.ndarray) -> np.ndarray:
         if self.size == 1:
             return np.ones(len(prefix), dtype=bool)
-        if self.size == 2:
-            return has_bit(self.word_bits[1], self.crc[prefix[:, 0]] % SLOTS)
-        slots = (self.crc[prefix[:, 0]] * STEP + self.crc[prefix[:, 1]]) % SLOTS
-        return has_bit(self.pair_bits[1], slots)
+        return has_bit(self.bits[-1][1], self.slots(list(prefix.T[: self.size - 1])))
 
     def _rows(self, words: pa.Array, prefix: np.ndarray, nexts: np.ndarray, times: np.ndarray):
         part = np.where(self._hot(prefix), self.crc[nexts] % PARTS, 0)
@@ -203,13 +193,10 @@ class Counter:
             first = last
 
 
-def _count(size: int, longest: int, word_bits, pair_bits):
-    def bits(shared) -> tuple:
-        return tuple(np.frombuffer(x, np.uint8) for x in shared.value) if shared else ()
-
+def _count(size: int, shared: list):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
-        words, pairs = bits(word_bits), bits(pair_bits)
+        bits = [tuple(np.frombuffer(x, np.uint8) for x in pair.value) for pair in shared]
         counters: dict[str, Counter] = {}
         for batch in batches:
             waiting: dict[str, tuple[list[bytes], int]] = {}
@@ -227,7 +214,7 @@ def _count(size: int, longest: int, word_bits, pair_bits):
                         del waiting[lang]
                 for name, texts in ready:
                     if name not in counters:
-                        counters[name] = Counter(name, size, longest, words, pairs)
+                        counters[name] = Counter(name, size, bits)
                     counters[name].add(END.join(texts) + END)
                     if counters[name].full():
                         yield from counters[name].stripes()
@@ -237,18 +224,23 @@ def _count(size: int, longest: int, word_bits, pair_bits):
     return run
 
 
-def merged(texts: DataFrame, size: int, longest: int = LONGEST, word_bits=None, pair_bits=None) -> DataFrame:
+def merged(texts: DataFrame, size: int, shared: list) -> DataFrame:
     """(lang, prefix, next, f): the entries of all stripes of one pass over (__lang, __text)."""
-    stripes = texts.mapInArrow(_count(size, longest, word_bits, pair_bits), STRIPE)
+    stripes = texts.mapInArrow(_count(size, shared), STRIPE)
     # Dealt as stripes, so a prefix travels once; its entries are then added up where they are.
     placed = stripes.repartition("lang", "prefix", "part")
     entries = placed.select("lang", "prefix", "part", F.inline(F.arrays_zip("nexts", "counts")))
     return entries.groupBy("lang", "prefix", "part", F.col("nexts").alias("next")).agg(F.sum("counts").alias("f")).drop("part")
 
 
-def _bits(rows: DataFrame, slot: Column) -> bytes:
-    """A bitmap of ``SLOTS`` bits; 4 MB at most reach the driver."""
-    slots = rows.select((slot % SLOTS).alias("slot"))
+def _bits(rows: DataFrame) -> bytes:
+    """A bitmap of ``SLOTS`` bits for the phrases of ``rows``; 4 MB at most reach the driver."""
+
+    def fold(slot: Column, word: Column) -> Column:
+        crc = F.crc32(F.concat(F.col("lang"), F.lit("\0"), word).cast("binary"))
+        return (slot * STEP + crc) % SLOTS
+
+    slots = rows.select(F.aggregate(F.split("phrase", " "), F.lit(0).cast("long"), fold).alias("slot"))
     maps = slots.groupBy(F.expr(f"slot div {BITMAP}").alias("bucket")).agg(
         F.bitmap_construct_agg(F.col("slot") % BITMAP).alias("bits")
     )
@@ -259,17 +251,6 @@ def _bits(rows: DataFrame, slot: Column) -> bytes:
     return bytes(whole)
 
 
-def _crc(word: str) -> Column:
-    return F.crc32(F.concat(F.col("lang"), F.lit("\0"), F.col(word)).cast("binary"))
-
-
-def _flags(spark, frequent: DataFrame, slot: Column):
-    """Bitmaps of the frequent and of the hot ones, shared with the workers."""
-    return spark.sparkContext.broadcast(
-        (_bits(frequent, slot), _bits(frequent.where(F.col("f") >= HOT), slot))
-    )
-
-
 def frequent_phrases(
     df: DataFrame, least: int = LEAST, longest: int = LONGEST, lang: str = "lang", text: str = "text"
 ) -> tuple[DataFrame, DataFrame]:
@@ -284,20 +265,16 @@ def frequent_phrases(
     texts = df.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("__lang"), F.col(text).cast("binary").alias("__text")
     )
-    words = materialise(merged(texts, 1).select("lang", F.col("next").alias("phrase"), "f"))
+    words = materialise(merged(texts, 1, []).select("lang", F.col("next").alias("phrase"), "f"))
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    often = F.col("f") >= least
-    word_bits = _flags(spark, words.where(often), _crc("phrase"))
-    pairs = materialise(merged(texts, 2, longest, word_bits).where(often))
-    found = words.where(often).withColumn("size", F.lit(1)).unionByName(
-        pairs.select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), "f", F.lit(2).alias("size"))
-    )
-    if longest > 2:
-        pair_bits = _flags(spark, pairs, _crc("prefix") * STEP + _crc("next"))
-        longer = materialise(merged(texts, 3, longest, word_bits, pair_bits).where(often))
-        phrase = F.concat_ws(" ", "prefix", "next").alias("phrase")
-        size = (F.size(F.split("prefix", " ")) + 1).alias("size")
-        found = found.unionByName(longer.select("lang", phrase, "f", size))
+    level = words.where(F.col("f") >= least)
+    found, shared = level.withColumn("size", F.lit(1)), []
+    for size in range(2, longest + 1):
+        hot = level.where(F.col("f") >= HOT)
+        shared.append(spark.sparkContext.broadcast((_bits(level), _bits(hot))))
+        entries = merged(texts, size, list(shared)).where(F.col("f") >= least)
+        level = materialise(entries.select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), "f"))
+        found = found.unionByName(level.withColumn("size", F.lit(size)))
     return found, totals
 
 

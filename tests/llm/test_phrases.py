@@ -93,17 +93,16 @@ def entries(counter, texts):
     return got
 
 
-@pytest.mark.parametrize("size", [1, 2, 3])
+@pytest.mark.parametrize("size", [1, 2, 3, 4])
 def test_counters_that_overflow_lose_nothing(monkeypatch, size):
     for name, value in (("HELD_ENTRIES", 8), ("HELD_WORDS", 6), ("SENT_ENTRIES", 3)):
         monkeypatch.setattr(phrases, name, value)
     draw = random.Random(size)
     texts = [" ".join(draw.choice("abcdefgh") for _ in range(12)) for _ in range(60)]
     all_bits = (np.full(phrases.SLOTS // 8, 255, np.uint8),) * 2  # everything is frequent, and hot
-    got = entries(phrases.Counter("en", size, 4, all_bits, all_bits), texts)
+    got = entries(phrases.Counter("en", size, [all_bits] * (size - 1)), texts)
     wanted = Counter()
     for words in map(str.split, texts):
-        for width in {1: (1,), 2: (2,), 3: (3, 4)}[size]:
-            for i in range(len(words) - width + 1):
-                wanted[" ".join(words[i : i + width - 1]), words[i + width - 1]] += 1
+        for i in range(len(words) - size + 1):
+            wanted[" ".join(words[i : i + size - 1]), words[i + size - 1]] += 1
     assert got == wanted
