@@ -29,11 +29,11 @@ from loyalspan.session import materialise, spread
 
 SIMILAR = 0.93
 TREES = 4
-LEAF = 128
+LEAF = 512
 SAMPLE = 2048
 DEPTH = 6
 TRIES = 4
-SPILL = 0.5  # half the width of the margin, in deviations of what parts two vectors at the limit
+SPILL = 0.35  # half the width of the margin, in deviations of what parts two vectors at the limit
 LARGER = 0.7  # a split must leave no more than this share on one side
 BLOCK = 2048
 SEED = 13
