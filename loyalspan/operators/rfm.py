@@ -50,10 +50,15 @@ def daily_spend(
     )
 
 
+def amount_scale(daily: DataFrame) -> int:
+    """The decimals of ``daily.amount`` where it counts minor units, else 0."""
+    return daily.schema["amount"].metadata.get(_SCALE, 0)
+
+
 def spent(daily: DataFrame, total: Column | None = None) -> Column:
     """Sums of ``daily.amount`` (the column itself by default) in currency, as a double."""
     total = F.col("amount") if total is None else total
-    scale = daily.schema["amount"].metadata.get(_SCALE, 0)
+    scale = amount_scale(daily)
     return total.cast("double") / 10.0**scale if scale else total.cast("double")
 
 

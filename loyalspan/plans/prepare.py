@@ -14,6 +14,7 @@ from loyalspan.operators.rfm import (
     training_snapshot,
 )
 from loyalspan.session import materialise
+from loyalspan.sources.histories import HistoryStore
 from loyalspan.sources.snapshots import (
     FULL_SCHEMA,
     TRAINING_SCHEMA,
@@ -55,3 +56,30 @@ def prepare(
         training_rows=replace_snapshot(training, training_path, TRAINING_SCHEMA, period),
         full_rows=replace_snapshot(full, full_path, FULL_SCHEMA, period),
     )
+
+
+def prepare_month(
+    raw: DataFrame,
+    rules: CleaningRules,
+    period: str,
+    duration: int,
+    history_path: str,
+    training_path: str,
+    full_path: str,
+    start: str,
+) -> Prepared:
+    """As :func:`prepare`, but from the state of the month before and the transactions since then.
+
+    Without an earlier state all transactions since ``start`` are read. Transactions that arrive late,
+    for days an earlier month has covered, are not seen: prepare that month and those after it again.
+    """
+    spark = raw.sparkSession
+    store = HistoryStore(spark, history_path, duration)
+    transactions = in_period(clean_transactions(raw, rules), store.since(period, start), period)
+    mark = store.advance(daily_spend(transactions), period)
+    create_snapshot_table(spark, training_path, TRAINING_SCHEMA)
+    create_snapshot_table(spark, full_path, FULL_SCHEMA)
+    return Prepared(
+        training_rows=replace_snapshot(store.training(mark), training_path, TRAINING_SCHEMA, period),
+        full_rows=replace_snapshot(store.full(mark), full_path, FULL_SCHEMA, period),
+    )

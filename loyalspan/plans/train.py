@@ -40,11 +40,10 @@ from loyalspan.session import materialise, spread
 from loyalspan.sources import registry
 from loyalspan.sources.registry import create_registry, log_run, save_model
 
-# The baseline penalty, the search size and its seed, the loss of a failed trial.
+# The baseline penalty, the search size and its seed.
 BASELINE_L2 = 0.01
 TRIALS = 100
 SEED = 42
-FAILED_LOSS = 99.0
 ROW_COUNT = "row_count"
 
 
@@ -65,10 +64,10 @@ def _with_fits(df: DataFrame, fits: Sequence[Fit]) -> DataFrame:
 def _losses(
     scored: DataFrame, names: Sequence[str], squared_error: Column, rows: Column
 ) -> DataFrame:
-    """RMSE of each trial, from sums of squared errors; a failed fit has the loss of a failed trial."""
+    """RMSE of each trial, from sums of squared errors; null where a failed fit predicts nothing."""
     rmse = F.sqrt(F.greatest(F.sum(squared_error), F.lit(0.0)) / F.sum(rows))
-    usable = F.when(rmse.isNotNull() & ~F.isnan(rmse), rmse).otherwise(F.lit(FAILED_LOSS))
-    return scored.groupBy("trial", "l2", "stop", *names).agg(usable.alias("rmse"))
+    finite = F.when(~F.isnan(rmse) & (rmse < float("inf")), rmse)
+    return scored.groupBy("trial", "l2", "stop", *names).agg(finite.alias("rmse"))
 
 
 def frequency_trials(training: DataFrame, penalties: Sequence[float]) -> DataFrame:
@@ -137,8 +136,15 @@ def spend_trials(
 
 
 def best_trial(trials: DataFrame, names: Sequence[str]) -> tuple[float, dict[str, float]]:
-    """Penalty and parameters with the smallest loss, the first trial on a tie."""
-    row = trials.agg(F.min_by(F.struct("*"), F.struct("rmse", "trial")).alias("best")).first()["best"]
+    """Penalty and parameters with the smallest loss, the first trial on a tie.
+
+    Failed and unfinished fits and those without a loss take no part, whatever the size of the losses;
+    it is an error if none is left.
+    """
+    finished = trials.where(~F.col("stop").isin(FAILED, UNFINISHED) & F.col("rmse").isNotNull())
+    row = finished.agg(F.min_by(F.struct("*"), F.struct("rmse", "trial")).alias("best")).first()["best"]
+    if row is None:
+        raise RuntimeError("no trial of the search has come to an end")
     return row["l2"], {name: row[name] for name in names}
 
 

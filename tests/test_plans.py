@@ -138,3 +138,27 @@ def test_holdout_inputs_flatter_the_model(spark, flow):
         evaluate.spend_predictions(buyers, model, holdout_inputs=True), 250000.0
     ).first()
     assert flattered["spend_rmse"] < honest["spend_rmse"]
+
+
+def test_only_finished_trials_win(spark):
+    schema = "trial int, l2 double, stop string, p double, rmse double"
+    rows = [
+        (0, 0.1, "converged", 3.0, 200_000.0),
+        (1, 0.2, "failed", float("nan"), None),
+        (2, 0.3, "unfinished", 4.0, 5.0),
+        (3, 0.4, "at bound", 5.0, 150_000.0),
+        (4, 0.5, "flat", 6.0, 150_000.0),
+        (5, 0.6, "converged", 7.0, None),
+    ]
+    assert train.best_trial(spark.createDataFrame(rows, schema), ["p"]) == (0.4, {"p": 5.0})
+    with pytest.raises(RuntimeError, match="no trial"):
+        train.best_trial(spark.createDataFrame(rows[1:3], schema), ["p"])
+
+
+def test_a_failed_trial_has_no_loss(spark):
+    scored = spark.createDataFrame(
+        [(0, 0.1, "converged", 1.0, 4e10, 1.0), (1, 0.2, "failed", float("nan"), float("nan"), 1.0)],
+        "trial int, l2 double, stop string, p double, squared double, n double",
+    )
+    losses = train._losses(scored, ["p"], F.col("squared"), F.col("n"))
+    assert {r["trial"]: r["rmse"] for r in losses.collect()} == {0: 200_000.0, 1: None}
