@@ -4,9 +4,11 @@ Encoding. A prefix of a piece has one encoding, and a sequence of tokens is the
 bytes exactly if every adjacent pair is the encoding of its own bytes. The nondeterministic machine
 therefore holds, after each byte, the positions at which a token that is still being read may have
 begun, each with its path in the vocabulary's prefix tree and with the tokens that lead to it. Its
-sets of positions are the states of the transducer. States and moves are made when first met and kept
-in a bounded memory. A token is emitted as soon as all positions agree on it, a bounded lookahead
-behind the byte just read.
+sets of positions are the states of the transducer. A move is determinised, and kept in a bounded
+memory, when it is met for the second time. The first time, the piece runs through the nondeterministic
+machine depth first, longest token first, since most moves of rare words are never met again; of the
+positions it tries, one that led nowhere is not tried again. The deterministic machine emits a token as
+soon as all positions agree on it, a bounded lookahead behind the byte just read.
 
 Decoding. Bytes of the tokens run through an incremental UTF-8 state machine, whose state is an
 unfinished character of at most three bytes. Its moves over whole tokens are kept as well.
@@ -33,8 +35,11 @@ MARKS = ",.;:!?"
 OTHER_LETTERS = "\u0250"  # letters below are told alike by all versions of Unicode
 ROWS = 64
 NEVER = 1 << 62
-# White space other than the six ASCII ones: by it, texts cannot be cut at blanks.
-OTHER_SPACE = regex.compile(r"[\x1c-\x1f\x85\xa0 ᠎ -     　]")
+# White space other than the six ASCII ones. By it, texts cannot be cut at blanks.
+OTHER_SPACES = (
+    "\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 # A blank beside other ASCII white space is no cut either: one match may hold both.
 BLANK_BESIDE = regex.compile(r" [\x20\x09-\x0D]|[\x09-\x0D] ")
 
@@ -44,8 +49,11 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines())}
 
 
+ASKED = ()  # a move that was met once
+
+
 class State(dict):
-    """A state of the transducer: byte to (next state, tokens emitted)."""
+    """A state of the transducer: byte to (next state, tokens emitted), or ``ASKED``."""
 
     __slots__ = ("content",)
 
@@ -212,7 +220,11 @@ class Transducer:
         state, ids = self.start, []
         for byte in piece:
             move = state.get(byte)
-            if move is None:
+            if not move:
+                if move is None:
+                    state[byte] = ASKED
+                    self.kept += 1
+                    return self._run(piece)
                 move = self._move(state, byte)
             state, out = move
             if out:
@@ -220,6 +232,53 @@ class Transducer:
         ids += state.content[1][-1][1]
         return ids
 
+    def _tokens(self, piece: bytes, begin: int) -> list[int]:
+        """Token and end, packed, of all tokens that begin at ``begin``, the longest last."""
+        found = []
+        node, end, tree, facts = 0, begin, self.tree, self.facts
+        for byte in piece[begin:]:
+            node = tree.get(node << 8 | byte)
+            if node is None:
+                break
+            end += 1
+            fact = facts[node]
+            if fact >= 0:
+                found.append(fact >> 1 << 32 | end)
+            if not fact & 1:
+                break
+        return found
+
+    def _run(self, piece: bytes) -> list[int]:
+        """The nondeterministic machine, depth first. A position is reached in one way only."""
+        ids: list[int] = []
+        begins, dead = [0], set()
+        choices = self._tokens(piece, 0)
+        waiting = [choices]
+        size, pairs, left = len(piece), self.pairs, -1
+        while True:
+            while choices:
+                choice = choices.pop()
+                token, end = choice >> 32, choice & 0xFFFFFFFF
+                if end in dead:
+                    continue
+                fits = pairs.get(left << 32 | token)
+                if self.fits(left, token) if fits is None else fits:
+                    ids.append(token)
+                    if end == size:
+                        return ids
+                    left = token
+                    begins.append(end)
+                    choices = self._tokens(piece, end)
+                    waiting.append(choices)
+                    break
+            else:
+                if not ids:
+                    raise ValueError(f"the vocabulary has no tokens for {piece!r}")
+                ids.pop()
+                waiting.pop()
+                dead.add(begins.pop())
+                choices, left = waiting[-1], ids[-1] if ids else -1
+
 
 class Encoder:
     """Cuts texts into the matches of a pattern and encodes each on its own.
@@ -284,6 +343,15 @@ class Encoder:
                 return (self.known.get(left) or self._pack(left)) + self.line + self._matches(right)
         return self._matches(" " + piece)
 
+    @staticmethod
+    def cut_at_blanks(text: str) -> bool:
+        """Whether every blank stands between visible characters, and there is no unusual white space."""
+        if not text or text[-1] == " " or any(space in text for space in OTHER_SPACES):
+            return False
+        if any(space in text for space in "\t\x0b\x0c\r"):
+            return not BLANK_BESIDE.search(text)
+        return not ("  " in text or " \n" in text or "\n " in text)
+
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text.
 
@@ -292,7 +360,7 @@ class Encoder:
         are therefore cuts; texts with a blank beside other white space or at the end, or with unusual
         white space, are matched whole.
         """
-        if not text or text[-1] == " " or BLANK_BESIDE.search(text) or OTHER_SPACE.search(text):
+        if not self.cut_at_blanks(text):
             return np.frombuffer(self._matches(text), dtype=np.int32)
         if len(self.known) > WORDS_KEPT:
             self.before, self.known = self.known, {}
@@ -358,6 +426,12 @@ class Decoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.moves: dict[bytes, dict[int, tuple[str, bytes]]] = {b"": {}}
+        # Moves from the state between characters back to it: tokens of whole characters.
+        self.whole: dict[int, str] = {}
+        for rank, token in self.bytes_of.items():
+            text, pending = Utf8Machine.feed(b"", token)
+            if not pending:
+                self.whole[rank] = text
 
     def stream(self, ids: Iterable[int]) -> Iterator[str]:
         pending = b""
@@ -375,8 +449,12 @@ class Decoder:
         if pending:
             yield "�"
 
-    def decode(self, ids: Iterable[int]) -> str:
-        return "".join(self.stream(ids))
+    def decode(self, ids: list[int]) -> str:
+        """The text of all ids at once. Ids that all move between whole characters are looked up alone."""
+        try:
+            return "".join(map(self.whole.__getitem__, ids))
+        except KeyError:
+            return "".join(self.stream(ids))
 
 
 def _lines(path: str) -> bytes:
@@ -438,7 +516,7 @@ def decode(df: DataFrame, vocabulary: str, tokens: str = "tokens", to: str = "de
         decoder = held(("decoder", lines), lambda: Decoder(read_ranks(lines)))
         for batch in _sliced(batches):
             lists = batch.column(tokens)
-            texts = [decoder.decode(v.values.to_pylist() if v.is_valid else ()) for v in lists]
+            texts = [decoder.decode(v.values.to_pylist() if v.is_valid else []) for v in lists]
             column = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([*map(batch.column, names), column], schema.names)
 
