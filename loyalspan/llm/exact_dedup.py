@@ -40,22 +40,30 @@ def text_digest(text: Column) -> Column:
 class DigestIndex:
     """The digests kept so far, each with the document that stands for it.
 
-    ``location`` names the folder of an existing index, written with the same number of ``buckets``
-    (by default ``spark.sql.shuffle.partitions``); without it a new one is made in the shared
-    folder. A batch is added once: adding it again (after a lost driver) finds its own entries and
-    gives the same decisions.
+    ``location`` names the folder of an existing index; without it a new one of ``buckets`` (by default
+    ``spark.sql.shuffle.partitions``) is made in the shared folder. The number of buckets is written
+    beside the data and taken from there, whatever the session's setting; another number is refused,
+    and so is a folder without it. A batch is added once: adding it again (after a lost driver) finds
+    its own entries and gives the same decisions.
     """
 
     def __init__(self, spark: SparkSession, location: str | None = None, buckets: int | None = None):
         self.spark = spark
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.location = location or scratch_path(spark, "digests")
+        self.location = (location or scratch_path(spark, "digests")).rstrip("/")
+        layout = f"{self.location}_layout"
+        if location:
+            self.buckets = spark.read.schema("buckets int").parquet(layout).first()["buckets"]
+            if buckets not in (None, self.buckets):
+                raise ValueError(f"the index has {self.buckets} buckets, not {buckets}")
+        else:
+            self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            spark.createDataFrame([(self.buckets,)], "buckets int").coalesce(1).write.parquet(layout)
         self.table = f"digest_index_{uuid.uuid4().hex}"
         if location:
             columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in INDEX_SCHEMA)
             spark.sql(
                 f"CREATE TABLE {self.table} ({columns}) USING parquet CLUSTERED BY (digest) "
-                f"SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{location}'"
+                f"SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.location}'"
             )
         else:
             self._append(spark.createDataFrame([], INDEX_SCHEMA))

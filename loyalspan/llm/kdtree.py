@@ -40,7 +40,7 @@ def matrix(vectors, width: int) -> np.ndarray:
 class Tree:
     """Nodes in arrays; the points of a node are a range of the reordered points."""
 
-    def __init__(self, ids: np.ndarray, points: np.ndarray):
+    def __init__(self, ids: np.ndarray, points: np.ndarray, rows: np.ndarray):
         order = np.arange(len(ids))
         self.first, self.last, self.left = [], [], []
         low, high, least = [], [], []
@@ -67,7 +67,7 @@ class Tree:
                 # the right one is found through the end of the left one's subtree.
                 waiting.append((first + half, last, node))
                 waiting.append((first, first + half, node))
-        self.ids, self.points = ids[order], points[order]
+        self.ids, self.points, self.rows = ids[order], points[order], rows[order]
         self.low, self.high = np.array(low), np.array(high)
         self.least = np.array(least, dtype=np.int64)
         self.right = [-1] * len(self.first)
@@ -87,8 +87,8 @@ class Tree:
         zero = q * 0
         return np.maximum(q, zero) @ self.high.T.astype(kind) + np.minimum(q, zero) @ self.low.T.astype(kind)
 
-    def search(self, queries, query_ids, k: int, floors) -> Iterator[tuple[int, int, int]]:
-        """(query id, point id, score) of points that may be among the k best of all shards.
+    def search(self, queries, query_rows, k: int, floors) -> Iterator[tuple[int, int, int]]:
+        """(query row, point id, score) of points that may be among the k best of all shards.
 
         ``floors``: for each query the (score, id) of its k-th best so far elsewhere, or None.
         """
@@ -98,7 +98,7 @@ class Tree:
         bounds = self.bounds(queries, kind)
         points = self.points.astype(kind)
         for row, query in enumerate(queries.astype(kind)):
-            own, floor, bound = query_ids[row], floors[row], bounds[row]
+            own, floor, bound = query_rows[row], floors[row], bounds[row]
             best: list[tuple] = []  # (-score, id), sorted, at most k
             heap = [(-bound[0], self.least[0], 0)]
             while heap:
@@ -114,9 +114,9 @@ class Tree:
                         heapq.heappush(heap, (-bound[child], self.least[child], child))
                     continue
                 part = slice(self.first[node], self.last[node])
-                scores, ids = points[part] @ query, self.ids[part]
+                scores, ids, rows = points[part] @ query, self.ids[part], self.rows[part]
                 good = np.nonzero(scores >= -limit[0])[0] if limit else np.arange(len(ids))
-                found = [(-scores[i], ids[i]) for i in good if ids[i] != own]
+                found = [(-scores[i], ids[i]) for i in good if rows[i] != own]
                 best = heapq.nsmallest(k, [*best, *found])
             for negative, point in best:
                 yield int(own), int(point), max(LONG.min, min(LONG.max, int(-negative)))
@@ -132,16 +132,17 @@ def whole_vectors(vector: Column, factor: int) -> tuple[Column, Column]:
 
 
 def prepare(df: DataFrame, vec_id: str, vector: str, factor: int = 256) -> DataFrame:
-    """(vec_id, vector): whole-number vectors, one per id.
+    """(row, vec_id, vector): whole-number vectors, each under a number of its own.
 
     Vectors that are null or have a null or non-finite component are left out, and so are rows
-    without an id. Of several vectors with one id the greatest (by components) is taken. Components
-    beyond the range of a long become its end.
+    without an id. Rows that repeat an id, with equal vectors or others, are points of their own.
+    Components beyond the range of a long become its end. Other columns are dropped. The numbers are
+    fixed once the result is written: materialise it before use.
     """
     numbers, usable = whole_vectors(F.col(vector), factor)
     rows = df.where(usable & F.col(vec_id).isNotNull())
     rows = rows.select(F.col(vec_id).cast("long").alias("vec_id"), numbers.alias("vector"))
-    return rows.groupBy("vec_id").agg(F.max("vector").alias("vector"))
+    return rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "vector")
 
 
 def build(points: DataFrame) -> DataFrame:
@@ -152,13 +153,14 @@ def build(points: DataFrame) -> DataFrame:
     def grow(frame: pd.DataFrame) -> pd.DataFrame:
         let_go()
         width = int(frame["vector"].map(len).max())
-        order = frame.sort_values("vec_id")
-        tree = Tree(order["vec_id"].to_numpy(np.int64), matrix(order["vector"].tolist(), width))
+        order = frame.sort_values(["vec_id", "row"])
+        ids, rows = order["vec_id"].to_numpy(np.int64), order["row"].to_numpy(np.int64)
+        tree = Tree(ids, matrix(order["vector"].tolist(), width), rows)
         shard = int(frame["shard"].iloc[0])
         return pd.DataFrame({"shard": [shard], "width": [width], "tree": [pickle.dumps(tree)]})
 
     # The hash may leave a shard of a small table empty; every shard in use has one tree.
-    placed = points.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    placed = points.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
     return materialise(placed.groupBy("shard").applyInPandas(grow, "shard int, width int, tree binary"))
 
 
@@ -175,13 +177,13 @@ def _visit(k: int):
                 None if score is None or score != score else (-int(score), int(point))
                 for score, point in zip(queries["floor_score"].astype(object), queries["floor_id"].astype(object))
             ]
-            rows = list(tree.search(matrix(queries["vector"].tolist(), width), queries["vec_id"].to_numpy(), k, floors))
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
+            rows = list(tree.search(matrix(queries["vector"].tolist(), width), queries["row"].to_numpy(), k, floors))
+        return pd.DataFrame(rows, columns=["query_row", "vec_id", "score"]).astype("int64")
 
     return visit
 
 
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query_row long, vec_id long, score long"
 
 
 def _searched(index: DataFrame, visits: DataFrame, k: int, blocks: int) -> DataFrame:
@@ -195,7 +197,8 @@ def _searched(index: DataFrame, visits: DataFrame, k: int, blocks: int) -> DataF
 def top_k(index: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """The k best points of every query but itself: (query_id, rank, vec_id, score).
 
-    ``index`` comes from :func:`build`, ``queries`` is (vec_id, vector). Higher inner products come
+    ``index`` comes from :func:`build`, ``queries`` are rows of what it was built on: each is compared with
+    all rows but itself, those with its id included. Higher inner products come
     first, then smaller ids; a query gets fewer rows where there are fewer points. Vectors of
     different lengths are compared as if the shorter one ended in zeros. Scores beyond the range of
     a long become its end. Without points or queries the result is empty.
@@ -203,25 +206,25 @@ def top_k(index: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     ship(index.sparkSession)
     count = (index.agg(F.max("shard")).first()[0] or 0) + 1
     blocks = max(1, -(-queries.count() // BLOCK))
-    number = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).cast("int")
+    number = F.pmod(F.xxhash64("row", F.lit("block")), F.lit(blocks)).cast("int")
     all_shards = F.sequence(F.lit(0), F.lit(count - 1))
     asked = queries.withColumn("block", number).withColumn(
-        "home", F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")
+        "home", F.pmod(F.xxhash64("row"), F.lit(count)).cast("int")
     )
     asked = asked.withColumns({"floor_score": F.lit(None).cast("long"), "floor_id": F.lit(None).cast("long")})
     first = materialise(_searched(index, asked.withColumn("shard", F.col("home")), k, blocks))
-    floors = first.groupBy("query_id").agg(
+    floors = first.groupBy("query_row").agg(
         F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("i")))).alias("best")
     )  # at most k of each query
     floors = floors.where(F.size("best") >= k).select(
-        F.col("query_id").alias("vec_id"),
+        F.col("query_row").alias("row"),
         (-F.element_at("best", k)["s"]).alias("floor_score"),
         F.element_at("best", k)["i"].alias("floor_id"),
     )
-    others = asked.drop("floor_score", "floor_id").join(floors, "vec_id", "left")
+    others = asked.drop("floor_score", "floor_id").join(floors, "row", "left")
     others = others.withColumn("shard", F.explode(all_shards)).where("shard <> home")
     found = first.unionByName(_searched(index, others, k, blocks))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score"
-    )
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    names = queries.select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"))
+    return ranked.join(names, "query_row").select("query_id", "rank", "vec_id", "score")

@@ -172,6 +172,21 @@ def star_components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def labelled(df: DataFrame, shingle: int, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, fp, root, component_id): see :func:`near_duplicates`; ``root`` names the component."""
+    ship(df.sparkSession)
+    prints = materialise(fingerprints(df, shingle, doc_id, text))
+    nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    stars = materialise(star_components(links(nodes)))
+    rooted = nodes.join(stars, nodes["fp"] == stars["node"], "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+    )
+    rooted = materialise(rooted)
+    firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    labels = rooted.join(firsts, "root").select("fp", "root", "component_id")
+    return prints.join(labels, "fp").select("doc_id", "fp", "root", "component_id")
+
+
 def near_duplicates(
     df: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -183,32 +198,32 @@ def near_duplicates(
     component's smallest id, null where the whole component has none. Repeated rows repeat their
     result. Other columns are not looked at.
     """
-    ship(df.sparkSession)
-    prints = materialise(fingerprints(df, shingle, doc_id, text))
-    nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    stars = materialise(star_components(links(nodes)))
-    rooted = nodes.join(stars, nodes["fp"] == stars["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
-    rooted = materialise(rooted)
-    firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = rooted.join(firsts, "root").select("fp", "component_id")
-    return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
+    return labelled(df, shingle, doc_id, text).select("doc_id", "fp", "component_id")
 
 
 def dedup(
     df: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The first document of each component, with the columns of ``df``.
+    """One document of each component, with the columns of ``df``: that with the smallest id.
 
-    Of rows that repeat the id one stays. A component of rows without any id keeps one row.
+    Where several rows of a component have that id, one of them stays (of the smallest fingerprint). An
+    id that stands for texts of different components keeps a row in each of those it is the first of.
+    A component of rows without any id keeps one row.
     """
-    found = near_duplicates(df, shingle, doc_id, text)
-    same = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    named = found.where(same & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__keep"))
-    kept = df.join(named.distinct(), df[doc_id] == F.col("__keep"), "left_semi")
-    once = Window.partitionBy(doc_id).orderBy(*_order(df, doc_id))
-    kept = kept.withColumn("__rank", F.row_number().over(once)).where("__rank = 1").drop("__rank")
+    found = materialise(labelled(df, shingle, doc_id, text))
+    firsts = found.where("doc_id = component_id").groupBy("root", F.col("doc_id").alias("__keep"))
+    firsts = materialise(firsts.agg(F.min("fp").alias("__print")).drop("root"))
+    # Ids are nearly always unique; only for the others the fingerprint has to tell the rows apart.
+    shared = found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__keep")).count().where("count > 1")
+    shared = materialise(firsts.join(shared, "__keep", "left_semi"))
+    single = firsts.join(shared, "__keep", "left_anti")
+    kept = df.join(single, df[doc_id] == F.col("__keep"), "left_semi")
+    if shared.take(1):
+        several = _with_print(df.join(shared, df[doc_id] == F.col("__keep"), "left_semi"), shingle, text)
+        several = several.join(shared, (several[doc_id] == shared["__keep"]) & (several["__fp"] == shared["__print"]))
+        once = Window.partitionBy("__keep", "__print").orderBy(*_order(df, doc_id))
+        several = several.withColumn("__rank", F.row_number().over(once)).where("__rank = 1")
+        kept = kept.select(*df.columns).unionByName(several.select(*df.columns))
 
     # Components without any id: their fingerprints, one row each.
     nameless = found.where(F.col("component_id").isNull()).select("fp").distinct()

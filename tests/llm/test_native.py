@@ -123,10 +123,27 @@ def test_index_is_kept_between_batches(spark):
     assert exact_dedup.decide(first, index, "one").where("kept").count() == 2
     kept = exact_dedup.decide(second, index, "two").where("kept").collect()
     assert [r.doc_id for r in kept] == [5]
-    reopened = exact_dedup.DigestIndex(spark, location=index.location, buckets=4)
+    reopened = exact_dedup.DigestIndex(spark, location=index.location)
     again = exact_dedup.decide(second, reopened, "two").where("kept").collect()
     assert [r.doc_id for r in again] == [5]
     assert reopened.read().count() == 3
+    with pytest.raises(ValueError, match="4 buckets"):
+        exact_dedup.DigestIndex(spark, location=index.location, buckets=8)
+
+
+def test_index_knows_its_texts_under_another_setting(spark):
+    texts = spark.createDataFrame([(i, f"text {i}") for i in range(300)], "doc_id long, text string")
+    index = exact_dedup.DigestIndex(spark)
+    assert exact_dedup.decide(texts, index, "one").where("kept").count() == 300
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in ("7", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            again = exact_dedup.DigestIndex(spark, location=index.location)
+            assert exact_dedup.decide(texts, again, partitions).where("kept").count() == 0
+            assert again.read().count() == 300
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 # --- mixing --------------------------------------------------------------------------------------

@@ -198,6 +198,14 @@ def test_near_duplicates_of_edge_rows(spark, edges, nothing):
     assert simhash.dedup(nothing).collect() == []
 
 
+def test_an_id_on_two_texts_loses_no_component(spark):
+    one, other = "a first text of some words", "quite another text with other words"
+    rows = [(1, one), (1, other), (1, other), (2, other), (3, other), (4, "a third text all alone here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = simhash.dedup(df).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, one), (1, other), rows[5]])
+
+
 # --- licenses ------------------------------------------------------------------------------------
 
 
