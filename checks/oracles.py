@@ -789,3 +789,13 @@ ORACLES["feature_window"] = """
 
 ORACLES["prepare_job"] = ORACLES["training_snapshot"]
 ORACLES["scoring_job"] = ORACLES["score_snapshot"]
+ORACLES["training_snapshot_monthly"] = ORACLES["training_snapshot_all"]
+ORACLES["full_snapshot_monthly"] = ORACLES["full_snapshot"]
+ORACLES["training_job"] = f"""
+    WITH {training(ALL)}, {full(prefix='f_')}
+    SELECT name, 1::BIGINT AS version, rows FROM (
+      SELECT 'clv_freq_best' AS name, COUNT(*) AS rows FROM train WHERE frequency_cal < 12
+      UNION ALL SELECT 'clv_monetary_best', COUNT(*) FROM train WHERE frequency_cal BETWEEN 1 AND 11
+      UNION ALL SELECT 'clv_freq_final', COUNT(*) FROM full_snap WHERE frequency < 12
+      UNION ALL SELECT 'clv_monetary_final', COUNT(*) FROM full_snap WHERE frequency BETWEEN 1 AND 11)
+"""

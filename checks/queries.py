@@ -26,6 +26,7 @@ from loyalspan.operators.outlook import with_purchases
 from loyalspan.plans import evaluate, prepare, score, train
 from loyalspan.session import materialise, scratch_path, spread
 from loyalspan.sources import exports, features, registry, retail, snapshots
+from loyalspan.sources.histories import HistoryStore, Mark
 
 START = "1995-01-01"
 PERIOD = "2001-07-01"
@@ -44,6 +45,9 @@ SPEND = {"p": 3.0, "q": 4.0, "v": 200000.0}
 # Spend in these tables is a thousand times that of a shop, and so is the value band.
 BAND = 250000.0
 LABEL_CUTOFF = 0.8
+# The training job: customers below this frequency, and a search of two batches.
+JOB_CAP = 12
+JOB_TRIALS = 30
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -884,6 +888,45 @@ def prepare_job(spark, folder):
     return snapshots.read_snapshots(spark, training, snapshots.TRAINING_SCHEMA)
 
 
+def monthly_history(spark: SparkSession, folder: str) -> tuple[HistoryStore, Mark]:
+    """The history up to May, and June and July merged into its state."""
+    store = HistoryStore(spark, scratch_path(spark, "history"), DURATION)
+    for period in ("2001-05-01", EARLIER_PERIOD, PERIOD):
+        orders = rfm.in_period(retail.all_orders(spark, folder), store.since(period, START), period)
+        mark = store.advance(rfm.daily_spend(orders), period)
+    return store, mark
+
+
+@query
+def training_snapshot_monthly(spark, folder):
+    """The training snapshot from two monthly merges, without the history read again."""
+    store, mark = monthly_history(spark, folder)
+    return store.training(mark)
+
+
+@query
+def full_snapshot_monthly(spark, folder):
+    store, mark = monthly_history(spark, folder)
+    return store.full(mark)
+
+
+@query
+def training_job(spark, folder):
+    """From the snapshot tables to saved models: the rows each was fitted on, and its version."""
+    names = ("training", "full", "models", "log", "journal")
+    training, full, models, log, journal = (scratch_path(spark, name) for name in names)
+    snapshots.replace_snapshot(all_training(spark, folder), training, snapshots.TRAINING_SCHEMA, PERIOD)
+    snapshots.replace_snapshot(all_full(spark, folder), full, snapshots.FULL_SCHEMA, PERIOD)
+    train.run_training(
+        spark, training, full, models, log, journal, PERIOD, WRITTEN_AT, JOB_CAP,
+        trials=JOB_TRIALS, enforce_gates=False,
+    )
+    fitted = registry.read_log(spark, log).where(F.col("key") == train.FIT_ROWS)
+    kept = registry.latest_models(registry.read_models(spark, models))
+    runs = fitted.select(F.concat(F.lit("clv_"), "run_name").alias("name"), F.col("value").cast("long").alias("rows"))
+    return kept.join(runs, "name").select("name", F.col("version").cast("long").alias("version"), "rows")
+
+
 @query
 def scoring_job(spark, folder):
     """From the month's snapshot and the saved models to the results table, read back."""

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loyalspan.functions import gamma_gamma, mbg, pareto
@@ -28,7 +28,7 @@ from loyalspan.operators.fit import (
 )
 from loyalspan.operators.outlook import purchase_outlook
 from loyalspan.operators.quality import THRESHOLDS, quality_gates, require_gates
-from loyalspan.operators.sampling import repeat_buyers
+from loyalspan.operators.sampling import NO_LIMIT, repeat_buyers, training_set
 from loyalspan.plans.evaluate import (
     FrequencyEvaluation,
     evaluate_frequency,
@@ -36,15 +36,19 @@ from loyalspan.plans.evaluate import (
     frequency_predictions,
     spend_predictions,
 )
+from loyalspan.plans import search
+from loyalspan.plans.search import Journal, fingerprint, search_penalty, winner
 from loyalspan.session import materialise, spread
 from loyalspan.sources import registry
 from loyalspan.sources.registry import create_registry, log_run, save_model
+from loyalspan.sources.snapshots import FULL_SCHEMA, TRAINING_SCHEMA, read_snapshots
 
 # The baseline penalty, the search size and its seed.
 BASELINE_L2 = 0.01
 TRIALS = 100
 SEED = 42
 ROW_COUNT = "row_count"
+FIT_ROWS = "fit_rows"
 
 
 def candidate_penalties(trials: int = TRIALS, seed: int = SEED) -> list[float]:
@@ -70,15 +74,14 @@ def _losses(
     return scored.groupBy("trial", "l2", "stop", *names).agg(finite.alias("rmse"))
 
 
-def frequency_trials(training: DataFrame, penalties: Sequence[float]) -> DataFrame:
-    """MBG/NBD fitted with every penalty, with its RMSE on holdout purchases.
+def frequency_histories(training: DataFrame) -> DataFrame:
+    """What the trials of the purchase model need of a training table, written once.
 
     Customers with one history are counted together; their holdout purchases enter through sums,
-    so the loss is that of the single customers. The costly part of a prediction is worked out
-    once per frequency, tenure and trial.
+    so the loss is that of the single customers.
     """
     actual = F.col("frequency_holdout")
-    rows = ready(
+    return ready(
         training.groupBy(
             F.col("frequency_cal").cast("double").alias("x"),
             F.col("recency_cal").cast("double").alias("t_x"),
@@ -90,6 +93,18 @@ def frequency_trials(training: DataFrame, penalties: Sequence[float]) -> DataFra
             F.sum(actual * actual).alias("yy"),
         )
     )
+
+
+def frequency_trials(training: DataFrame, penalties: Sequence[float]) -> DataFrame:
+    """MBG/NBD fitted with every penalty, with its RMSE on holdout purchases."""
+    return frequency_losses(frequency_histories(training), penalties)
+
+
+def frequency_losses(rows: DataFrame, penalties: Sequence[float]) -> DataFrame:
+    """:func:`frequency_trials` on the rows of :func:`frequency_histories`.
+
+    The costly part of a prediction is worked out once per frequency, tenure and trial.
+    """
     fits = fit_purchases(rows, MBG, penalties)
     params = {name: name for name in mbg.NAMES}
     pairs = ["x", "T", "ahead"]
@@ -106,7 +121,12 @@ def frequency_trials(training: DataFrame, penalties: Sequence[float]) -> DataFra
 def spend_trials(
     training: DataFrame, penalties: Sequence[float], holdout_inputs: bool = False
 ) -> DataFrame:
-    """Gamma-Gamma fitted with every penalty, with its RMSE on holdout spend.
+    """Gamma-Gamma fitted with every penalty, with its RMSE on holdout spend."""
+    return spend_losses(*spend_histories(training, holdout_inputs), penalties)
+
+
+def spend_histories(training: DataFrame, holdout_inputs: bool = False) -> tuple[DataFrame, DataFrame]:
+    """What the trials of the spend model need of a training table, written once: rows to fit on and sums.
 
     A prediction is linear in the average m given the frequency x, so all trials share sums over the
     customers of each frequency, and meet these instead of the customers.
@@ -116,8 +136,6 @@ def spend_trials(
             "frequency_cal", "monetary_value_cal", "frequency_holdout", "monetary_value_holdout"
         )
     )
-    fits = fit(ready(spend_rows(buyers)), GAMMA_GAMMA, penalties)
-    params = {name: name for name in gamma_gamma.NAMES}
     kind = "holdout" if holdout_inputs else "cal"
     m, y = F.col(f"monetary_value_{kind}"), F.col("monetary_value_holdout")
     both = buyers.where(m.isNotNull() & y.isNotNull())
@@ -125,6 +143,13 @@ def spend_trials(
         F.count(F.lit(1)).cast("double").alias("n"),
         *[F.sum(v).alias(name) for name, v in (("m1", m), ("y1", y), ("mm", m * m), ("yy", y * y), ("my", m * y))],
     )
+    return ready(spend_rows(buyers)), materialise(sums)
+
+
+def spend_losses(rows: DataFrame, sums: DataFrame, penalties: Sequence[float]) -> DataFrame:
+    """:func:`spend_trials` on the tables of :func:`spend_histories`."""
+    fits = fit(rows, GAMMA_GAMMA, penalties)
+    params = {name: name for name in gamma_gamma.NAMES}
     at_zero = F.expr(gamma_gamma.expected_spend(params, "x", "0D"))
     at_one = F.expr(gamma_gamma.expected_spend(params, "x", "1D"))
     scored = _with_fits(sums, fits).withColumn("base", at_zero).withColumn("slope", at_one - at_zero)
@@ -231,13 +256,16 @@ def train_frequency(
     model_path: str,
     log_path: str,
     trained_at: datetime,
-    trials: int = TRIALS,
+    trials: int = search.TRIALS,
     seed: int = SEED,
     thresholds: Mapping[str, float] = THRESHOLDS,
     enforce_gates: bool = True,
+    journal: str | None = None,
 ) -> FrequencyTraining:
     """Baseline, search, evaluation and final fit of the purchase model; logs and saves each.
 
+    With a ``journal`` the finished trials are kept there, and a run on the same rows goes on from them.
+
     The row-count gate holds for the training rows before the first fit and for the full rows before
     the final one.
     """
@@ -253,13 +281,21 @@ def train_frequency(
     log_run(spark, log_path, registry.BASELINE_RUN, {registry.L2_PARAM: baseline.l2}, {**errors.asDict(), **fit_report(baseline)})
     save_model(spark, model_path, registry.BASELINE_MODEL, baseline.params, trained_at)
 
-    penalty_trials = frequency_trials(training, candidate_penalties(trials, seed))
-    l2, params = best_trial(penalty_trials, mbg.NAMES)
+    rows = frequency_histories(training)
+    name = fingerprint(rows, model="frequency", seed=seed) if journal else ""
+    best = winner(
+        search_penalty(
+            lambda penalties: frequency_losses(rows, penalties),
+            mbg.NAMES, Journal(spark, journal, name), trials, seed=seed,
+        )
+    )
+    l2, params = best.l2, best.params
     evaluation = evaluate_frequency(frequency_predictions(training, params))
     gates = quality_gates(_with_row_count(evaluation.summary, training), thresholds)
     log_run(
-        spark, log_path, registry.BEST_FREQUENCY_RUN, {registry.L2_PARAM: l2}, evaluation.summary.first().asDict()
-    )
+        spark, log_path, registry.BEST_FREQUENCY_RUN, {registry.L2_PARAM: l2},
+        {**evaluation.summary.first().asDict(), FIT_ROWS: training.count()},
+    )
     save_model(spark, model_path, registry.BEST_FREQUENCY_MODEL, params, trained_at)
     if enforce_gates:
         require_gates(gates)
@@ -267,7 +303,8 @@ def train_frequency(
     full = materialise(full)
     _require_rows(full, thresholds, enforce_gates)
     final = usable(fit_final_frequency(full, l2))
-    log_run(spark, log_path, registry.FINAL_FREQUENCY_RUN, {registry.L2_PARAM: l2}, fit_report(final))
+    report = {**fit_report(final), FIT_ROWS: full.count()}
+    log_run(spark, log_path, registry.FINAL_FREQUENCY_RUN, {registry.L2_PARAM: l2}, report)
     save_model(spark, model_path, registry.FINAL_FREQUENCY_MODEL, final.params, trained_at)
     return FrequencyTraining(l2, params, evaluation, gates, final.params)
 
@@ -278,14 +315,17 @@ def train_spend(
     model_path: str,
     log_path: str,
     trained_at: datetime,
-    trials: int = TRIALS,
+    trials: int = search.TRIALS,
     seed: int = SEED,
     thresholds: Mapping[str, float] = THRESHOLDS,
     enforce_gates: bool = True,
     holdout_inputs: bool = False,
+    journal: str | None = None,
 ) -> SpendTraining:
     """Search, evaluation and final fit of the spend model; logs and saves each.
 
+    A ``journal`` serves as in :func:`train_frequency`.
+
     The row-count gate holds as in :func:`train_frequency`, for snapshots before repeat buyers are
     taken out.
     """
@@ -295,18 +335,63 @@ def train_spend(
     buyers = repeat_buyers(training)
     create_registry(spark, log_path, registry.LOG_SCHEMA)
 
-    penalty_trials = spend_trials(buyers, candidate_penalties(trials, seed), holdout_inputs)
-    l2, params = best_trial(penalty_trials, gamma_gamma.NAMES)
+    rows, sums = spend_histories(buyers, holdout_inputs)
+    name = ""
+    if journal:
+        # The losses depend on the sums as well as on the rows of the fit.
+        both = fingerprint(rows, model="spend", seed=seed), fingerprint(sums, holdout_inputs=holdout_inputs)
+        name = "/".join(both)
+    best = winner(
+        search_penalty(
+            lambda penalties: spend_losses(rows, sums, penalties),
+            gamma_gamma.NAMES, Journal(spark, journal, name), trials, seed=seed,
+        )
+    )
+    l2, params = best.l2, best.params
     evaluation = evaluate_spend(spend_predictions(buyers, params, holdout_inputs))
     gates = quality_gates(evaluation, thresholds)
-    log_run(spark, log_path, registry.BEST_SPEND_RUN, {registry.L2_PARAM: l2}, evaluation.first().asDict())
+    report = {**evaluation.first().asDict(), FIT_ROWS: buyers.count()}
+    log_run(spark, log_path, registry.BEST_SPEND_RUN, {registry.L2_PARAM: l2}, report)
     save_model(spark, model_path, registry.BEST_SPEND_MODEL, params, trained_at)
     if enforce_gates:
         require_gates(gates)
 
     full = materialise(full)
     _require_rows(full, thresholds, enforce_gates)
-    final = usable(fit_final_spend(repeat_buyers(full, "frequency"), l2))
-    log_run(spark, log_path, registry.FINAL_SPEND_RUN, {registry.L2_PARAM: l2}, fit_report(final))
+    full = repeat_buyers(full, "frequency")
+    final = usable(fit_final_spend(full, l2))
+    report = {**fit_report(final), FIT_ROWS: full.count()}
+    log_run(spark, log_path, registry.FINAL_SPEND_RUN, {registry.L2_PARAM: l2}, report)
     save_model(spark, model_path, registry.FINAL_SPEND_MODEL, final.params, trained_at)
     return SpendTraining(l2, params, evaluation, gates, final.params)
+
+
+def run_training(
+    spark: SparkSession,
+    training_path: str,
+    full_path: str,
+    model_path: str,
+    log_path: str,
+    journal: str,
+    period: str,
+    trained_at: datetime,
+    cap: int,
+    suffixes: Sequence[str] | None = None,
+    sample_size: int = NO_LIMIT,
+    **options,
+) -> tuple[FrequencyTraining, SpendTraining]:
+    """Both models from the snapshot tables to the registry.
+
+    Of both tables one snapshot is read, with the id sample and the frequency cap; ``sample_size`` limits
+    the training rows only. A run that was lost goes on from the ``journal``: trials it has finished are
+    not fitted again. ``options`` are those of :func:`train_frequency`.
+    """
+    stored = read_snapshots(spark, training_path, TRAINING_SCHEMA)
+    training = materialise(training_set(stored, period, cap, suffixes, sample_size))
+    stored = read_snapshots(spark, full_path, FULL_SCHEMA)
+    full = materialise(training_set(stored, period, cap, suffixes, frequency="frequency"))
+    paths = (model_path, log_path, trained_at)
+    return (
+        train_frequency(training, full, *paths, journal=journal, **options),
+        train_spend(training, full, *paths, journal=journal, **options),
+    )
