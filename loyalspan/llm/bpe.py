@@ -5,7 +5,7 @@ bytes exactly if every adjacent pair is the encoding of its own bytes. The nonde
 therefore holds, after each byte, the positions at which a token that is still being read may have
 begun, each with its path in the vocabulary's prefix tree and with the tokens that lead to it. Its
 sets of positions are the states of the transducer. A move is determinised, and kept in a bounded
-memory, when it is met for the second time. The first time, the piece runs through the nondeterministic
+memory, when it is met for the ``VISITS``th time. Before that, the piece runs through the nondeterministic
 machine depth first, longest token first, since most moves of rare words are never met again; of the
 positions it tries, one that led nowhere is not tried again. The deterministic machine emits a token as
 soon as all positions agree on it, a bounded lookahead behind the byte just read.
@@ -30,6 +30,8 @@ from pyspark.sql import types as T
 from loyalspan.llm.ship import held, ship
 
 MOVES_KEPT = 250_000
+VISITS = 4  # a move is determinised when it is met so often
+HEAD = 4  # bytes of a token that are looked up at once
 WORDS_KEPT = 200_000
 MARKS = ",.;:!?"
 OTHER_LETTERS = "\u0250"  # letters below are told alike by all versions of Unicode
@@ -49,11 +51,11 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines())}
 
 
-ASKED = ()  # a move that was met once
+MET = tuple((times,) for times in range(VISITS))  # moves that were met so often
 
 
 class State(dict):
-    """A state of the transducer: byte to (next state, tokens emitted), or ``ASKED``."""
+    """A state of the transducer: byte to (next state, tokens emitted), or how often it was met."""
 
     __slots__ = ("content",)
 
@@ -76,6 +78,9 @@ class Transducer:
                     self.token_at.append(-1)
                 node = following
             self.token_at[node] = rank
+        self.sizes = {rank: len(token) for token, rank in ranks.items()}
+        self.shorter = {rank: self._longest_inside(token) for token, rank in ranks.items()}
+        self.heads: dict[bytes, tuple[int, int]] = {}
         # Per node twice its token (-1: none), plus one if longer tokens begin like it.
         inner = {node >> 8 for node in self.tree}
         self.facts = [2 * token + (node in inner) for node, token in enumerate(self.token_at)]
@@ -85,6 +90,14 @@ class Transducer:
         self.states: dict[tuple, State] = {}
         self._forget()
 
+    def _longest_inside(self, token: bytes) -> int:
+        """The longest other token that ``token`` begins with (-1: none)."""
+        for end in range(len(token) - 1, 0, -1):
+            rank = self.ranks.get(token[:end])
+            if rank is not None:
+                return rank
+        return -1
+
     def _forget(self) -> None:
         """A state is (last token emitted, positions); a position is (node, tokens not emitted)."""
         for state in self.states.values():
@@ -220,10 +233,11 @@ class Transducer:
         state, ids = self.start, []
         for byte in piece:
             move = state.get(byte)
-            if not move:
-                if move is None:
-                    state[byte] = ASKED
-                    self.kept += 1
+            if move is None or len(move) == 1:
+                met = 1 if move is None else move[0] + 1
+                if met < VISITS:
+                    state[byte] = MET[met]
+                    self.kept += met == 1
                     return self._run(piece)
                 move = self._move(state, byte)
             state, out = move
@@ -232,52 +246,63 @@ class Transducer:
         ids += state.content[1][-1][1]
         return ids
 
-    def _tokens(self, piece: bytes, begin: int) -> list[int]:
-        """Token and end, packed, of all tokens that begin at ``begin``, the longest last."""
-        found = []
-        node, end, tree, facts = 0, begin, self.tree, self.facts
-        for byte in piece[begin:]:
-            node = tree.get(node << 8 | byte)
-            if node is None:
+    def _head(self, head: bytes) -> tuple[int, int]:
+        """The node that ``head`` leads to (0: no longer token begins so) and its longest token."""
+        node, longest, tree, facts = 0, -1, self.tree, self.facts
+        for byte in head:
+            node = tree.get(node << 8 | byte, 0)
+            if not node:
                 break
-            end += 1
             fact = facts[node]
             if fact >= 0:
-                found.append(fact >> 1 << 32 | end)
+                longest = fact >> 1
             if not fact & 1:
+                node = 0
                 break
-        return found
+        if len(self.heads) > MOVES_KEPT:
+            self.heads.clear()
+        known = self.heads[head] = node, longest
+        return known
 
     def _run(self, piece: bytes) -> list[int]:
         """The nondeterministic machine, depth first. A position is reached in one way only."""
         ids: list[int] = []
-        begins, dead = [0], set()
-        choices = self._tokens(piece, 0)
-        waiting = [choices]
-        size, pairs, left = len(piece), self.pairs, -1
+        dead: set[int] = set()
+        size, pairs, heads, sizes, shorter = len(piece), self.pairs, self.heads, self.sizes, self.shorter
+        tree, facts = self.tree, self.facts
+        begin, left = 0, -1
         while True:
-            while choices:
-                choice = choices.pop()
-                token, end = choice >> 32, choice & 0xFFFFFFFF
-                if end in dead:
-                    continue
-                fits = pairs.get(left << 32 | token)
-                if self.fits(left, token) if fits is None else fits:
-                    ids.append(token)
-                    if end == size:
-                        return ids
-                    left = token
-                    begins.append(end)
-                    choices = self._tokens(piece, end)
-                    waiting.append(choices)
-                    break
-            else:
-                if not ids:
-                    raise ValueError(f"the vocabulary has no tokens for {piece!r}")
-                ids.pop()
-                waiting.pop()
-                dead.add(begins.pop())
-                choices, left = waiting[-1], ids[-1] if ids else -1
+            head = piece[begin : begin + HEAD]
+            node, token = heads.get(head) or self._head(head)
+            if node:
+                for byte in piece[begin + HEAD :]:
+                    node = tree.get(node << 8 | byte)
+                    if node is None:
+                        break
+                    fact = facts[node]
+                    if fact >= 0:
+                        token = fact >> 1
+                    if not fact & 1:
+                        break
+            while True:
+                if token < 0:
+                    if not ids:
+                        raise ValueError(f"the vocabulary has no tokens for {piece!r}")
+                    dead.add(begin)
+                    token = ids.pop()
+                    begin -= sizes[token]
+                    left = ids[-1] if ids else -1
+                else:
+                    end = begin + sizes[token]
+                    if end not in dead:
+                        fits = pairs.get(left << 32 | token)
+                        if self.fits(left, token) if fits is None else fits:
+                            break
+                token = shorter[token]
+            ids.append(token)
+            if end == size:
+                return ids
+            begin, left = end, token
 
 
 class Encoder:
