@@ -42,11 +42,16 @@ def number_messages(messages: DataFrame) -> DataFrame:
     )
 
 
-def header(speaker: Column, perspective: Column, fixed: tuple[str, ...]) -> Column:
+def escape(text: Column) -> Column:
+    """One more backslash between ``<`` and ``|``, so that no text holds a mark; taking one away undoes it."""
+    return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\|")
+
+
+def header(speaker: Column, name: Column, perspective: Column, fixed: tuple[str, ...]) -> Column:
     role = (
         F.when(speaker == perspective, F.lit("assistant"))
         .when(speaker.isin(*fixed), speaker)
-        .otherwise(F.concat(F.lit("user name="), speaker))
+        .otherwise(F.concat(F.lit("user name="), name))
     )
     return F.concat(F.lit(OPEN), role, F.lit("\n"))
 
@@ -62,10 +67,11 @@ def rotate(
     """One row per dialogue, participant and chunk: conv_id, perspective, chunk, messages, text, masks.
 
     ``masks`` is an array of (start, end) in code points of the row's text: the assistant's messages
-    with their closing mark. A null speaker is the participant "unknown", a null text is empty, null
-    turns come last, and rows without a conversation id are one conversation. Messages with equal
-    turns are ordered by speaker and text, repeated rows are all rendered. A dialogue without
-    participants gives no row. Other columns are not looked at.
+    with their closing mark. Marks inside texts and names are escaped (see :func:`escape`) and line
+    breaks in names are blanks, so no message can pose as another speaker's. A null speaker is the participant "unknown", a
+    null text is empty, null turns come last, and rows without a conversation id are one conversation.
+    Messages with equal turns are ordered by speaker and text, repeated rows are all rendered. A
+    dialogue without participants gives no row. Other columns are not looked at.
     """
     messages = df.select(
         F.col(conv_id).alias("conv_id"),
@@ -73,9 +79,15 @@ def rotate(
         F.coalesce(F.col(speaker).cast("string"), F.lit(NOBODY)).alias("speaker"),
         F.coalesce(F.col(text), F.lit("")).alias("content"),
     )
-    numbered = number_messages(messages)
+    numbered = number_messages(messages).select(
+        "conv_id",
+        "index",
+        "speaker",
+        F.regexp_replace(escape(F.col("speaker")), r"[\r\n]", " ").alias("name"),
+        escape(F.col("content")).alias("content"),
+    )
     chunks = numbered.groupBy("conv_id", F.floor(F.col("index") / CHUNK).alias("chunk")).agg(
-        F.sort_array(F.collect_list(F.struct("index", "speaker", "content"))).alias("part")
+        F.sort_array(F.collect_list(F.struct("index", "speaker", "name", "content"))).alias("part")
     )  # at most CHUNK messages
     people = messages.where(~F.col("speaker").isin(*fixed)).select(
         F.col("conv_id").alias("__conv"), F.col("speaker").alias("perspective")
@@ -85,7 +97,7 @@ def rotate(
     pieces = F.transform(
         "part",
         lambda m: F.struct(
-            header(m["speaker"], perspective, fixed).alias("head"),
+            header(m["speaker"], m["name"], perspective, fixed).alias("head"),
             F.concat(m["content"], F.lit(CLOSE)).alias("body"),
             (m["speaker"] == perspective).alias("ours"),
         ),

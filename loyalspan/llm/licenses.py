@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from loyalspan.llm.ship import let_go, ship
 
 ROWS = 256
-GAP = 400  # characters allowed between two sentences of a rule
+LEAD = " \t*#/\"'(-"  # may stand between the beginning of a line or clause and its first word
 
 # Known sentences of public licenses.
 SENTENCES = {
@@ -109,20 +109,26 @@ class Scanner:
         low = text.lower() if text.isascii() else "".join(c.lower() if c.isascii() else c for c in text)
         found: list[Found] = []
         free = 0
+        word, clear, tried = None, 0, False
         for begin in BEGIN.finditer(low):
             at = begin.end()
             if at < free:
                 continue
-            match = WORD.search(low, at)
-            if not match or low[at : match.start()].strip(" \t*#/\"'(-") or match.group() not in self.first:
+            if word is None or word.start() < at:
+                word, tried = WORD.search(low, at), False
+                if word is None:
+                    break
+                clear = at + len(low[at : word.start()].rstrip(LEAD))
+            if tried or at < clear or word.group() not in self.first:
                 continue
-            node, start, best = self.tree, match.start(), None
+            tried = True  # many beginnings may stand before one word
+            match, node, start, best = word, self.tree, word.start(), None
             while match and match.group() in node:
                 node = node[match.group()]
                 at = match.end()
                 if "" in node and ENDED.match(low, at):
                     best = (node[""], start, at)
-                match = WORD.search(low, at, at + 64)
+                match = WORD.search(low, at)
             if best:
                 found.append(best)
                 free = best[2]
@@ -144,17 +150,20 @@ class Scanner:
 
     @staticmethod
     def _chain(found: list[Found], used: list[bool], first: int, rule: tuple[str, ...]) -> list[int]:
-        """The sentences that fulfil ``rule`` from sentence ``first`` on; none if they do not."""
+        """The sentences that fulfil ``rule`` from sentence ``first`` on; none if they do not.
+
+        They may lie any distance apart, but the rule's first sentence does not come again among them.
+        """
         if used[first] or found[first][0] != rule[0]:
             return []
         chain = [first]
         for wanted in rule[1:]:
             for at in range(chain[-1] + 1, len(found)):
-                if found[at][1] - found[chain[-1]][2] > GAP:
-                    return []
                 if not used[at] and found[at][0] == wanted:
                     chain.append(at)
                     break
+                if found[at][0] == rule[0]:
+                    return []
             else:
                 return []
         return chain

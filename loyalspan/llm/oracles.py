@@ -135,7 +135,7 @@ SELECT query_id, rank, vec_id, score FROM (
 WHERE rank <= 5
 """
 
-ORACLES["op6_chat_rotation"] = """
+ORACLES["op6_chat_rotation"] = r"""
 WITH messages AS (
   SELECT conv_id, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS content,
          row_number() OVER (PARTITION BY conv_id
@@ -149,8 +149,10 @@ pieces AS (
   SELECT m.conv_id, p.perspective, m.index // 64 AS chunk, m.index, m.speaker = p.perspective AS ours,
          '<|im_start|>' || CASE WHEN m.speaker = p.perspective THEN 'assistant'
                                 WHEN m.speaker = 'system' THEN 'system'
-                                ELSE 'user name=' || m.speaker END || chr(10) AS head,
-         m.content || '<|im_end|>' AS body
+                                ELSE 'user name=' || translate(
+                                  regexp_replace(m.speaker, '<(\\*)\|', '<\1\\|', 'g'),
+                                  chr(13) || chr(10), '  ') END || chr(10) AS head,
+         regexp_replace(m.content, '<(\\*)\|', '<\1\\|', 'g') || '<|im_end|>' AS body
   FROM messages m JOIN people p ON m.conv_id IS NOT DISTINCT FROM p.conv_id
 ),
 laid AS (

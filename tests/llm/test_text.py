@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -230,6 +231,18 @@ def test_rules_over_sentences(edges, nothing):
     swapped = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
     assert scanner.licenses(swapped) == []
     assert len(scanner.licenses("Licensed under CC BY-NC 4.0.\n" * 500)) == 500
+    wide = "\n".join(" * " + " " * 300 + line for line in mit.split("\n"))
+    assert [n[0] for n in scanner.licenses(wide)] == ["MIT"]
+    apart = mit.replace("\n\n", "\n" + "Other words stand here. " * 500 + "\n")
+    assert scanner.licenses(apart) == [("MIT", 0, len(apart) - 1)]
+    begin, end = mit.split("\n\n")
+    twice = f"{begin}\n\n{begin}\n\n{end}"
+    assert scanner.licenses(twice) == [("MIT", len(begin) + 2, len(twice) - 1)]
+    started = time.process_time()
+    stars = "* " * 200_000
+    assert [n[0] for n in scanner.licenses(stars + "Released under the MIT License. " + stars)] == ["MIT"]
+    assert scanner.licenses("x" + stars + "- ! " + stars + "Released under") == []
+    assert time.process_time() - started < 10
     assert {len(r.licenses) for r in licenses.scan(edges).collect()} == {0}
     assert licenses.scan(nothing).collect() == []
 
