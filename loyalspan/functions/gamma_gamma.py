@@ -1,4 +1,9 @@
-"""Gamma-Gamma spend model (Fader and Hardie 2013). Parameters: p, q, v."""
+"""Gamma-Gamma spend model (Fader and Hardie 2013). Parameters: p, q, v.
+
+Customers differ in scale by an inverse gamma distribution (q, v). Where they are all alike q and v
+leave for infinity together; that limit is a model of its own with parameters p and mu = v/q. Its
+purchases are Gamma(p) times mu, and it is stored as (p, infinity, mu).
+"""
 
 from __future__ import annotations
 
@@ -8,6 +13,7 @@ from collections.abc import Mapping
 from loyalspan.functions.sqltext import Number, ln_gamma, sql
 
 NAMES = ("p", "q", "v")
+ALIKE_NAMES = ("p", "mu")
 
 Params = Mapping[str, Number]
 
@@ -15,7 +21,11 @@ Params = Mapping[str, Number]
 def expected_spend(params: Params, x="frequency", m="monetary_value") -> str:
     """Expected spend per purchase of a customer with ``x`` repeat purchases averaging ``m``."""
     p, q, v = (sql(params[name]) for name in NAMES)
-    return f"({p}*({v} + {x}*{m}) / nullif({p}*{x} + {q} - 1, 0D))"
+    own = f"({p}*({v} + {x}*{m}) / nullif({p}*{x} + {q} - 1, 0D))"
+    alike = f"({p}*({v} + 0D*{x}*{m}))"  # the same for all who have a history
+    if isinstance(params["q"], str):
+        return f"if({q} = double('Infinity'), {alike}, {own})"
+    return alike if math.isinf(params["q"]) else own
 
 
 def row_log_likelihood(params: Params, x="x", m="m") -> str:
@@ -30,3 +40,17 @@ def row_log_likelihood(params: Params, x="x", m="m") -> str:
 def constant_log_likelihood(params: Mapping[str, float]) -> float:
     """The part that is the same for every row."""
     return params["q"] * math.log(params["v"]) - math.lgamma(params["q"])
+
+
+def alike_log_likelihood(params: Params, x="x", m="m") -> str:
+    """``row_log_likelihood`` of the limit, its constant included."""
+    p, mu = (sql(params[name]) for name in ALIKE_NAMES)
+    return (
+        f"({p}*{x}*ln({x}/{mu}) - {ln_gamma(f'{p}*{x}')} + ({p}*{x} - 1)*ln({m}) - {x}*{m}/{mu})"
+    )
+
+
+def unlikeness_slope(params: Params, x="x", m="m") -> str:
+    """The slope of a row's log-likelihood by 1/q at q = infinity, v/q held: is the spread too wide?"""
+    p, mu = (sql(params[name]) for name in ALIKE_NAMES)
+    return f"((pow({x}*{m}/{mu} - {p}*{x}, 2) - {p}*{x})/2)"

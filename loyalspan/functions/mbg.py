@@ -8,7 +8,8 @@ Beta(a, b + x + 1) and the rate Gamma(r + x, alpha + T), so the purchases expect
 t days are the mean over p of ``(1 - (1 + p t/(alpha+T))^-(r+x)) / p``. That integral is taken
 directly: unlike the usual hypergeometric form it has no singular point at a = 1 and needs no
 longer series for young customers. Its value without leaving, ``(r+x) t/(alpha+T)``, is taken out
-first; the rest is smooth at p = 0, so the quadrature holds for any a and the limit a = 0 is exact.
+first; the rest is smooth at p = 0, so the quadrature holds for any a. At a = 0 nobody leaves, whatever
+b, and that value alone remains.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from loyalspan.functions.sqltext import Number, let, ln_gamma, sql, unit_interval_rule
+from loyalspan.functions.sqltext import Number, let, ln_gamma, sql, struct_array, unit_interval_rule
 
 NAMES = ("r", "alpha", "a", "b")
 DAYS_PER_MONTH = 30
+MONTHS_A_ROW = 6  # keeps the generated method small enough to be compiled, whatever the horizon
 
 _RULE = unit_interval_rule()
 
@@ -33,7 +35,8 @@ def _unpack(params: Params) -> tuple[str, ...]:
 def _ln_leaving_odds(params: Params, x: str, t_x: str, T: str) -> str:
     """Log odds of having left: ln(a/(b+x) ((alpha+T)/(alpha+t_x))^(r+x))."""
     r, alpha, a, b = _unpack(params)
-    return f"(ln({a}) - ln({b} + {x}) + ({r} + {x})*(ln({alpha} + {T}) - ln({alpha} + {t_x})))"
+    ln_a = f"if({a} = 0D, double('-Infinity'), ln({a}))"
+    return f"({ln_a} - ln({b} + {x}) + ({r} + {x})*(ln({alpha} + {T}) - ln({alpha} + {t_x})))"
 
 
 def probability_alive(params: Params, x="frequency", t_x="recency", T="T") -> str:
@@ -47,7 +50,7 @@ def node_terms(params: Params, x: str = "x", T: str = "T") -> dict[str, str]:
     """
     r, alpha, a, b = _unpack(params)
     return {
-        "v": f"dw*exp({a}*lp + ({b} + 1 + {x})*lq - {_ln_beta(params, x)})/p",
+        "v": f"if({a} = 0D, 0D, dw*exp({a}*lp + ({b} + 1 + {x})*lq - {_ln_beta(params, x)})/p)",
         "k": f"-({r} + {x})",
         "y": f"p/({alpha} + {T})",
     }
@@ -70,11 +73,35 @@ def discount_weights(months: int, rate: float) -> list[float]:
     return [keep**i * rate * keep for i in range(1, months)] + [keep**months]
 
 
-def node_discounted(months: int, rate: float) -> str:
-    """The discounted sum of ``node_shortfall`` over months."""
+def month_blocks(plans: Mapping[str, tuple[int, float]]) -> str:
+    """Months as constant rows of ``MONTHS_A_ROW``: the days before them and, per plan, their weights.
+
+    A plan is (months, monthly rate); months after its end weigh nothing.
+    """
+    weights = {name: discount_weights(months, rate) for name, (months, rate) in plans.items()}
+    longest = max(len(each) for each in weights.values())
+    return struct_array(
+        {
+            "days_before": first * DAYS_PER_MONTH,
+            **{
+                weight_name(name, j): each[first + j] if first + j < len(each) else 0.0
+                for name, each in weights.items()
+                for j in range(MONTHS_A_ROW)
+            },
+        }
+        for first in range(0, longest, MONTHS_A_ROW)
+    )
+
+
+def weight_name(plan: str, j: int) -> str:
+    return f"{plan}_weight_{j}"
+
+
+def node_discounted(plan: str) -> str:
+    """The discounted sum of ``node_shortfall`` over the months of one row of ``month_blocks``."""
     return " + ".join(
-        f"{sql(weight)}*{node_shortfall(DAYS_PER_MONTH * i)}"
-        for i, weight in enumerate(discount_weights(months, rate), start=1)
+        f"{weight_name(plan, j)}*{node_shortfall(f'(days_before + {DAYS_PER_MONTH * (j + 1)}D)')}"
+        for j in range(MONTHS_A_ROW)
     )
 
 
@@ -94,7 +121,7 @@ def _ln_beta(params: Params, x: str) -> str:
 def posterior_nodes(params: Params, x: str) -> str:
     """Nodes of the posterior of p: p, and v, its density over p."""
     _, _, a, b = _unpack(params)
-    density = f"n.dw*exp({a}*n.lp + ({b} + 1 + {x})*n.lq - ln_beta)/n.p"
+    density = f"if({a} = 0D, 0D, n.dw*exp({a}*n.lp + ({b} + 1 + {x})*n.lq - ln_beta)/n.p)"
     nodes = f"transform({_RULE}, n -> named_struct('p', n.p, 'v', {density}))"
     return let("ln_beta", _ln_beta(params, x), nodes)
 
@@ -158,3 +185,11 @@ def constant_log_likelihood(params: Mapping[str, float]) -> float:
     """The part that is the same for every row."""
     r, alpha, a, b = (params[name] for name in NAMES)
     return r * math.log(alpha) - math.lgamma(r) - math.lgamma(b) + math.lgamma(a + b)
+
+
+def leaving_slope(params: Params, x="x", t_x="t_x", T="T") -> str:
+    """The slope of a row's log-likelihood by a at a = 0, given b; ``x`` is a whole number."""
+    r, alpha, _, b = _unpack({"a": 0.0, **params})
+    left = f"exp(({r} + {x})*(ln({alpha} + {T}) - ln({alpha} + {t_x})))/({b} + {x})"
+    stayed = f"aggregate(sequence(0, int({x})), 0D, (s, j) -> s + 1/({b} + j))"
+    return f"({left} - {stayed})"

@@ -90,3 +90,11 @@ def constant_log_likelihood(params: Mapping[str, float]) -> float:
     """The part that is the same for every row."""
     r, alpha, s, beta = (params[name] for name in NAMES)
     return r * math.log(alpha) + s * math.log(beta) - math.lgamma(r)
+
+
+def leaving_slope(params: Params, x="x", t_x="t_x", T="T") -> str:
+    """The slope of a row's log-likelihood by s at s = 0, given beta."""
+    tiny = 1e-9  # the odds of having left are s times a function that is smooth at 0
+    beta = sql(params["beta"])
+    odds = _row_odds({**params, "s": tiny}, x, t_x, T)
+    return f"({odds}/{sql(tiny)} - ln(({beta} + {T})/{beta}))"

@@ -7,6 +7,7 @@ taken either from literals or from columns of the row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping
 
 import numpy as np
@@ -18,6 +19,8 @@ def sql(value: Number) -> str:
     """A double literal for a number; text (a column name or expression) as it is."""
     if isinstance(value, str):
         return value
+    if math.isinf(value):
+        return f"double('{'-' * (value < 0)}Infinity')"
     literal = repr(float(value)) + "D"
     return f"({literal})" if value < 0 else literal
 

@@ -6,9 +6,12 @@ before the shuffle, and only one number per point returns to the driver. Several
 fitted side by side in the same jobs; of many, a few are fitted first and the rest start between
 their solutions.
 
-Every fit says how it ended. Only one whose expected gain vanished inside the bounds has converged:
-a bound reached means that the optimum lies at the limit (for a or s: nobody leaves), and a flat end
-that a ridge of parameters fits alike.
+A search that heads for the limit of a model (nobody leaves, all spend alike) fits the limit as a
+model of its own and stays there if the likelihood does not rise on leaving it; the parameters gone to
+the limit are then exact. Otherwise it goes on where it was.
+
+Every fit says how it ended. Only one whose expected gain vanished inside the bounds has converged; one
+at the limit is the optimum there, and a flat end means that a ridge of parameters fits alike.
 """
 
 from __future__ import annotations
@@ -23,13 +26,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loyalspan.functions import gamma_gamma, mbg, pareto
+from loyalspan.functions import gamma_gamma, mbg, nbd, pareto
 from loyalspan.session import materialise, spread
 
 STEP = 1e-3  # finite-difference step on the log scale
 LOWEST, HIGHEST = -12.0, 30.0  # bounds of the log-parameters; reaching one is reported
 ANCHORS = 10  # of more penalties than twice this, so many are fitted first
-CONVERGED, AT_BOUND, FLAT, UNFINISHED, FAILED = "converged", "at bound", "flat", "unfinished", "failed"
+CONVERGED, AT_LIMIT, AT_BOUND, FLAT = "converged", "at limit", "at bound", "flat"
+UNFINISHED, FAILED = "unfinished", "failed"
+NEAR_ZERO, NEAR_INFINITY = math.exp(-8), 1e3  # beyond these a limit is tried
 
 
 @dataclass(frozen=True)
@@ -47,8 +52,52 @@ class Likelihood:
     starts: tuple[tuple[float, ...], ...]
     in_days: tuple[str, ...] = ()
     terms: Callable[[Mapping[str, str]], dict[str, str]] = lambda params: {}
+    limit: Limit | None = None
+
+
+@dataclass(frozen=True)
+class Limit:
+    """What a likelihood becomes where the parameters ``gone`` have left for their limit.
+
+    ``near`` tells from parameters and penalty that a search heads there, ``enter`` gives the point of
+    the limit's ``model`` closest to them, and ``leave`` the parameters that stand for a point of the
+    limit. The mean of ``slope`` is what the log-likelihood gains on leaving; it may use parameters of
+    the search that the limit has no need of.
+    """
+
+    gone: tuple[str, ...]
+    model: Likelihood
+    near: Callable[[Mapping[str, float], float], bool]
+    enter: Callable[[Mapping[str, float]], tuple[float, ...]]
+    leave: Callable[[Mapping[str, float]], dict[str, float]]
+    slope: Likelihood
+
 
+def _slope(names: tuple[str, ...], text: Callable[[Mapping[str, str]], str]) -> Likelihood:
+    return Likelihood(names, text, constant=lambda params: 0.0, starts=())
 
+
+def _nobody_leaves(name: str, against: str, slope: Likelihood) -> Limit:
+    """The limit where ``name`` vanishes, alone or in proportion to ``against``."""
+    return Limit(
+        gone=(name,),
+        model=Likelihood(nbd.NAMES, nbd.row_log_likelihood, nbd.constant_log_likelihood, starts=()),
+        near=lambda params, l2: params[name] < NEAR_ZERO * max(1.0, params[against]),
+        enter=lambda params: (params["r"], params["alpha"]),
+        leave=lambda point: {**point, name: 0.0},
+        slope=slope,
+    )
+
+
+ALL_ALIKE = Limit(
+    gone=("q", "v"),
+    model=_slope(gamma_gamma.ALIKE_NAMES, gamma_gamma.alike_log_likelihood),
+    # A penalty keeps q and v finite.
+    near=lambda params, l2: l2 == 0 and params["q"] > NEAR_INFINITY,
+    enter=lambda params: (params["p"], params["v"] / params["q"]),
+    leave=lambda point: {"p": point["p"], "q": math.inf, "v": point["mu"]},
+    slope=_slope(gamma_gamma.ALIKE_NAMES, gamma_gamma.unlikeness_slope),
+)
 MBG = Likelihood(
     mbg.NAMES,
     mbg.row_log_likelihood,
@@ -56,6 +105,7 @@ MBG = Likelihood(
     starts=((0.3, 1.0, 3.0), (0.1, 0.6, 3.0), (0.1, 0.5, 1.5), (0.5, 2.0, 6.0)),
     in_days=("alpha",),
     terms=lambda params: mbg.leaving_terms(params, "x", "t_x", "T"),
+    limit=_nobody_leaves("a", "b", _slope(("r", "alpha", "b"), mbg.leaving_slope)),
 )
 PARETO = Likelihood(
     pareto.NAMES,
@@ -64,12 +114,14 @@ PARETO = Likelihood(
     starts=((0.5, 2.0), (0.1, 0.6, 2.0), (0.2, 1.0), (1.0, 6.0)),
     in_days=("alpha", "beta"),
     terms=lambda params: pareto.leaving_terms(params, "x", "t_x", "T"),
+    limit=_nobody_leaves("s", "beta", _slope(("r", "alpha", "beta"), pareto.leaving_slope)),
 )
 GAMMA_GAMMA = Likelihood(
     gamma_gamma.NAMES,
     gamma_gamma.row_log_likelihood,
     gamma_gamma.constant_log_likelihood,
     starts=((0.1, 1.0, 3.0, 10.0), (0.1, 1.0, 3.0, 10.0), (0.01, 1.0, 100.0, 1e4, 1e6)),
+    limit=ALL_ALIKE,
 )
 
 
@@ -158,6 +210,7 @@ class _Descent:
     iterations: int = 0
     quiet: int = 0  # accepted trials in a row with hardly any gain
     stop: str = ""
+    tried: bool = False  # whether the limit of the model has been tried
 
     @property
     def done(self) -> bool:
@@ -206,12 +259,15 @@ class _Descent:
         elif self.quiet == 3:
             self.stop = FLAT
 
+    def params(self, names: Sequence[str]) -> dict[str, float]:
+        return dict(zip(names, map(float, np.exp(self.best))))
+
     def result(self, names: Sequence[str]) -> Fit:
         if self.best is None:
             return Fit(dict.fromkeys(names, math.nan), self.l2, math.nan, self.iterations, FAILED)
         bounds = self.at_bounds()
         return Fit(
-            params=dict(zip(names, map(float, np.exp(self.best)))),
+            params=self.params(names),
             l2=self.l2,
             log_likelihood=self.penalty(self.best) - self.objective,
             iterations=self.iterations,
@@ -255,7 +311,50 @@ def fit(
                 paths = zip(*(d.best for d in known))
                 descent.trial = np.array([np.interp(descent.l2, at, path) for path in paths])
     _descend(rows, model, descents, max_iterations, tolerance)
-    return [d.result(model.names) for d in descents]
+    at_limit = _try_limit(rows, model, descents, max_iterations, tolerance)
+    _descend(rows, model, descents, max_iterations, tolerance)
+    return [at_limit.get(i) or d.result(model.names) for i, d in enumerate(descents)]
+
+
+def _try_limit(
+    rows: DataFrame, model: Likelihood, descents: Sequence[_Descent], max_iterations: int, tolerance: float
+) -> dict[int, Fit]:
+    """The fits, by number, whose optimum is at the limit of the model; the others near it go on."""
+    limit = model.limit
+    heading = {
+        i: d
+        for i, d in enumerate(descents)
+        if limit and d.best is not None and limit.near(d.params(model.names), d.l2)
+    }
+    if not heading:
+        return {}
+    there = {
+        i: _Descent(d.l2, np.log(limit.enter(d.params(model.names)))) for i, d in heading.items()
+    }
+    _descend(rows, limit.model, list(there.values()), max_iterations, tolerance)
+    there = {i: d for i, d in there.items() if d.best is not None and d.stop in (CONVERGED, FLAT)}
+    points = {i: {**heading[i].params(model.names), **d.params(limit.model.names)} for i, d in there.items()}
+    slopes = {}
+    if points:
+        at = [[point[name] for name in limit.slope.names] for point in points.values()]
+        slopes = dict(zip(points, mean_log_likelihood(rows, limit.slope, at)))
+    found = {}
+    for i, descent in heading.items():
+        # Not finite: the slope is too steep for a number.
+        if i in slopes and math.isfinite(slopes[i]) and slopes[i] <= 0:
+            end = there[i].result(limit.model.names)
+            found[i] = replace(
+                end,
+                params={name: {**points[i], **limit.leave(end.params)}[name] for name in model.names},
+                iterations=descent.iterations + end.iterations,
+                stop=AT_LIMIT if end.converged else end.stop,
+                at_bound=limit.gone,
+            )
+        else:
+            descent.tried = True
+            if descent.stop == AT_BOUND and not descent.at_bounds().any():
+                descent.stop = ""
+    return found
 
 
 def _descend(
@@ -271,6 +370,9 @@ def _descend(
         values = mean_log_likelihood(rows, model, [np.exp(p) for s in stencils for p in s])
         for i, descent in enumerate(active):
             descent.update(values[i * width : (i + 1) * width], tolerance)
+            heads_off = model.limit and not (descent.tried or descent.done)
+            if heads_off and model.limit.near(descent.params(model.names), descent.l2):
+                descent.stop = AT_BOUND
 
 
 def fit_purchases(

@@ -28,27 +28,29 @@ def purchase_outlook(
     ``horizons`` maps an output to days ahead (a number or one of the columns of ``pairs``),
     ``discounted`` maps an output to (months, monthly rate).
 
-    Each pair meets the constant list of quadrature nodes and the sums over nodes are a plain
-    aggregate; the rows are already partitioned by the pair, so only the pairs are shuffled.
+    Each pair meets the constant lists of quadrature nodes and of months, a few months a row, and the
+    sums are a plain aggregate; the rows are already partitioned by the pair, so only the pairs are
+    shuffled. The generated code does not grow with the number of months.
     """
+    plans = {name: plan for name, plan in (discounted or {}).items() if plan[0] > 0}
     keys = pairs.columns
     at_node = {name: mbg.node_shortfall(days) for name, days in horizons.items()}
     without_leaving = {name: mbg.stayer_purchases(model, days) for name, days in horizons.items()}
     for name, (months, rate) in (discounted or {}).items():
-        at_node[name] = mbg.node_discounted(months, rate)
-        days = mbg.discounted_days(months, rate)
+        at_node[name] = mbg.node_discounted(name) if name in plans else "0D"
+        days = mbg.discounted_days(months, rate) if name in plans else 0
         without_leaving[name] = mbg.stayer_purchases(model, days)
     terms = mbg.node_terms(model)
     nodes = (
         spread(pairs.distinct(), *keys)
         .select(*keys, F.inline(F.expr(unit_interval_rule())))
         .select(*keys, "p", *[F.expr(text).alias(name) for name, text in terms.items()])
-        .select(
-            *keys,
-            "v",
-            *[F.expr(text).alias(name) for name, text in at_node.items()],
-        )
     )
+    if plans:
+        nodes = nodes.select("*", F.inline(F.expr(mbg.month_blocks(plans))))
+        for name in horizons:
+            at_node[name] = f"if(days_before = 0D, {at_node[name]}, 0D)"
+    nodes = nodes.select(*keys, "v", *[F.expr(text).alias(name) for name, text in at_node.items()])
     sums = nodes.groupBy(*keys).agg(*[F.sum(F.col("v") * F.col(name)).alias(name) for name in at_node])
     return sums.select(
         *keys, *[(F.expr(text) + F.col(name)).alias(name) for name, text in without_leaving.items()]

@@ -188,3 +188,51 @@ def test_many_penalties_agree_with_single_fits(mbg_rows):
     [alone] = fit.fit_purchases(mbg_rows, fit.MBG, [penalties[7]])
     for name, value in alone.params.items():
         assert together[7].params[name] == pytest.approx(value, rel=1e-3)
+
+
+def test_nobody_leaves_gives_the_exact_limit(spark):
+    rng = np.random.default_rng(11)
+    rows = simulate(rng, 4_000, rng.gamma(0.9, 1 / 40, 4_000))
+    df = fit.ready(fit.purchase_rows(spark.createDataFrame(rows, "x double, t_x double, T double"), "x", "t_x", "T"))
+    for model, gone in ((fit.MBG, "a"), (fit.PARETO, "s")):
+        for found in fit.fit_purchases(df, model, [0.0, 0.01]):
+            if found.stop != fit.AT_LIMIT:  # by chance a few seem to have left: inside the bounds then
+                assert not found.at_bound and found.params[gone] > 1e-4
+                continue
+            assert found.params[gone] == 0.0 and found.at_bound == (gone,)
+            assert found.params["r"] == pytest.approx(0.9, rel=0.15)
+    assert fit.fit_purchases(df, fit.MBG, [0.01])[0].stop == fit.AT_LIMIT
+
+
+def test_leaving_slopes_are_derivatives(spark):
+    rows = spark.createDataFrame(
+        [(0.0, 0.0, 6.0, 1.0), (3.0, 2.0, 6.0, 2.0), (5.0, 6.0, 6.0, 1.0)],
+        "x double, t_x double, T double, weight double",
+    )
+    small = 1e-6
+    for model, point in ((fit.MBG, [0.9, 4.0, small, 2.5]), (fit.PARETO, [0.9, 4.0, small, 2.5])):
+        here = fit.mean_log_likelihood(rows, model, [point])[0]
+        limit = fit.mean_log_likelihood(rows, model.limit.model, [point[:2]])[0]
+        slope = fit.mean_log_likelihood(rows, model.limit.slope, [[0.9, 4.0, 2.5]])[0]
+        assert (here - limit) / small == pytest.approx(slope, rel=1e-3)
+    spend = spark.createDataFrame(
+        [(2.0, 10.0, 1.0), (5.0, 13.0, 2.0), (1.0, 4.0, 1.0)], "x double, m double, weight double"
+    )
+    q = 1e5
+    here = fit.mean_log_likelihood(spend, fit.GAMMA_GAMMA, [[3.0, q, 4.0 * q]])[0]
+    limit = fit.mean_log_likelihood(spend, fit.ALL_ALIKE.model, [[3.0, 4.0]])[0]
+    slope = fit.mean_log_likelihood(spend, fit.ALL_ALIKE.slope, [[3.0, 4.0]])[0]
+    assert (here - limit) * q == pytest.approx(slope, rel=1e-2)
+
+
+def test_spend_alike_gives_the_exact_limit(spark):
+    rng = np.random.default_rng(5)
+    x = rng.integers(1, 10, 4_000)
+    m = rng.gamma(3.0 * x * x, 20.0 / (x * x))  # closer together than any inverse gamma allows
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, m)], "frequency double, monetary_value double")
+    rows = fit.ready(fit.spend_rows(df, "frequency", "monetary_value"))
+    free, penalised = fit.fit(rows, fit.GAMMA_GAMMA, [0.0, 0.001])
+    assert free.stop == fit.AT_LIMIT and math.isinf(free.params["q"])
+    spend = F.expr(gamma_gamma.expected_spend(free.params, "x", "m"))
+    assert rows.agg(F.avg(spend)).first()[0] == pytest.approx(60.0, rel=0.03)
+    assert all(math.isfinite(value) for value in penalised.params.values())

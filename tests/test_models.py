@@ -1,6 +1,7 @@
 """Model formulas against series, direct integration and simulation."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -224,3 +225,50 @@ def test_expected_purchases_for_hardly_any_leaving(spark, a):
         assert got == pytest.approx(_purchases_by_integral(**params, x=x, T=T, t=t), rel=1e-8)
         if a < 1e-5:
             assert got == pytest.approx((1.5 + x) * t / (300.0 + T), rel=1e-3)
+
+
+def test_no_months_are_worth_nothing(histories):
+    table = with_purchases(histories, MBG, {"h": 365}, {"none": (0, 0.01), "some": (7, 0.01)})
+    expected = F.expr(f"{mbg.probability_alive(MBG)} * {mbg.discounted_if_alive(MBG, 7, 0.01)}")
+    for row in table.withColumn("row_some", expected).collect():
+        assert row["none"] == 0
+        assert row["some"] == pytest.approx(row["row_some"], rel=1e-10)
+
+
+def test_code_for_many_months_stays_compilable(spark, histories):
+    sizes = []
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for months in (12, 120):
+            table = with_purchases(histories, MBG, {"h": 365}, {"d": (months, 0.01)})
+            plan = table._jdf.queryExecution()
+            text = spark._jvm.PythonSQLUtils.explainString(plan, "codegen")
+            sizes.append(max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text))))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(sizes) < 8000  # the JVM does not compile larger methods
+    assert sizes[0] == sizes[1]
+
+
+def test_nobody_leaves_at_the_limit(histories):
+    stay = {**MBG, "a": 0.0}
+    days = {"h": 365}
+    kept = F.expr(mbg.stayer_purchases(stay, 365, "frequency", "T")).alias("kept")
+    row_form = F.expr(mbg.expected_purchases(stay, 365)).alias("row_h")
+    rows = with_purchases(histories, stay, days, {"d": (12, 0.01)}).select("alive", "h", "d", kept, row_form)
+    for row in rows.collect():
+        assert row["alive"] == 1
+        assert row["h"] == pytest.approx(row["kept"], rel=1e-12) == pytest.approx(row["row_h"], rel=1e-12)
+        assert row["d"] > 0
+
+
+def test_all_spend_alike_at_the_limit(spark):
+    limit, near = {"p": 3.0, "q": math.inf, "v": 20.0}, {"p": 3.0, "q": 1e9, "v": 20e9}
+    columns = spark.createDataFrame([(2.0, 10.0, 3.0, math.inf, 20.0)], "x double, m double, p double, q double, v double")
+    named = {name: name for name in gamma_gamma.NAMES}
+    row = columns.select(
+        *[F.expr(gamma_gamma.expected_spend(params, "x", "m")) for params in (limit, near, named)]
+    ).first()
+    assert row[0] == row[2] == 60.0
+    assert row[1] == pytest.approx(60.0, rel=1e-6)
+    assert spark.sql(f"SELECT {gamma_gamma.expected_spend(limit, 'double(NULL)', '1D')}").first()[0] is None
