@@ -683,6 +683,95 @@ ORACLES["likelihood_gamma_gamma"] = _likelihood(
     """lgamma(p * x + q) - lgamma(p * x) - lgamma(q) + q * ln(v) + (p * x - 1) * ln(m)
        + p * x * ln(x) - (p * x + q) * ln(x * m + v)""",
 )
+def _pooled(text: str) -> str:
+    return f"SUM(w * ({text})) / SUM(w)"
+
+
+# The limits of the fits, solved from their score equations: a Newton search on (ln r, ln alpha) with
+# analytic derivatives for customers who never leave, bisection on ln p for those who spend alike. The
+# limit holds where the mean slope on leaving it (a or s from 0, 1/q from 0) is not positive.
+_DIGAMMA = """(ln(z + 8) - 1 / (2 * (z + 8)) - 1 / (12 * POWER(z + 8, 2)) + 1 / (120 * POWER(z + 8, 4))
+    - 1 / (252 * POWER(z + 8, 6))
+    - (1 / z + 1 / (z + 1) + 1 / (z + 2) + 1 / (z + 3) + 1 / (z + 4) + 1 / (z + 5) + 1 / (z + 6) + 1 / (z + 7)))"""
+
+
+def _harmonic(start: str, power: int, terms: str = "x") -> str:
+    """The sum of (start + j)^-power over 0 <= j < terms."""
+    return (
+        f"coalesce(list_sum(list_transform(range(0, CAST({terms} AS BIGINT)),"
+        f" lambda j: POWER({start} + j, -{power}))), 0)"
+    )
+
+
+ORACLES["limit_fits"] = f"""
+    WITH RECURSIVE {training(ALL)},
+    raw AS (SELECT CAST(frequency_cal AS DOUBLE) AS x, CAST(recency_cal AS DOUBLE) AS tx,
+                   CAST(T_cal AS DOUBLE) AS age, CAST(monetary_value_cal AS DOUBLE) AS m FROM train),
+    unit AS (SELECT 10.0 / MAX(age) AS scale FROM raw),
+    bought AS MATERIALIZED (
+        SELECT x, tx * scale AS tx, age * scale AS age, CAST(COUNT(*) AS DOUBLE) AS w
+        FROM raw CROSS JOIN unit GROUP BY ALL),
+    ages AS MATERIALIZED (SELECT x, age, SUM(w) AS w FROM bought GROUP BY ALL),
+    newton AS (
+        SELECT 0 AS step, CAST(0 AS DOUBLE) AS u, CAST(0 AS DOUBLE) AS v
+        UNION ALL
+        SELECT step + 1,
+               u + greatest(-0.5, least(0.5, -(hvv * gu - huv * gv) / (huu * hvv - huv * huv))),
+               v + greatest(-0.5, least(0.5, -(huu * gv - huv * gu) / (huu * hvv - huv * huv)))
+        FROM (SELECT step, u, v, r * gr AS gu, al * ga AS gv, r * r * hrr + r * gr AS huu,
+                     r * al * hra AS huv, al * al * haa + al * ga AS hvv
+              FROM (SELECT step, u, v, r, al,
+                           {_pooled(_harmonic("r", 1) + " + ln(al) - ln(al + age)")} - 0.02 * r AS gr,
+                           {_pooled("r / al - (r + x) / (al + age)")} - 0.02 * al AS ga,
+                           -({_pooled(_harmonic("r", 2))}) - 0.02 AS hrr,
+                           {_pooled("1 / al - 1 / (al + age)")} AS hra,
+                           {_pooled("(r + x) / POWER(al + age, 2) - r / (al * al)")} - 0.02 AS haa
+                    FROM (SELECT step, u, v, exp(u) AS r, exp(v) AS al FROM newton WHERE step < 40)
+                    CROSS JOIN ages GROUP BY step, u, v, r, al))),
+    stay AS (SELECT exp(u) AS r, exp(v) AS al FROM newton WHERE step = 40),
+    staying AS (
+        SELECT r, al, {_pooled("lgamma(r + x) - lgamma(r) + r * ln(al) - (r + x) * ln(al + age)")} AS ll,
+               {_pooled("POWER((al + age) / (al + tx), r + x) / (1 + x) - " + _harmonic("1", 1, "x + 1"))} AS by_a,
+               -- Simpson over the time since the last purchase, beta = 10
+               {_pooled("""list_sum(list_transform(range(0, 201), lambda i:
+                   (CASE WHEN i IN (0, 200) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * (age - tx) / 600
+                   * POWER((al + age) / (al + tx + (age - tx) * i / 200), r + x)
+                   / (10 + tx + (age - tx) * i / 200))) - ln((10 + age) / 10)""")} AS by_s
+        FROM bought CROSS JOIN stay GROUP BY r, al),
+    spent AS MATERIALIZED (
+        SELECT x, CAST(COUNT(*) AS DOUBLE) AS w, SUM(x * m) AS total, SUM(ln(x * m)) AS logs,
+               SUM(POWER(x * m, 2)) AS squares
+        FROM raw WHERE x > 0 AND m > 0 GROUP BY x),
+    halving AS (
+        SELECT 0 AS step, CAST(-7 AS DOUBLE) AS lo, CAST(10 AS DOUBLE) AS hi
+        UNION ALL
+        SELECT step + 1, CASE WHEN score > 0 THEN mid ELSE lo END, CASE WHEN score > 0 THEN hi ELSE mid END
+        FROM (SELECT step, lo, hi, mid,
+                     SUM(x * (logs - w * {_DIGAMMA.replace("z", "(p * x)")}))
+                     - SUM(w * x) * ln(SUM(total) / (p * SUM(w * x))) AS score
+              FROM (SELECT step, lo, hi, (lo + hi) / 2 AS mid, exp((lo + hi) / 2) AS p FROM halving WHERE step < 50)
+              CROSS JOIN spent GROUP BY step, lo, hi, mid, p)),
+    one AS (
+        SELECT p, SUM(total) / (p * SUM(w * x)) AS mu
+        FROM (SELECT exp(lo) AS p FROM halving WHERE step = 50) CROSS JOIN spent GROUP BY p),
+    alike AS (
+        SELECT p, mu,
+               SUM(p * x * (logs - w * ln(mu)) - w * lgamma(p * x) - total / mu) / SUM(w) AS ll,
+               SUM((squares / (mu * mu) - 2 * p * x * total / mu + w * p * x * (p * x - 1)) / 2) / SUM(w) AS by_q
+        FROM spent CROSS JOIN one GROUP BY p, mu),
+    logs_of AS (SELECT SUM(ln(m)) / COUNT(*) AS ln_m FROM raw WHERE x > 0 AND m > 0),
+    ends AS (
+        SELECT 'mbg' AS model, unnest(['r', 'alpha']) AS parameter, by_a <= 0 AS at_limit,
+               unnest([r, al / scale]) AS value, ll FROM staying CROSS JOIN unit
+        UNION ALL
+        SELECT 'pareto_nbd', unnest(['r', 'alpha']), by_s <= 0, unnest([r, al / scale]), ll
+        FROM staying CROSS JOIN unit
+        UNION ALL
+        SELECT 'gamma_gamma', unnest(['p', 'v']), by_q <= 0, unnest([p, mu]), ll - ln_m FROM alike CROSS JOIN logs_of)
+    SELECT model, parameter, at_limit, CASE WHEN at_limit THEN ROUND(ln(value), 2) END AS ln_value,
+           CASE WHEN at_limit THEN ROUND(ll, 4) END AS log_likelihood
+    FROM ends
+"""
 ORACLES["expected_spend"] = f"""
     WITH {full()} SELECT CustomerID, {_SPEND} AS expected_spend FROM full_snap
 """

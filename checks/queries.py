@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
@@ -773,6 +774,28 @@ def fit_gamma_gamma(spark, folder):
     return _fits_frame(spark, fit.fit(rows, fit.GAMMA_GAMMA, [0.0]))
 
 
+@query
+def limit_fits(spark, folder):
+    """What each fit leaves behind at the limit of its model, null where its optimum is not there."""
+    training = all_training(spark, folder)
+    histories = fit.ready(fit.purchase_rows(training))
+    fits = {
+        "mbg": fit.fit_purchases(histories, fit.MBG, [train.BASELINE_L2])[0],
+        "pareto_nbd": train.fit_baseline(training),
+        "gamma_gamma": fit.fit(fit.ready(fit.spend_rows(training)), fit.GAMMA_GAMMA, [0.0])[0],
+    }
+    kept = {"mbg": ("r", "alpha"), "pareto_nbd": ("r", "alpha"), "gamma_gamma": ("p", "v")}
+    rows = []
+    for model, found in fits.items():
+        there = found.stop == fit.AT_LIMIT
+        for name in kept[model]:
+            value = round(math.log(found.params[name]), 2) if there else None
+            rows.append((model, name, there, value, round(found.log_likelihood, 4) if there else None))
+    return spark.createDataFrame(
+        rows, "model string, parameter string, at_limit boolean, ln_value double, log_likelihood double"
+    )
+
+
 @query
 def l2_search(spark, folder):
     training = all_training(spark, folder)
