@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from loyalspan.functions import gamma_gamma, mbg, pareto
 from loyalspan.operators import metrics
 from loyalspan.operators.fit import (
+    AT_LIMIT,
+    CONVERGED,
     GAMMA_GAMMA,
     MBG,
     FAILED,
@@ -210,10 +212,18 @@ class SpendTraining:
     final_params: dict[str, float]
 
 
+def _with_errors(summary: DataFrame, prefix: str) -> dict[str, float]:
+    """The metrics of an evaluation, with its errors also under their plain names."""
+    row = summary.first().asDict()
+    mae, rmse = row[f"{prefix}_mae"], row[f"{prefix}_rmse"]
+    mse = None if rmse is None else rmse**2
+    return {**row, **dict(zip(registry.ERRORS, (mae, mse, rmse)))}
+
+
 def fit_report(fit: Fit) -> dict[str, float]:
     """How a fit ended, as metrics of the run log."""
     return {
-        "fit_converged": float(fit.converged),
+        "fit_converged": float(fit.stop in (CONVERGED, AT_LIMIT)),
         "fit_at_bound": float(len(fit.at_bound)),
         "fit_gradient": fit.gradient,
         "fit_iterations": float(fit.iterations),
@@ -223,7 +233,7 @@ def fit_report(fit: Fit) -> dict[str, float]:
 def usable(fit: Fit) -> Fit:
     """The fit itself; a failed or unfinished one is an error and never saved.
 
-    A fit at a bound or on a ridge is usable: its limit is exact or its parameters fit alike. The run
+    A fit at a limit or on a ridge is usable: the limit is exact, or its parameters fit alike. The run
     log tells.
     """
     if fit.stop in (FAILED, UNFINISHED):
@@ -278,7 +288,8 @@ def train_frequency(
     errors = metrics.regression_metrics(
         pareto_predictions(training, baseline.params), "frequency_holdout", "frequency_predicted"
     ).first()
-    log_run(spark, log_path, registry.BASELINE_RUN, {registry.L2_PARAM: baseline.l2}, {**errors.asDict(), **fit_report(baseline)})
+    params = {registry.MODEL_TYPE: registry.BASELINE_TYPE, registry.L2_PARAM: baseline.l2}
+    log_run(spark, log_path, registry.BASELINE_RUN, params, {**errors.asDict(), **fit_report(baseline)})
     save_model(spark, model_path, registry.BASELINE_MODEL, baseline.params, trained_at)
 
     rows = frequency_histories(training)
@@ -293,8 +304,9 @@ def train_frequency(
     evaluation = evaluate_frequency(frequency_predictions(training, params))
     gates = quality_gates(_with_row_count(evaluation.summary, training), thresholds)
     log_run(
-        spark, log_path, registry.BEST_FREQUENCY_RUN, {registry.L2_PARAM: l2},
-        {**evaluation.summary.first().asDict(), FIT_ROWS: training.count()},
+        spark, log_path, registry.BEST_FREQUENCY_RUN,
+        {registry.MODEL_TYPE: registry.FREQUENCY_TYPE, registry.L2_PARAM: l2},
+        {**_with_errors(evaluation.summary, "frequency"), FIT_ROWS: training.count()},
     )
     save_model(spark, model_path, registry.BEST_FREQUENCY_MODEL, params, trained_at)
     if enforce_gates:
@@ -304,7 +316,8 @@ def train_frequency(
     _require_rows(full, thresholds, enforce_gates)
     final = usable(fit_final_frequency(full, l2))
     report = {**fit_report(final), FIT_ROWS: full.count()}
-    log_run(spark, log_path, registry.FINAL_FREQUENCY_RUN, {registry.L2_PARAM: l2}, report)
+    kind = {registry.MODEL_TYPE: registry.FREQUENCY_TYPE, registry.L2_PARAM: l2}
+    log_run(spark, log_path, registry.FINAL_FREQUENCY_RUN, kind, report)
     save_model(spark, model_path, registry.FINAL_FREQUENCY_MODEL, final.params, trained_at)
     return FrequencyTraining(l2, params, evaluation, gates, final.params)
 
@@ -350,8 +363,9 @@ def train_spend(
     l2, params = best.l2, best.params
     evaluation = evaluate_spend(spend_predictions(buyers, params, holdout_inputs))
     gates = quality_gates(evaluation, thresholds)
-    report = {**evaluation.first().asDict(), FIT_ROWS: buyers.count()}
-    log_run(spark, log_path, registry.BEST_SPEND_RUN, {registry.L2_PARAM: l2}, report)
+    report = {**_with_errors(evaluation, "spend"), FIT_ROWS: buyers.count()}
+    kind = {registry.MODEL_TYPE: registry.SPEND_TYPE, registry.L2_PARAM: l2}
+    log_run(spark, log_path, registry.BEST_SPEND_RUN, kind, report)
     save_model(spark, model_path, registry.BEST_SPEND_MODEL, params, trained_at)
     if enforce_gates:
         require_gates(gates)
@@ -361,7 +375,7 @@ def train_spend(
     full = repeat_buyers(full, "frequency")
     final = usable(fit_final_spend(full, l2))
     report = {**fit_report(final), FIT_ROWS: full.count()}
-    log_run(spark, log_path, registry.FINAL_SPEND_RUN, {registry.L2_PARAM: l2}, report)
+    log_run(spark, log_path, registry.FINAL_SPEND_RUN, kind, report)
     save_model(spark, model_path, registry.FINAL_SPEND_MODEL, final.params, trained_at)
     return SpendTraining(l2, params, evaluation, gates, final.params)
 

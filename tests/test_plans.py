@@ -82,6 +82,17 @@ def test_training_leaves_models_and_logs(spark, flow):
     # The tuned penalty is logged, not the baseline's.
     assert logged["freq_best"]["l2_penalizer_coef"] == flow["frequency"].l2 != train.BASELINE_L2
     assert logged["freq_best"]["roc_auc"] is not None
+    for run in ("freq_best", "monetary_best"):
+        assert logged[run]["mse"] == pytest.approx(logged[run]["rmse"] ** 2)
+        assert 0 <= logged[run]["mae"] <= logged[run]["rmse"]
+    texts = registry.run_texts(registry.read_log(spark, flow["paths"]["log"]), ["model_type"]).collect()
+    assert {r["run_name"]: r["model_type"] for r in texts} == {
+        "freq_pareto_simple": "Pareto/NBD",
+        "freq_best": "Modified BG/NBD",
+        "freq_final": "Modified BG/NBD",
+        "monetary_best": "Gamma-Gamma",
+        "monetary_final": "Gamma-Gamma",
+    }
 
 
 def test_evaluation_tables(flow):

@@ -20,13 +20,45 @@ def test_model_versions(spark):
         registry.load_model(spark, path, "other")
 
 
+def test_versions_claimed_by_others_are_passed_over(spark):
+    path = scratch_path(spark, "models")
+    at = datetime(2024, 1, 1)
+    # Two writers that have read the same table: the second finds the number taken.
+    assert registry.claim_version(spark, path, "a/b m", 1)
+    assert not registry.claim_version(spark, path, "a/b m", 1)
+    assert registry.save_model(spark, path, "a/b m", {"r": 1.0}, at) == 2
+    assert registry.save_model(spark, path, "other", {"r": 1.0}, at) == 1
+    registry.append_models(spark.createDataFrame([("a/b m", 1, at, {"r": 9.0})], registry.MODEL_SCHEMA), path)
+    assert registry.load_model(spark, path, "a/b m") == {"r": 1.0}
+    assert registry.read_models(spark, path).count() == 3
+
+
+def test_models_at_a_limit_are_stored_as_they_are(spark):
+    path = scratch_path(spark, "models")
+    limit = {"p": 2.0, "q": float("inf"), "v": 20.0}
+    registry.save_model(spark, path, "spend", limit, datetime(2024, 1, 1))
+    assert registry.load_model(spark, path, "spend") == limit
+
+
 def test_run_log(spark):
     path = scratch_path(spark, "log")
-    registry.log_run(spark, path, "a", {"l2": 0.1}, {"mae": 1.5})
+    registry.log_run(spark, path, "a", {"l2": 0.1, "model_type": "x"}, {"mae": 1.5})
     registry.log_run(spark, path, "b", {"l2": 0.2}, {})
-    table = {r["run_name"]: r.asDict() for r in registry.run_table(registry.read_log(spark, path)).collect()}
+    log = registry.read_log(spark, path)
+    table = {r["run_name"]: r.asDict() for r in registry.run_table(log).collect()}
     assert table["a"] == {"run_name": "a", "l2": 0.1, "mae": 1.5}
     assert table["b"]["mae"] is None
+    texts = registry.run_texts(log, ["model_type"]).collect()
+    assert {r["run_name"]: r["model_type"] for r in texts} == {"a": "x", "b": None}
+
+
+def test_logs_without_text_are_still_read(spark):
+    path = scratch_path(spark, "log")
+    old = spark.createDataFrame([("a", "metric", "mae", 1.5)], "run_name string, kind string, key string, value double")
+    registry.append_log(old, path)
+    registry.log_run(spark, path, "b", {"model_type": "x"}, {"mae": 2.5})
+    table = registry.run_table(registry.read_log(spark, path)).collect()
+    assert sorted((r["run_name"], r["mae"]) for r in table) == [("a", 1.5), ("b", 2.5)]
 
 
 def test_csv_export(spark):
