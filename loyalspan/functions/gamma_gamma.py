@@ -10,10 +10,14 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from loyalspan.functions.sqltext import Number, ln_gamma, sql
+import numpy as np
+
+from loyalspan.functions.batches import Rows
+from loyalspan.functions.sqltext import Number, sql
 
 NAMES = ("p", "q", "v")
 ALIKE_NAMES = ("p", "mu")
+COLUMNS = ("x", "m")
 
 Params = Mapping[str, Number]
 
@@ -28,12 +32,16 @@ def expected_spend(params: Params, x="frequency", m="monetary_value") -> str:
     return alike if math.isinf(params["q"]) else own
 
 
-def row_log_likelihood(params: Params, x="x", m="m") -> str:
+def row_log_likelihood(params: Mapping[str, float], rows: Rows) -> np.ndarray:
     """The part of the log-likelihood that depends on the row; needs x > 0 and m > 0."""
-    p, q, v = (sql(params[name]) for name in NAMES)
+    p, q, v = (params[name] for name in NAMES)
+    x, m = rows.columns["x"], rows.columns["m"]
     return (
-        f"({ln_gamma(f'{p}*{x} + {q}')} - {ln_gamma(f'{p}*{x}')}"
-        f" + ({p}*{x} - 1)*ln({m}) + {p}*{x}*ln({x}) - ({p}*{x} + {q})*ln({x}*{m} + {v}))"
+        rows.ln_gamma("x", lambda x: p * x + q)
+        - rows.ln_gamma("x", lambda x: p * x)
+        + (p * x - 1) * rows.ln("m", lambda m: m)
+        + p * x * rows.ln("x", lambda x: x)
+        - (p * x + q) * rows.ln_of(x * m + v)
     )
 
 
@@ -42,15 +50,20 @@ def constant_log_likelihood(params: Mapping[str, float]) -> float:
     return params["q"] * math.log(params["v"]) - math.lgamma(params["q"])
 
 
-def alike_log_likelihood(params: Params, x="x", m="m") -> str:
+def alike_log_likelihood(params: Mapping[str, float], rows: Rows) -> np.ndarray:
     """``row_log_likelihood`` of the limit, its constant included."""
-    p, mu = (sql(params[name]) for name in ALIKE_NAMES)
+    p, mu = (params[name] for name in ALIKE_NAMES)
+    x, m = rows.columns["x"], rows.columns["m"]
     return (
-        f"({p}*{x}*ln({x}/{mu}) - {ln_gamma(f'{p}*{x}')} + ({p}*{x} - 1)*ln({m}) - {x}*{m}/{mu})"
+        p * x * rows.ln("x", lambda x: x / mu)
+        - rows.ln_gamma("x", lambda x: p * x)
+        + (p * x - 1) * rows.ln("m", lambda m: m)
+        - x * m / mu
     )
 
 
-def unlikeness_slope(params: Params, x="x", m="m") -> str:
+def unlikeness_slope(params: Mapping[str, float], rows: Rows) -> np.ndarray:
     """The slope of a row's log-likelihood by 1/q at q = infinity, v/q held: is the spread too wide?"""
-    p, mu = (sql(params[name]) for name in ALIKE_NAMES)
-    return f"((pow({x}*{m}/{mu} - {p}*{x}, 2) - {p}*{x})/2)"
+    p, mu = (params[name] for name in ALIKE_NAMES)
+    x, m = rows.columns["x"], rows.columns["m"]
+    return ((x * m / mu - p * x) ** 2 - p * x) / 2

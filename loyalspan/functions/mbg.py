@@ -17,9 +17,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
+import numpy as np
+
+from loyalspan.functions.batches import Rows
 from loyalspan.functions.sqltext import Number, let, ln_gamma, sql, struct_array, unit_interval_rule
 
 NAMES = ("r", "alpha", "a", "b")
+COLUMNS = ("x", "t_x", "T")
 DAYS_PER_MONTH = 30
 MONTHS_A_ROW = 6  # keeps the generated method small enough to be compiled, whatever the horizon
 
@@ -166,18 +170,23 @@ def discounted_if_alive(params: Params, months: Number, rate: Number, x="frequen
     return f"if({n} < 1, 0D, {let('nodes', posterior_nodes(params, x), total)})"
 
 
-def leaving_terms(params: Params, x: str, t_x: str, T: str) -> dict[str, str]:
-    """The log odds of having left, for ``row_log_likelihood``."""
-    return {"ln_odds": _ln_leaving_odds(params, x, t_x, T)}
-
-
-def row_log_likelihood(params: Params, x="x", t_x="t_x", T="T") -> str:
-    """The part that depends on the row, given the column of ``leaving_terms``."""
-    r, alpha, a, b = _unpack(params)
+def row_log_likelihood(params: Mapping[str, float], rows: Rows) -> np.ndarray:
+    """The part that depends on the row: its x, t_x and T."""
+    r, alpha, a, b = (params[name] for name in NAMES)
+    x = rows.columns["x"]
+    ln_T = rows.ln("T", lambda T: alpha + T)
+    ln_odds = (
+        (math.log(a) if a else -math.inf)
+        - rows.ln("x", lambda x: b + x)
+        + (r + x) * (ln_T - rows.ln("t_x", lambda t_x: alpha + t_x))
+    )
     return (
-        f"({ln_gamma(f'{r} + {x}')} + {ln_gamma(f'{b} + {x} + 1')}"
-        f" - {ln_gamma(f'{a} + {b} + {x} + 1')} - ({r} + {x})*ln({alpha} + {T})"
-        " + greatest(ln_odds, 0D) + log1p(exp(-abs(ln_odds))))"
+        rows.each("x", lambda x: r + x) * -ln_T
+        + rows.ln_gamma("x", lambda x: r + x)
+        + rows.ln_gamma("x", lambda x: b + x + 1)
+        - rows.ln_gamma("x", lambda x: a + b + x + 1)
+        + np.maximum(ln_odds, 0.0)
+        + np.log1p(np.exp(-np.abs(ln_odds)))
     )
 
 
@@ -187,9 +196,13 @@ def constant_log_likelihood(params: Mapping[str, float]) -> float:
     return r * math.log(alpha) - math.lgamma(r) - math.lgamma(b) + math.lgamma(a + b)
 
 
-def leaving_slope(params: Params, x="x", t_x="t_x", T="T") -> str:
-    """The slope of a row's log-likelihood by a at a = 0, given b; ``x`` is a whole number."""
-    r, alpha, _, b = _unpack({"a": 0.0, **params})
-    left = f"exp(({r} + {x})*(ln({alpha} + {T}) - ln({alpha} + {t_x})))/({b} + {x})"
-    stayed = f"aggregate(sequence(0, int({x})), 0D, (s, j) -> s + 1/({b} + j))"
-    return f"({left} - {stayed})"
+def leaving_slope(params: Mapping[str, float], rows: Rows) -> np.ndarray:
+    """The slope of a row's log-likelihood by a at a = 0, given b; x is a whole number."""
+    r, alpha, b = (params[name] for name in ("r", "alpha", "b"))
+    x = rows.columns["x"]
+    left = (r + x) * (rows.ln("T", lambda T: alpha + T) - rows.ln("t_x", lambda t_x: alpha + t_x))
+
+    def stayed(x: np.ndarray) -> np.ndarray:
+        return np.array([np.sum(1 / (b + np.arange(int(each) + 1))) for each in x])
+
+    return np.exp(left) / (b + x) - rows.each("x", stayed)

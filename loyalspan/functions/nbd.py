@@ -8,17 +8,19 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from loyalspan.functions.sqltext import Number, ln_gamma, sql
+import numpy as np
 
-NAMES = ("r", "alpha")
+from loyalspan.functions.batches import Rows
 
-Params = Mapping[str, Number]
+NAMES = ("r", "alpha")
+COLUMNS = ("x", "T")
 
 
-def row_log_likelihood(params: Params, x="x", T="T") -> str:
-    """The part of the log-likelihood that depends on the row."""
-    r, alpha = (sql(params[name]) for name in NAMES)
-    return f"({ln_gamma(f'{r} + {x}')} - ({r} + {x})*ln({alpha} + {T}))"
+def row_log_likelihood(params: Mapping[str, float], rows: Rows) -> np.ndarray:
+    """The part of the log-likelihood that depends on the row: its x and T."""
+    r, alpha = (params[name] for name in NAMES)
+    x = rows.columns["x"]
+    return rows.ln_gamma("x", lambda x: r + x) - (r + x) * rows.ln("T", lambda T: alpha + T)
 
 
 def constant_log_likelihood(params: Mapping[str, float]) -> float:

@@ -15,9 +15,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from loyalspan.functions.sqltext import Number, legendre_rule, let, ln_gamma, sql
+import numpy as np
+
+from loyalspan.functions.batches import Rows
+from loyalspan.functions.sqltext import Number, legendre_rule, let, sql
 
 NAMES = ("r", "alpha", "s", "beta")
+COLUMNS = ("x", "t_x", "T")
 
 _RULE = legendre_rule(20)
 _POWER = 8  # flattens the root singularity at q = 0
@@ -77,12 +81,38 @@ def expected_purchases(params: Params, t: Number, x="frequency", t_x="recency",
     return f"(({r} + {x})*({beta} + {T})/({alpha} + {T}) * {still_there} * {alive})"
 
 
-def row_log_likelihood(params: Params, x="x", t_x="t_x", T="T") -> str:
-    """The part that depends on the row, given the columns of ``leaving_terms``."""
-    r, alpha, s, beta = _unpack(params)
+def _batch_odds(params: Mapping[str, float], rows: Rows) -> np.ndarray:
+    """``leaving_odds`` of a batch."""
+    r, alpha, s, beta = (params[name] for name in NAMES)
+    low, high = min(alpha, beta), max(alpha, beta)
+    x, t_x = rows.columns["x"], rows.columns["t_x"]
+    k = r + x + s
+    ln_first = rows.ln("t_x", lambda t_x: low + t_x)
+    start = np.exp(-k / _POWER * (rows.ln("T", lambda T: low + T) - ln_first))
+    height = np.exp(
+        (r + x) * rows.ln("T", lambda T: alpha + T) + s * rows.ln("T", lambda T: beta + T) - k * ln_first
+    )
+    gap = (high - low) / (low + t_x)
+    power = s + 1 if beta >= alpha else r + x
+    root = _POWER / k
+    total = np.zeros_like(start)
+    for u, w in _RULE:
+        node = start + (1 - start) * u
+        bend = np.log(1 + gap * np.exp(root * np.log(node)))
+        square = node * node
+        total += w * (square * square * square * node) * np.exp(-power * bend)
+    return s / k * height * _POWER * (1 - start) * total
+
+
+def row_log_likelihood(params: Mapping[str, float], rows: Rows) -> np.ndarray:
+    """The part that depends on the row: its x, t_x and T."""
+    r, alpha, s, beta = (params[name] for name in NAMES)
+    x = rows.columns["x"]
     return (
-        f"({ln_gamma(f'{r} + {x}')} - ({r} + {x})*ln({alpha} + {T}) - {s}*ln({beta} + {T})"
-        f" + log1p({leaving_odds()}))"
+        rows.ln_gamma("x", lambda x: r + x)
+        - (r + x) * rows.ln("T", lambda T: alpha + T)
+        - s * rows.ln("T", lambda T: beta + T)
+        + rows.log1p_of(_batch_odds(params, rows))
     )
 
 
@@ -92,9 +122,9 @@ def constant_log_likelihood(params: Mapping[str, float]) -> float:
     return r * math.log(alpha) + s * math.log(beta) - math.lgamma(r)
 
 
-def leaving_slope(params: Params, x="x", t_x="t_x", T="T") -> str:
+def leaving_slope(params: Mapping[str, float], rows: Rows) -> np.ndarray:
     """The slope of a row's log-likelihood by s at s = 0, given beta."""
     tiny = 1e-9  # the odds of having left are s times a function that is smooth at 0
-    beta = sql(params["beta"])
-    odds = _row_odds({**params, "s": tiny}, x, t_x, T)
-    return f"({odds}/{sql(tiny)} - ln(({beta} + {T})/{beta}))"
+    beta = params["beta"]
+    odds = _batch_odds({**params, "s": tiny}, rows)
+    return odds / tiny - rows.ln("T", lambda T: (beta + T) / beta)

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Callable, Hashable
-from pathlib import Path
 from typing import Any
 
-from pyspark.sql import SparkSession
+from loyalspan.session import ship
 
-PACKAGE = Path(__file__).resolve().parent.parent
-SHIPPED: set[str] = set()
+__all__ = ["held", "let_go", "ship"]
 HELD: dict[Hashable, Any] = {}
 
 
@@ -29,20 +25,3 @@ def held(key: Hashable, build: Callable[[], Any]) -> Any:
 
 def let_go() -> None:
     HELD.clear()
-
-
-def ship(spark: SparkSession) -> None:
-    """Sends the package's source to the executors, once per application.
-
-    The archive is a file of the driver that Spark itself hands out to every executor, new ones
-    included; nothing reads it from a path.
-    """
-    context = spark.sparkContext
-    if context.applicationId in SHIPPED:
-        return
-    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{PACKAGE.name}.zip"
-    with zipfile.ZipFile(archive, "w") as target:
-        for path in sorted(PACKAGE.rglob("*.py")):
-            target.write(path, path.relative_to(PACKAGE.parent))
-    context.addPyFile(str(archive))
-    SHIPPED.add(context.applicationId)

@@ -1,8 +1,8 @@
 """Maximum-likelihood fitting as a short series of Spark aggregates.
 
 The optimiser asks for the mean log-likelihood at a handful of parameter points; one job answers
-for all points at once. Each row meets the points through a constant array, sums are combined
-before the shuffle, and only one number per point returns to the driver. Several penalties are
+for all points at once. Tasks work out a batch of rows at every point as arrays and send on one sum a
+point, and only one number per point returns to the driver. Several penalties are
 fitted side by side in the same jobs; of many, a few are fitted first and the rest start between
 their solutions.
 
@@ -17,17 +17,18 @@ at the limit is the optimum there, and a flat end means that a ridge of paramete
 from __future__ import annotations
 
 import itertools
-import json
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loyalspan.functions import gamma_gamma, mbg, nbd, pareto
-from loyalspan.session import materialise, spread
+from loyalspan.functions.batches import Rows
+from loyalspan.session import materialise, ship, spread
 
 STEP = 1e-3  # finite-difference step on the log scale
 LOWEST, HIGHEST = -12.0, 30.0  # bounds of the log-parameters; reaching one is reported
@@ -41,17 +42,17 @@ NEAR_ZERO, NEAR_INFINITY = math.exp(-8), 1e3  # beyond these a limit is tried
 class Likelihood:
     """How a model looks to the optimiser.
 
-    ``terms`` are columns that ``row_text`` refers to, ``constant`` is the part of the
+    ``by_row`` works out a batch of rows with ``columns``, ``constant`` is the part of the
     log-likelihood that is the same for every row, and ``in_days`` names the time-scaled
     parameters.
     """
 
     names: tuple[str, ...]
-    row_text: Callable[[Mapping[str, str]], str]
+    columns: tuple[str, ...]
+    by_row: Callable[[Mapping[str, float], Rows], np.ndarray]
     constant: Callable[[Mapping[str, float]], float]
     starts: tuple[tuple[float, ...], ...]
     in_days: tuple[str, ...] = ()
-    terms: Callable[[Mapping[str, str]], dict[str, str]] = lambda params: {}
     limit: Limit | None = None
 
 
@@ -73,15 +74,17 @@ class Limit:
     slope: Likelihood
 
 
-def _slope(names: tuple[str, ...], text: Callable[[Mapping[str, str]], str]) -> Likelihood:
-    return Likelihood(names, text, constant=lambda params: 0.0, starts=())
+def _slope(
+    names: tuple[str, ...], columns: tuple[str, ...], by_row: Callable[[Mapping[str, float], Rows], np.ndarray]
+) -> Likelihood:
+    return Likelihood(names, columns, by_row, constant=lambda params: 0.0, starts=())
 
 
 def _nobody_leaves(name: str, against: str, slope: Likelihood) -> Limit:
     """The limit where ``name`` vanishes, alone or in proportion to ``against``."""
     return Limit(
         gone=(name,),
-        model=Likelihood(nbd.NAMES, nbd.row_log_likelihood, nbd.constant_log_likelihood, starts=()),
+        model=Likelihood(nbd.NAMES, nbd.COLUMNS, nbd.row_log_likelihood, nbd.constant_log_likelihood, starts=()),
         near=lambda params, l2: params[name] < NEAR_ZERO * max(1.0, params[against]),
         enter=lambda params: (params["r"], params["alpha"]),
         leave=lambda point: {**point, name: 0.0},
@@ -91,33 +94,34 @@ def _nobody_leaves(name: str, against: str, slope: Likelihood) -> Limit:
 
 ALL_ALIKE = Limit(
     gone=("q", "v"),
-    model=_slope(gamma_gamma.ALIKE_NAMES, gamma_gamma.alike_log_likelihood),
+    model=_slope(gamma_gamma.ALIKE_NAMES, gamma_gamma.COLUMNS, gamma_gamma.alike_log_likelihood),
     # A penalty keeps q and v finite.
     near=lambda params, l2: l2 == 0 and params["q"] > NEAR_INFINITY,
     enter=lambda params: (params["p"], params["v"] / params["q"]),
     leave=lambda point: {"p": point["p"], "q": math.inf, "v": point["mu"]},
-    slope=_slope(gamma_gamma.ALIKE_NAMES, gamma_gamma.unlikeness_slope),
+    slope=_slope(gamma_gamma.ALIKE_NAMES, gamma_gamma.COLUMNS, gamma_gamma.unlikeness_slope),
 )
 MBG = Likelihood(
     mbg.NAMES,
+    mbg.COLUMNS,
     mbg.row_log_likelihood,
     mbg.constant_log_likelihood,
     starts=((0.3, 1.0, 3.0), (0.1, 0.6, 3.0), (0.1, 0.5, 1.5), (0.5, 2.0, 6.0)),
     in_days=("alpha",),
-    terms=lambda params: mbg.leaving_terms(params, "x", "t_x", "T"),
-    limit=_nobody_leaves("a", "b", _slope(("r", "alpha", "b"), mbg.leaving_slope)),
+    limit=_nobody_leaves("a", "b", _slope(("r", "alpha", "b"), mbg.COLUMNS, mbg.leaving_slope)),
 )
 PARETO = Likelihood(
     pareto.NAMES,
+    pareto.COLUMNS,
     pareto.row_log_likelihood,
     pareto.constant_log_likelihood,
     starts=((0.5, 2.0), (0.1, 0.6, 2.0), (0.2, 1.0), (1.0, 6.0)),
     in_days=("alpha", "beta"),
-    terms=lambda params: pareto.leaving_terms(params, "x", "t_x", "T"),
-    limit=_nobody_leaves("s", "beta", _slope(("r", "alpha", "beta"), pareto.leaving_slope)),
+    limit=_nobody_leaves("s", "beta", _slope(("r", "alpha", "beta"), pareto.COLUMNS, pareto.leaving_slope)),
 )
 GAMMA_GAMMA = Likelihood(
     gamma_gamma.NAMES,
+    gamma_gamma.COLUMNS,
     gamma_gamma.row_log_likelihood,
     gamma_gamma.constant_log_likelihood,
     starts=((0.1, 1.0, 3.0, 10.0), (0.1, 1.0, 3.0, 10.0), (0.01, 1.0, 100.0, 1e4, 1e6)),
@@ -140,6 +144,35 @@ class Fit:
         return self.stop == CONVERGED
 
 
+def _sums(model: Likelihood, points: Sequence[Mapping[str, float]]):
+    """The weighted sums of a task: (id, total, weight) for every point that has any row."""
+    columns, by_row = model.columns, model.by_row
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, weight = np.zeros(len(points)), np.zeros(len(points))
+        met = np.zeros(len(points), dtype=bool)
+        for batch in batches:
+            batch = batch.drop_null()
+            if not batch.num_rows:
+                continue
+            rows = Rows({name: batch.column(name).to_numpy() for name in columns})
+            weights = batch.column("weight").to_numpy()
+            with np.errstate(all="ignore"):
+                for i, params in enumerate(points):
+                    rows.start()
+                    values = by_row(params, rows)
+                    known = ~rows.unknown
+                    met[i] |= known.any()
+                    total[i] += np.sum((weights * values)[known])
+                    weight[i] += np.sum(weights[known])
+        ids = np.flatnonzero(met)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int32()), pa.array(total[ids]), pa.array(weight[ids])], ["id", "total", "weight"]
+        )
+
+    return run
+
+
 def mean_log_likelihood(
     rows: DataFrame, model: Likelihood, points: Sequence[Sequence[float]]
 ) -> np.ndarray:
@@ -147,29 +180,20 @@ def mean_log_likelihood(
 
     Rows without a likelihood (a null among their columns) count neither way.
     """
+    ship(rows.sparkSession)
     named = [dict(zip(model.names, map(float, point))) for point in points]
-    fields = ", ".join(f"{name}: double" for name in model.names)
-    table = F.from_json(
-        F.lit(json.dumps([{"id": i, **values} for i, values in enumerate(named)])),
-        f"array<struct<id: int, {fields}>>",
-    )
-    params = {name: f"point.{name}" for name in model.names}
-    text = model.row_text(params)
+    columns = [F.col(name).cast("double").alias(name) for name in (*model.columns, "weight")]
     sums = (
-        rows.withColumn("point", F.explode(table))
-        .select("*", *[F.expr(term).alias(name) for name, term in model.terms(params).items()])
-        .select(F.col("point.id").alias("id"), "weight", F.expr(text).alias("value"))
+        rows.select(*columns)
+        .mapInArrow(_sums(model, named), "id int, total double, weight double")
         .groupBy("id")
-        .agg(
-            F.sum(F.col("weight") * F.col("value")).alias("total"),
-            F.sum(F.when(F.col("value").isNotNull(), F.col("weight"))).alias("weight"),
-        )
+        .agg(F.sum("total").alias("total"), F.sum("weight").alias("weight"))
         .collect()  # one row per point
     )
     values = np.full(len(points), -np.inf)
     for row in sums:
         total = row["total"]
-        if total is not None and math.isfinite(total):
+        if math.isfinite(total):
             values[row["id"]] = total / row["weight"] + model.constant(named[row["id"]])
     return values
 
