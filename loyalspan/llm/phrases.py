@@ -10,9 +10,11 @@ one word shorter are frequent. Which ones are is told by bitmaps of ``SLOTS`` bi
 size does not depend on the data. Two phrases that share a bit only let more be counted than needed:
 what counts in the end is the exact number of each phrase.
 
-Stripes of prefixes that are met ``HOT`` times or more, and the one without a prefix, are cut into
-``PARTS`` by their next word, so no task has to hold a whole one. Counters of a task are sent on when
-they reach ``HELD_ENTRIES`` entries or ``HELD_WORDS`` words.
+Stripes travel in blocks: a task sends one row for each of ``PARTS`` parts of a language, with all its
+stripes of that part, so the rows of a task do not grow with the phrases it meets. The part is told by
+the prefix; stripes of prefixes that are met ``HOT`` times or more, and the one without a prefix, are
+cut by their next word, so no task has to hold a whole one. Counters of a task are sent on when they
+reach ``HELD_ENTRIES`` entries or ``HELD_WORDS`` words.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ SLOTS = 1 << 25
 BITMAP = 1 << 15  # bits of one row of Spark's bitmap aggregate
 STEP = 1_000_003
 HOT = 1 << 20
-PARTS = 64
+PARTS = 1024
 HELD_ENTRIES = 1 << 21
 HELD_WORDS = 1 << 20
 CHUNK_BYTES = 1 << 21
@@ -47,7 +49,7 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 END = b"\xff"
 TO_END = bytes.maketrans(PIECE_ENDS, END * len(PIECE_ENDS))
 
-STRIPE = "lang string, prefix string, part int, nexts array<string>, counts array<long>"
+BLOCK = "lang string, part int, prefixes array<string>, heads array<int>, nexts array<string>, counts array<long>"
 
 
 def has_bit(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
@@ -144,7 +146,7 @@ class Counter:
         return self.held > HELD_ENTRIES or len(self.numbers.words) > HELD_WORDS
 
     def stripes(self) -> Iterator[pa.RecordBatch]:
-        """What was counted, as stripes; then counting starts again."""
+        """What was counted, as stripes ordered by part; then counting starts again."""
         names = pa.array(self.numbers.words, pa.binary())
         if self.size == 1:
             counts = self.counts()
@@ -159,18 +161,23 @@ class Counter:
                 yield from self._rows(names, prefix, words[self.size - 1], times)
         self.start()
 
-    def _hot(self, prefix: np.ndarray) -> np.ndarray:
-        if self.size == 1:
-            return np.ones(len(prefix), dtype=bool)
-        return has_bit(self.bits[-1][1], self.slots(list(prefix.T[: self.size - 1])))
+    def _parts(self, prefix: np.ndarray, nexts: np.ndarray) -> np.ndarray:
+        parts = (self.crc % PARTS).astype(np.int32)[nexts]
+        if self.size > 1:
+            slots = self.slots(list(prefix.T[: self.size - 1]))
+            cold = ~has_bit(self.bits[-1][1], slots)
+            parts[cold] = slots[cold] % PARTS
+        return parts
 
     def _rows(self, words: pa.Array, prefix: np.ndarray, nexts: np.ndarray, times: np.ndarray):
-        part = np.where(self._hot(prefix), self.crc[nexts] % PARTS, 0)
-        order = np.lexsort((part, *prefix.T[::-1]))
+        part = self._parts(prefix, nexts)
+        order = np.argsort(part, kind="stable")  # by prefix they are in order already
         prefix, part, nexts, times = prefix[order], part[order], nexts[order], times[order]
-        key = np.column_stack([prefix, part])
-        starts = np.flatnonzero(np.any(np.diff(key, axis=0, prepend=-1) != 0, axis=1))
-        ends = np.append(starts[1:], len(key))
+        new = np.diff(part, prepend=-1) != 0
+        for column in prefix.T:
+            new |= np.diff(column, prepend=-1) != 0
+        starts = np.flatnonzero(new)
+        ends = np.append(starts[1:], len(part))
         first = 0
         while first < len(starts):
             last = max(first + 1, int(np.searchsorted(ends, starts[first] + SENT_ENTRIES, "right")))
@@ -184,7 +191,7 @@ class Counter:
                 [
                     pa.array([self.lang] * (last - first)),
                     pa.array(text, pa.string()),
-                    pa.array(part[starts[first:last]], pa.int32()),
+                    pa.array(part[starts[first:last]]),
                     pa.ListArray.from_arrays(offsets, spelled),
                     pa.ListArray.from_arrays(offsets, pa.array(times[begin:end])),
                 ],
@@ -193,6 +200,24 @@ class Counter:
             first = last
 
 
+def in_blocks(stripes: pa.RecordBatch) -> pa.RecordBatch:
+    """Stripes of one language, ordered by part, as one row a part; ``heads`` number an entry's prefix."""
+    part = stripes.column("part").to_numpy()
+    first = np.flatnonzero(np.diff(part, prepend=-1))
+    block = np.append(first, len(part))
+    ends = stripes.column("nexts").offsets.to_numpy()
+    within = np.arange(len(part)) - np.repeat(first, np.diff(block))
+    held = {
+        "prefixes": (block, stripes.column("prefix")),
+        "heads": (ends[block], pa.array(np.repeat(within, np.diff(ends)), pa.int32())),
+        "nexts": (ends[block], stripes.column("nexts").values),
+        "counts": (ends[block], stripes.column("counts").values),
+    }
+    lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), values) for at, values in held.values()]
+    keys = [stripes.column(name).take(pa.array(first)) for name in ("lang", "part")]
+    return pa.RecordBatch.from_arrays([*keys, *lists], ["lang", "part", *held])
+
+
 def _count(size: int, shared: list):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
@@ -217,20 +242,23 @@ def _count(size: int, shared: list):
                         counters[name] = Counter(name, size, bits)
                     counters[name].add(END.join(texts) + END)
                     if counters[name].full():
-                        yield from counters[name].stripes()
+                        yield from map(in_blocks, counters[name].stripes())
         for counter in counters.values():
-            yield from counter.stripes()
+            yield from map(in_blocks, counter.stripes())
 
     return run
 
 
 def merged(texts: DataFrame, size: int, shared: list) -> DataFrame:
     """(lang, prefix, next, f): the entries of all stripes of one pass over (__lang, __text)."""
-    stripes = texts.mapInArrow(_count(size, shared), STRIPE)
-    # Dealt as stripes, so a prefix travels once; its entries are then added up where they are.
-    placed = stripes.repartition("lang", "prefix", "part")
-    entries = placed.select("lang", "prefix", "part", F.inline(F.arrays_zip("nexts", "counts")))
-    return entries.groupBy("lang", "prefix", "part", F.col("nexts").alias("next")).agg(F.sum("counts").alias("f")).drop("part")
+    blocks = texts.mapInArrow(_count(size, shared), BLOCK)
+    # Dealt as blocks, so a prefix travels once; their entries are then added up where they are.
+    placed = blocks.repartition("lang", "part")
+    entries = placed.select("lang", "part", "prefixes", F.inline(F.arrays_zip("heads", "nexts", "counts")))
+    entries = entries.select(
+        "lang", "part", F.get("prefixes", "heads").alias("prefix"), F.col("nexts").alias("next"), "counts"
+    )
+    return entries.groupBy("lang", "part", "prefix", "next").agg(F.sum("counts").alias("f")).drop("part")
 
 
 def _bits(rows: DataFrame) -> bytes:

@@ -106,3 +106,23 @@ def test_counters_that_overflow_lose_nothing(monkeypatch, size):
         for i in range(len(words) - size + 1):
             wanted[" ".join(words[i : i + size - 1]), words[i + size - 1]] += 1
     assert got == wanted
+
+
+def test_rows_of_a_task_do_not_grow_with_the_phrases(monkeypatch):
+    """A task sends one row a part, and its blocks hold all its stripes."""
+    monkeypatch.setattr(phrases, "PARTS", 4)
+    draw = random.Random(5)
+    bits = (np.full(phrases.SLOTS // 8, 255, np.uint8), np.zeros(phrases.SLOTS // 8, np.uint8))
+    counter = phrases.Counter("en", 3, [bits] * 2)
+    texts = [" ".join(str(draw.randrange(200)) for _ in range(30)) for _ in range(100)]
+    wanted = Counter()
+    for words in map(str.split, texts):
+        counter.add(" ".join(words).encode() + phrases.END)
+        wanted.update(zip(words, words[1:], words[2:]))
+    rows = [row for batch in map(phrases.in_blocks, counter.stripes()) for row in batch.to_pylist()]
+    assert len(rows) == len({row["part"] for row in rows}) == 4
+    got = Counter()
+    for row in rows:
+        for head, following, times in zip(row["heads"], row["nexts"], row["counts"], strict=True):
+            got[*row["prefixes"][head].split(), following] += times
+    assert got == wanted
