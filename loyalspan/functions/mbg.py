@@ -181,10 +181,10 @@ def row_log_likelihood(params: Mapping[str, float], rows: Rows) -> np.ndarray:
         + (r + x) * (ln_T - rows.ln("t_x", lambda t_x: alpha + t_x))
     )
     return (
-        rows.each("x", lambda x: r + x) * -ln_T
-        + rows.ln_gamma("x", lambda x: r + x)
+        rows.ln_gamma("x", lambda x: r + x)
         + rows.ln_gamma("x", lambda x: b + x + 1)
         - rows.ln_gamma("x", lambda x: a + b + x + 1)
+        - (r + x) * ln_T
         + np.maximum(ln_odds, 0.0)
         + np.log1p(np.exp(-np.abs(ln_odds)))
     )
