@@ -7,7 +7,8 @@ begun, each with its path in the vocabulary's prefix tree and with the tokens th
 sets of positions are the states of the transducer. A move is determinised, and kept in a bounded
 memory, when it is met for the ``VISITS``th time. Before that, the piece runs through the nondeterministic
 machine depth first, longest token first, since most moves of rare words are never met again; of the
-positions it tries, one that led nowhere is not tried again. The deterministic machine emits a token as
+positions it tries, one that led nowhere is not tried again. The pieces of a block of texts that do so
+run in step, as arrays (``Together``). The deterministic machine emits a token as
 soon as all positions agree on it, a bounded lookahead behind the byte just read.
 
 Decoding. Bytes of the tokens run through an incremental UTF-8 state machine, whose state is an
@@ -22,6 +23,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +38,11 @@ WORDS_KEPT = 200_000
 MARKS = ",.;:!?"
 OTHER_LETTERS = "\u0250"  # letters below are told alike by all versions of Unicode
 ROWS = 64
+BLOCK = 1 << 20  # bytes of text that are encoded together, or one row
+FEW = 48  # so few pieces are run one by one
+LONG = 4096  # bytes of a piece that is run alone
+SLOTS = 1 << 20  # pairs kept beside each other
+UNKNOWN = -2
 NEVER = 1 << 62
 # White space other than the six ASCII ones. By it, texts cannot be cut at blanks.
 OTHER_SPACES = (
@@ -87,6 +94,7 @@ class Transducer:
         self.pairs: dict[int, bool] = {}
         self.splits: dict[bytes, tuple[bytes, bytes] | None] = {}
         self.regular = True
+        self.together: Together | None = None
         self.states: dict[tuple, State] = {}
         self._forget()
 
@@ -225,6 +233,23 @@ class Transducer:
         return move
 
     def encode(self, piece: bytes) -> list[int]:
+        ids = self._walk(piece)
+        return self._run(piece) if ids is None else ids
+
+    def encode_all(self, pieces: list[bytes]) -> list[bytes]:
+        """The packed ids of each piece. Pieces that leave the deterministic machine run together."""
+        packed, left = [], []
+        for k, piece in enumerate(pieces):
+            ids = self._walk(piece)
+            if ids is None and len(piece) <= LONG:
+                left.append(k)
+            packed.append(array("i", self._run(piece) if ids is None and len(piece) > LONG else ids or ()).tobytes())
+        for k, ids in zip(left, self._run_all([pieces[k] for k in left])):
+            packed[k] = ids
+        return packed
+
+    def _walk(self, piece: bytes) -> list[int] | None:
+        """The deterministic machine; none where a move is not determinised yet."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
@@ -238,7 +263,7 @@ class Transducer:
                 if met < VISITS:
                     state[byte] = MET[met]
                     self.kept += met == 1
-                    return self._run(piece)
+                    return None
                 move = self._move(state, byte)
             state, out = move
             if out:
@@ -304,6 +329,200 @@ class Transducer:
                 return ids
             begin, left = end, token
 
+    def _run_all(self, pieces: list[bytes]) -> list[bytes]:
+        """:meth:`_run` for many pieces in step: each array holds a value a piece.
+
+        Positions count through all pieces; a byte between them keeps the end of one apart from the
+        beginning of the next.
+        """
+        if len(pieces) < FEW:
+            return [array("i", self._run(piece)).tobytes() for piece in pieces]
+        if self.together is None:
+            self.together = Together(self)
+        tokens, late = self.together.run(pieces)
+        ends = np.cumsum([len(piece) + 1 for piece in pieces])
+        counts = np.cumsum(tokens >= 0)[ends - 1] * tokens.itemsize
+        packed = tokens[tokens >= 0].tobytes()
+        out = [packed[a:b] for a, b in zip([0, *counts.tolist()], counts.tolist())]
+        for k in late:
+            out[k] = array("i", self._run(pieces[k])).tobytes()
+        return out
+
+
+class Together:
+    """The nondeterministic machine over many pieces at once, depth first like ``Transducer._run``.
+
+    A part is a token by its rank, or a single byte by a number behind all ranks.
+    """
+
+    def __init__(self, transducer: Transducer):
+        self.transducer = transducer
+        ranks = transducer.ranks
+        self.bytes_from = max(ranks.values()) + 1
+        parts = self.bytes_from + 256
+        self.sizes = np.zeros(parts, dtype=np.int64)
+        self.shorter = np.full(parts, -1, dtype=np.int64)
+        self.born = np.full(parts, -1, dtype=np.int64)
+        self.part = np.arange(parts)  # of a token
+        for token, rank in ranks.items():
+            self.sizes[rank] = len(token)
+            self.shorter[rank] = transducer.shorter[rank]
+            if len(token) > 1:
+                self.born[rank] = rank
+            else:
+                self.part[rank] = self.bytes_from + token[0]
+        self.first = np.full(parts, UNKNOWN, dtype=np.int64)  # the two parts of a part; -1: none
+        self.second = np.full(parts, UNKNOWN, dtype=np.int64)
+        self._tree()
+        self._joins()
+        self.pairs = np.full(SLOTS, -1, dtype=np.int64)  # twice a pair, plus one if it fits
+
+    def _tree(self) -> None:
+        """Moves of the prefix tree as a table; nodes that lead on have the smallest numbers."""
+        tree, facts = self.transducer.tree, np.array(self.transducer.facts, dtype=np.int64)
+        inner = facts & 1 == 1
+        inner[0] = True
+        number = np.empty(len(facts), dtype=np.int64)
+        self.inner = int(inner.sum())
+        number[inner] = np.arange(self.inner)
+        number[~inner] = np.arange(self.inner, len(facts))
+        self.token_at = np.empty(len(facts), dtype=np.int64)
+        self.token_at[number] = facts >> 1
+        keys = np.fromiter(tree.keys(), np.int64, len(tree))
+        nodes = np.fromiter(tree.values(), np.int64, len(tree))
+        self.table = np.zeros(self.inner << 8, dtype=np.int32)  # 0: no such move
+        self.table[number[keys >> 8] << 8 | keys & 255] = number[nodes]
+
+    def _joins(self) -> None:
+        """All pairs of parts that make a token, sorted, with its rank."""
+        ranks, bytes_from = self.transducer.ranks, self.bytes_from
+        part_of = {bytes([byte]): bytes_from + byte for byte in range(256)}
+        part_of = {**ranks, **part_of}
+        pairs, made = [], []
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                one = part_of.get(token[:cut])
+                if one is not None:
+                    other = part_of.get(token[cut:])
+                    if other is not None:
+                        pairs.append(one << 32 | other)
+                        made.append(rank)
+        order = np.argsort(np.array(pairs, dtype=np.int64))
+        self.joins = np.append(np.array(pairs, dtype=np.int64)[order], NEVER)
+        self.made = np.append(np.array(made, dtype=np.int64)[order], NEVER)
+
+    def run(self, pieces: list[bytes]) -> tuple[np.ndarray, list[int]]:
+        """The token that begins at each position (-1: none), and the pieces that were left over."""
+        data = np.frombuffer(b"\0".join(pieces) + b"\0", dtype=np.uint8).astype(np.int64)
+        ends = np.cumsum([len(piece) + 1 for piece in pieces]) - 1
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        tokens = np.full(len(data), -1, dtype=np.int32)
+        before = np.full(len(data), -1, dtype=np.int64)  # the token that ends at a position
+        dead = np.zeros(len(data), dtype=bool)
+        piece, begin, end = np.arange(len(pieces)), starts.copy(), ends
+        left, token = np.full(len(pieces), -1), self._longest(data, begin, end)
+        while len(piece) >= FEW:
+            back = np.flatnonzero(token < 0)
+            if len(back):  # nothing fits here: give up the token before
+                dead[begin[back]] = True
+                lost = left[back]
+                if (lost < 0).any():
+                    raise ValueError(f"the vocabulary has no tokens for {pieces[piece[back[lost < 0][0]]]!r}")
+                begin[back] -= self.sizes[lost]
+                tokens[begin[back]] = -1
+                left[back] = before[begin[back]]
+                token[back] = self.shorter[lost]
+            after = begin + self.sizes[token]
+            good = token >= 0
+            good &= ~dead[np.where(good, after, 0)]
+            asked = np.flatnonzero(good)
+            good[asked] = self._fits(left[asked], token[asked])
+            bad = np.flatnonzero(~good & (token >= 0))
+            token[bad] = self.shorter[token[bad]]
+            on = np.flatnonzero(good)
+            tokens[begin[on]] = token[on]
+            before[after[on]] = token[on]
+            begin[on] = after[on]
+            left[on] = token[on]
+            more = on[begin[on] < end[on]]
+            token[more] = self._longest(data, begin[more], end[more])
+            if len(more) < len(on):
+                stay = begin < end
+                piece, begin, end, left, token = piece[stay], begin[stay], end[stay], left[stay], token[stay]
+        for k in piece:
+            tokens[starts[k] : ends[k]] = -1
+        return tokens, piece.tolist()
+
+    def _longest(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The longest token at each position (-1: none)."""
+        longest = np.full(len(begin), -1)
+        at, who, node = begin, np.arange(len(begin)), np.zeros(len(begin), dtype=np.int64)
+        while len(who):
+            node = self.table[node << 8 | data[at]].astype(np.int64)
+            token = self.token_at[node]
+            found = np.flatnonzero((token >= 0) & (node > 0))
+            longest[who[found]] = token[found]
+            at = at + 1
+            on = np.flatnonzero((node > 0) & (node < self.inner) & (at < end[who]))
+            at, who, node = at[on], who[on], node[on]
+        return longest
+
+    def _fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``Transducer.fits`` of many pairs; what was asked of late is kept."""
+        asked = (left + 1) << 32 | right
+        slot = (asked * 0x1E3779B97F4A7C15 >> 40) & (SLOTS - 1)
+        kept = self.pairs[slot]
+        out = kept & 1 == 1
+        new = np.flatnonzero(kept >> 1 != asked)
+        if len(new):
+            pairs, back = np.unique(asked[new], return_inverse=True)
+            out[new] = self._told((pairs >> 32) - 1, pairs & 0xFFFFFFFF)[back]
+            self.pairs[slot[new]] = asked[new] << 1 | out[new]
+        return out
+
+    def _told(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        x, y = self.part[left], self.part[right]
+        self._split(y)
+        out = (self.first[y] >= 0) | (y >= self.bytes_from)
+        who = np.flatnonzero(out & (left >= 0))
+        x, y = x[who], y[who]
+        x_ends, y_ends = np.full(len(who), NEVER), np.full(len(who), NEVER)
+        inner = who
+        while len(who):
+            rank = self._made(x, y)
+            joined = (rank < x_ends) & (rank <= y_ends) & (rank != NEVER)
+            out[who[joined]] = False
+            x_born, y_born = self.born[x], self.born[y]
+            on = np.flatnonzero(~joined & ((x_born >= 0) | (y_born >= 0)))
+            who, x, y, x_ends, y_ends, x_born, y_born = (
+                values[on] for values in (who, x, y, x_ends, y_ends, x_born, y_born)
+            )
+            older = x_born > y_born
+            self._split(np.where(older, x, y))
+            x_ends, y_ends = np.where(older, x_born, x_ends), np.where(older, y_ends, y_born)
+            x, y = np.where(older, self.second[x], x), np.where(older, y, self.first[y])
+        if not self.transducer.regular:
+            fits = self.transducer.fits
+            out[inner] = [fits(a, b) for a, b in zip(left[inner].tolist(), right[inner].tolist())]
+        return out
+
+    def _split(self, parts: np.ndarray) -> None:
+        """Looks up the two parts of ``parts`` that were not asked for before."""
+        for part in set(parts[self.first[parts] == UNKNOWN].tolist()):
+            two = None
+            if part < self.bytes_from:
+                two = self.transducer.split(self.transducer.bytes_of[part])
+            self.first[part], self.second[part] = map(self._part, two) if two else (-1, -1)
+
+    def _part(self, part: bytes) -> int:
+        return self.transducer.ranks[part] if len(part) > 1 else self.bytes_from + part[0]
+
+    def _made(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The rank of the token that two parts make (``NEVER``: none)."""
+        asked = x << 32 | y
+        at = np.searchsorted(self.joins, asked)
+        return np.where(self.joins[at] == asked, self.made[at], NEVER)
+
 
 class Encoder:
     """Cuts texts into the matches of a pattern and encodes each on its own.
@@ -318,56 +537,64 @@ class Encoder:
         self.known: dict[str, bytes] = {}  # of words with the blank before them
         self.before: dict[str, bytes] = {}
         self.matches: dict[str, bytes] = {}  # of other matches
-        self.marks: dict[str, bytes] = {}  # of single marks that may end a word
-        if all(self.pattern.findall(f" ab{mark}") == [" ab", mark] for mark in MARKS):
-            self.marks = {mark: self._match(mark) for mark in MARKS}
-        self.line = self._match("\n") if self.pattern.findall("a\nb") == ["a", "\n", "b"] else b""
-
-    def _match(self, match: str) -> bytes:
-        packed = array("i", self.transducer.encode(match.encode())).tobytes()
-        if len(match) < 64:
-            self.matches[match] = packed
-        return packed
+        # Single marks that may end a word.
+        alone = all(self.pattern.findall(f" ab{mark}") == [" ab", mark] for mark in MARKS)
+        self.marks = set(MARKS) if alone else set()
+        self.line = self.pattern.findall("a\nb") == ["a", "\n", "b"]
 
-    def _matches(self, text: str) -> bytes:
-        if len(self.matches) > WORDS_KEPT:
-            self.matches.clear()
-        known = self.matches
-        if text.isalpha() and max(text) < OTHER_LETTERS:
-            return known.get(text) or self._match(text)
-        return b"".join([known.get(m) or self._match(m) for m in self.pattern.findall(text)])
-
-    def _word(self, word: str) -> bytes:
-        """Of a blank and letters."""
-        packed = self.before.get(word)
-        if packed is None:
-            packed = array("i", self.transducer.encode(b" " + word.encode())).tobytes()
-        if len(word) < 64:
-            self.known[word] = packed
-        return packed
+    @staticmethod
+    def _plain(word: str) -> bool:
+        """Whether a blank and ``word`` are one match, since it is of Latin letters."""
+        return word.isalpha() and (word.isascii() or max(word) < OTHER_LETTERS)
 
-    def _pack(self, piece: str) -> bytes:
-        """Of a blank and the visible characters after it.
+    def _parts(self, piece: str) -> list[str]:
+        """The matches in a blank and the visible characters after it.
 
         Latin letters are one match with their blank, a mark behind them and a line end between
         visible characters are matches of their own. Everything else goes through the pattern.
         """
-        if piece.isalpha() and max(piece) < OTHER_LETTERS:
-            return self._word(piece)
-        mark = self.marks.get(piece[-1:])
-        if mark:
-            word = piece[:-1]
-            packed = self.known.get(word)
-            if packed:
-                return packed + mark
-            if word.isalpha() and max(word) < OTHER_LETTERS:
-                return self._word(word) + mark
+        if self._plain(piece):
+            return [" " + piece]
+        if piece[-1:] in self.marks and self._plain(piece[:-1]):
+            return [" " + piece[:-1], piece[-1]]
         if self.line and piece.count("\n") == 1:
             left, right = piece.split("\n")
             if left and right and not left[-1].isspace() and not right[0].isspace():
-                return (self.known.get(left) or self._pack(left)) + self.line + self._matches(right)
+                return [*self._parts(left), "\n", *self._matches(right)]
         return self._matches(" " + piece)
 
+    def _matches(self, text: str) -> list[str]:
+        return [text] if self._plain(text) else self.pattern.findall(text)
+
+    def _codes(self, words: set[str], matches: set[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """The packed ids of plain words with the blank before them, and of other matches.
+
+        What is not known is encoded together, and kept if it is short.
+        """
+        known, before, kept = self.known, self.before, self.matches
+        coded, codes = {}, {}
+        for word in words:
+            packed = known.get(word)
+            if packed is None and (packed := before.get(word)) is not None:
+                known[word] = packed
+            coded[word] = packed
+        for match in matches:
+            packed = kept.get(match)
+            if packed is None and match[:1] == " ":
+                packed = known.get(match[1:]) or before.get(match[1:])
+            codes[match] = packed
+        new = [word for word, packed in coded.items() if packed is None]
+        others = [match for match, packed in codes.items() if packed is None]
+        pieces = [b" " + word.encode() for word in new] + [match.encode() for match in others]
+        packed = self.transducer.encode_all(pieces)
+        for keys, values, all_of, keep in (
+            (new, packed[: len(new)], coded, known),
+            (others, packed[len(new) :], codes, kept),
+        ):
+            all_of.update(zip(keys, values))
+            keep.update((key, value) for key, value in zip(keys, values) if len(key) < 64)
+        return coded, codes
+
     @staticmethod
     def cut_at_blanks(text: str) -> bool:
         """Whether every blank stands between visible characters, and there is no unusual white space."""
@@ -378,21 +605,45 @@ class Encoder:
         return not ("  " in text or " \n" in text or "\n " in text)
 
     def encode(self, text: str) -> np.ndarray:
-        """The ids of a text.
+        """The ids of a text."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text.
 
         A match never runs from a visible character into white space, and what matches in white
         space depends on it and the next character only. Single blanks between visible characters
         are therefore cuts; texts with a blank beside other white space or at the end, or with unusual
         white space, are matched whole.
         """
-        if not self.cut_at_blanks(text):
-            return np.frombuffer(self._matches(text), dtype=np.int32)
         if len(self.known) > WORDS_KEPT:
             self.before, self.known = self.known, {}
-        first, *pieces = text.split(" ")
-        known, pack = self.known, self._pack
-        packed = [known.get(p) or pack(p) for p in pieces]
-        return np.frombuffer(self._matches(first) + b"".join(packed), dtype=np.int32)
+        if len(self.matches) > WORDS_KEPT:
+            self.matches.clear()
+        known, marks, plain = self.known, self.marks, self._plain
+        cuts = [text.split(" ") if self.cut_at_blanks(text) else [text] for text in texts]
+        heads = [self._matches(cut.pop(0)) for cut in cuts]
+        packed: dict[str, bytes] = {}  # of each piece behind a blank
+        words, marked, parts = set(), [], {}
+        for piece in set().union(*cuts):
+            ids = known.get(piece)
+            if ids is not None:
+                packed[piece] = ids
+            elif plain(piece):
+                words.add(piece)
+            elif piece[-1:] in marks and ((word := piece[:-1]) in known or plain(word)):
+                marked.append(piece)
+                words.add(word)
+            else:
+                parts[piece] = self._parts(piece)
+        coded, codes = self._codes(words, marks.union(*heads, *parts.values()))
+        packed.update(coded)
+        for piece in marked:
+            packed[piece] = coded[piece[:-1]] + codes[piece[-1]]
+        for piece, matches in parts.items():
+            packed[piece] = b"".join([codes[match] for match in matches])
+        rows = [b"".join([*map(codes.__getitem__, a), *map(packed.__getitem__, b)]) for a, b in zip(heads, cuts)]
+        return [np.frombuffer(row, dtype=np.int32) for row in rows]
 
 
 class Utf8Machine:
@@ -451,12 +702,13 @@ class Decoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.moves: dict[bytes, dict[int, tuple[str, bytes]]] = {b"": {}}
-        # Moves from the state between characters back to it: tokens of whole characters.
-        self.whole: dict[int, str] = {}
+        # Moves from the state between characters back to it: texts of the tokens of whole characters.
+        self.whole = np.full(max(self.bytes_of, default=-1) + 1, None, dtype=object)
         for rank, token in self.bytes_of.items():
             text, pending = Utf8Machine.feed(b"", token)
             if not pending:
                 self.whole[rank] = text
+        self.odd = np.array([text is None for text in self.whole], dtype=bool)
 
     def stream(self, ids: Iterable[int]) -> Iterator[str]:
         pending = b""
@@ -474,12 +726,35 @@ class Decoder:
         if pending:
             yield "�"
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of all ids at once. Ids that all move between whole characters are looked up alone."""
-        try:
-            return "".join(map(self.whole.__getitem__, ids))
-        except KeyError:
-            return "".join(self.stream(ids))
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of all ids at once.
+
+        Between characters, ids that end between characters again are looked up alone; the others
+        and what follows them, up to the end of a character, go through the machine.
+        """
+        if not len(ids) or ids.min() < 0 or ids.max() >= len(self.whole):
+            return "".join(self.stream(ids.tolist()))
+        texts = self.whole[ids].tolist()
+        odd = np.flatnonzero(self.odd[ids]).tolist()
+        if not odd:
+            return "".join(texts)
+        out, at, pending, moves = [], 0, b"", self.moves
+        for begin in odd:
+            if begin < at:
+                continue
+            out += texts[at:begin]
+            for at in range(begin, len(texts)):
+                token = int(ids[at])
+                move = moves[pending].get(token)
+                if move is None:
+                    move = moves[pending][token] = Utf8Machine.feed(pending, self.bytes_of[token])
+                    moves.setdefault(move[1], {})
+                text, pending = move
+                out.append(text)
+                if not pending:
+                    break
+            at += 1
+        return "".join(out + texts[at:]) + ("�" if pending else "")
 
 
 def _lines(path: str) -> bytes:
@@ -504,6 +779,19 @@ def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield whole.slice(begin, ROWS)
 
 
+def _blocks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``BLOCK`` bytes of text, of one row at least."""
+    for whole in batches:
+        sizes = pc.fill_null(pc.binary_length(whole.column(text)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes + 64, dtype=np.int64)  # rows without text count a little
+        begin = 0
+        while begin < whole.num_rows:
+            done = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, done + BLOCK, side="right")))
+            yield whole.slice(begin, end - begin)
+            begin = end
+
+
 def encode(
     df: DataFrame, vocabulary: str, pattern: str, text: str = "text", to: str = "tokens"
 ) -> DataFrame:
@@ -521,8 +809,8 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines = shared.value
         encoder = held(("encoder", lines, pattern), lambda: Encoder(read_ranks(lines), pattern))
-        for batch in _sliced(batches):
-            column = _list_column([encoder.encode(t.as_py() or "") for t in batch.column(text)])
+        for batch in _blocks(batches, text):
+            column = _list_column(encoder.encode_all([t or "" for t in batch.column(text).to_pylist()]))
             yield pa.RecordBatch.from_arrays([*map(batch.column, names), column], schema.names)
 
     return df.mapInArrow(run, schema)
@@ -541,7 +829,8 @@ def decode(df: DataFrame, vocabulary: str, tokens: str = "tokens", to: str = "de
         decoder = held(("decoder", lines), lambda: Decoder(read_ranks(lines)))
         for batch in _sliced(batches):
             lists = batch.column(tokens)
-            texts = [decoder.decode(v.values.to_pylist() if v.is_valid else []) for v in lists]
+            none = np.empty(0, dtype=np.int32)
+            texts = [decoder.decode(v.values.to_numpy(zero_copy_only=False) if v.is_valid else none) for v in lists]
             column = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([*map(batch.column, names), column], schema.names)
 
@@ -573,9 +862,9 @@ def round_trip(df: DataFrame, vocabulary: str, pattern: str, text: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines = shared.value
         encoder, decoder = held(("round trip", lines, pattern), lambda: both(lines))
-        for batch in _sliced(batches):
-            ids = [encoder.encode(t.as_py() or "") for t in batch.column(text)]
-            texts = pa.array([decoder.decode(x.tolist()) for x in ids], pa.string())
+        for batch in _blocks(batches, text):
+            ids = encoder.encode_all([t or "" for t in batch.column(text).to_pylist()])
+            texts = pa.array([decoder.decode(x) for x in ids], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, _list_column(ids), texts], schema.names)
 
     return df.mapInArrow(run, schema)

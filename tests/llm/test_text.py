@@ -6,6 +6,7 @@ import time
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -83,6 +84,61 @@ def test_transducer_survives_forgetting(ranks, reference, monkeypatch):
     assert encoder.encode(text).tolist() == reference.encode_ordinary(text)
 
 
+def test_rare_words_are_encoded_together(spark, ranks, reference, monkeypatch):
+    """New words of a block run in step, with the same ids; few are left to run one by one."""
+    draw = random.Random(5)
+    syllables = "an er tion ly the and oub ß é ñó ção 漢 x zq".split()
+    words = sorted({"".join(draw.choice(syllables) for _ in range(draw.randrange(3, 9))) for _ in range(20_000)})
+    texts = [" ".join(words[i : i + 100]) for i in range(0, len(words), 100)]
+    runs = []
+    one_by_one = bpe.Transducer._run
+    monkeypatch.setattr(bpe.Transducer, "_run", lambda self, piece: runs.append(piece) or one_by_one(self, piece))
+    # The function that the tasks run, in this process.
+    rows = spark.createDataFrame(enumerate(texts), "doc_id long, text string")
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda df, run, schema: run)
+    run = bpe.round_trip(rows, VOCABULARY, public_tokenizers.PATTERN)
+    batch = pa.record_batch({"doc_id": range(len(texts)), "text": texts})
+    got = [row for block in run(iter([batch])) for row in block.to_pylist()]
+    assert [row["tokens"] for row in got] == reference.encode_ordinary_batch(texts)
+    assert [row["decoded"] for row in got] == texts
+    assert len(words) > 10_000 and len(runs) < 200
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_pieces_in_step_follow_the_definition(seed):
+    """Random vocabularies, also those in which a part outranks its whole or a token is never made."""
+    draw = random.Random(seed)
+    tokens = {bytes([byte]): rank for rank, byte in enumerate(b"abc")}
+    while len(tokens) < 60:
+        if seed % 2:
+            token = draw.choice(list(tokens)) + draw.choice(list(tokens))
+        else:
+            token = bytes(draw.choice(b"abc") for _ in range(draw.randrange(2, 6)))
+        tokens.setdefault(token, len(tokens))
+    transducer = bpe.Transducer(tokens)
+    pieces = [bytes(draw.choice(b"abc") for _ in range(draw.randrange(1, 30))) for _ in range(600)]
+    pieces += [b"ab" * 3000, b""]
+    # As in the library, a piece that is a token is that token, made or not.
+    wanted = [[tokens[p] for p in ([piece] if piece in tokens else transducer.merge(piece))] for piece in pieces[:-2]]
+    for _ in range(3):
+        got = [np.frombuffer(ids, dtype=np.int32).tolist() for ids in transducer.encode_all(pieces)]
+        assert got[:-2] == wanted
+        assert got[-2] == bpe.Transducer(tokens).encode(pieces[-2]) and got[-1] == []
+    with pytest.raises(ValueError, match="no token"):
+        bpe.Transducer(tokens).encode_all([b"abd" * 3] * 100)
+
+
+def test_decoder_of_unfinished_characters(ranks):
+    decoder = bpe.Decoder(ranks)
+    odd = np.flatnonzero(decoder.odd).tolist()
+    draw = random.Random(6)
+    for _ in range(3000):
+        ids = [draw.choice(odd if draw.random() < 0.5 else range(len(ranks))) for _ in range(draw.randrange(9))]
+        data = b"".join(decoder.bytes_of[token] for token in ids)
+        assert decoder.decode(np.array(ids, dtype=np.int32)) == data.decode("utf-8", "replace")
+        assert "".join(decoder.stream(ids)) == data.decode("utf-8", "replace")
+
+
 def test_pairs_follow_the_definition(ranks):
     transducer = bpe.Transducer(ranks)
     draw = random.Random(2)
